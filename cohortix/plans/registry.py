@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_profile", "q_clean", "q_stats", "q_metrics", "q_models")
+MODULES = ("q_profile", "q_clean", "q_stats", "q_metrics", "q_models", "q_verdict")
 
 
 def load():
