@@ -65,3 +65,9 @@ def severity_band(x: Column, bands: Sequence[tuple[float, str]], otherwise: str)
 
 def log1p(c: str | Column) -> Column:
     return F.log1p(col_(c))
+
+
+def pct(part: Column, whole: Column) -> Column:
+    """Percentage as ``part * 100.0 / whole`` (one fixed operation order, so
+    the rounding of half-way values is reproducible)."""
+    return part * 100.0 / whole

@@ -67,10 +67,10 @@ def feature_exprs(c: Mapping[str, Column] | None = None) -> dict[str, Column]:
     }
 
 
-ENGINEERED = tuple(feature_exprs({k: F.lit(1.0) for k in (
-    "sys_bp", "dia_bp", "pao2", "fio2", "resp_rate", "tidal_volume", "paco2",
-    "hypertension", "diabetes", "copd", "heart_failure", "sofa_score",
-    "icu_los_days", "hosp_los_days", "charlson_comorbidity_index")}).keys())
+ENGINEERED = (
+    "pf_ratio", "rsbi", "map", "pulse_pressure", "oxi_index", "aa_gradient", "pao2_log",
+    "comorbidity_count", "sofa_per_day", "los_ratio", "charlson_high", "sofa_high",
+)
 
 
 def add_features(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.functions.exprs import clip, encode_binary, outside, within_or_null
+from cohortix.functions.exprs import pct, clip, encode_binary, outside, within_or_null
 from cohortix.operators.cumulative import quantile_table
 
 
@@ -147,7 +147,7 @@ def before_after(original: DataFrame, cleaned: DataFrame, numeric: Sequence[str]
         "stage",
         "n_rows",
         (F.col("n0") - F.col("n_rows")).alias("n_removed"),
-        F.round((F.col("n0") - F.col("n_rows")) / F.col("n0") * 100, 1).alias("removed_pct"),
+        F.round(pct(F.col("n0") - F.col("n_rows"), F.col("n0")), 1).alias("removed_pct"),
         "n_missing",
         "n_feature_dup",
     )

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortix.functions.exprs import pct
+
 
 def duplicate_profile(df: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
     """Exact, feature and conflicting duplicates in one shuffle.
@@ -40,10 +42,10 @@ def duplicate_profile(df: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
         F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
         F.coalesce("n_distinct_rows", F.lit(0)).cast("long").alias("n_distinct_rows"),
         (F.col("n_rows") - F.col("n_distinct_rows")).cast("long").alias("n_exact_dup"),
-        F.round((F.col("n_rows") - F.col("n_distinct_rows")) / F.col("n_rows") * 100, 1).alias("exact_dup_pct"),
+        F.round(pct(F.col("n_rows") - F.col("n_distinct_rows"), F.col("n_rows")), 1).alias("exact_dup_pct"),
         F.col("n_distinct_features").cast("long").alias("n_distinct_features"),
         (F.col("n_rows") - F.col("n_distinct_features")).cast("long").alias("n_feature_dup"),
-        F.round((F.col("n_rows") - F.col("n_distinct_features")) / F.col("n_rows") * 100, 1).alias("feature_dup_pct"),
+        F.round(pct(F.col("n_rows") - F.col("n_distinct_features"), F.col("n_rows")), 1).alias("feature_dup_pct"),
         F.col("n_conflict_groups").cast("long").alias("n_conflict_groups"),
         (F.col("n_distinct_rows") - F.col("n_distinct_features")).cast("long").alias("n_conflict_rows"),
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortix.functions.exprs import severity_band
+from cohortix.functions.exprs import pct, severity_band
 from cohortix.operators.cumulative import quantile_table
 from cohortix.roles import numeric_columns
 
@@ -81,7 +81,7 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None,
             F.struct(
                 F.lit(c).alias("col_name"),
                 F.count_if(F.col(c).isNull()).alias("n_missing"),
-                F.round(F.count_if(F.col(c).isNull()) / n * 100, 2).alias("missing_pct"),
+                F.round(pct(F.count_if(F.col(c).isNull()), n), 2).alias("missing_pct"),
             )
             for c in cols
         ],
@@ -123,7 +123,7 @@ def range_violations(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -
                 below.alias("n_below"),
                 above.alias("n_above"),
                 (below + above).alias("n_total"),
-                F.round((below + above) / F.count(x) * 100, 2).alias("pct"),
+                F.round(pct(below + above, F.count(x)), 2).alias("pct"),
                 F.round(F.min(x).cast("double"), 4).alias("actual_min"),
                 F.round(F.max(x).cast("double"), 4).alias("actual_max"),
             )
@@ -174,7 +174,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5,
             F.struct(
                 F.lit(c).alias("col_name"),
                 n_out.alias("n_outliers"),
-                F.round(n_out / F.count(x) * 100, 2).alias("pct"),
+                F.round(pct(n_out, F.count(x)), 2).alias("pct"),
                 F.round(F.lit(q1), 4).alias("q1"),
                 F.round(F.lit(q3), 4).alias("q3"),
                 F.round(F.lit(iqr), 4).alias("iqr"),
