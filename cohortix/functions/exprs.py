@@ -70,4 +70,4 @@ def log1p(c: str | Column) -> Column:
 def pct(part: Column, whole: Column) -> Column:
     """Percentage as ``part * 100.0 / whole`` (one fixed operation order, so
     the rounding of half-way values is reproducible)."""
-    return part * 100.0 / whole
+    return F.try_divide(part * 100.0, whole)

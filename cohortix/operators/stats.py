@@ -173,8 +173,9 @@ def ttest_moments(df: DataFrame, group: str, col: str, g0=0, g1=1) -> DataFrame:
         F.var_samp(F.when(in1, x)).alias("v1"),
     )
     dof = F.col("n0") + F.col("n1") - 2
-    sp2 = ((F.col("n0") - 1) * F.col("v0") + (F.col("n1") - 1) * F.col("v1")) / dof
-    t = (F.col("m0") - F.col("m1")) / F.sqrt(sp2 * (1 / F.col("n0") + 1 / F.col("n1")))
+    sp2 = F.try_divide((F.col("n0") - 1) * F.col("v0") + (F.col("n1") - 1) * F.col("v1"), dof)
+    se = F.sqrt(sp2 * (F.try_divide(F.lit(1.0), F.col("n0")) + F.try_divide(F.lit(1.0), F.col("n1"))))
+    t = F.try_divide(F.col("m0") - F.col("m1"), se)
     return m.select("n0", "n1", "m0", "m1", t.alias("t"), dof.cast("long").alias("dof"))
 
 
