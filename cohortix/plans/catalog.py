@@ -13,6 +13,7 @@ Shared inputs (profiled): lineitem (no NULLs, so some columns are NULLed with
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,4 +96,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     from cohortix.session import ensure_checkpoint_dir
 
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{os.getpid()}"
+    return f"{base.rstrip('/')}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"

@@ -256,3 +256,31 @@ def q_before_after(spark, sf):
     orig = lineitem(spark, sf).select("l_quantity", F.nullif(F.col("l_tax"), F.lit(0.0)).alias("tax_n"))
     cleaned = dedup_lineitem(spark, sf).select("l_quantity", "tax_n")
     return clean.before_after(orig, cleaned, ["l_quantity", "tax_n"], [])
+
+
+# --- the same row operators on a stream --------------------------------------------------------
+
+
+@query("stream_clean", """
+SELECT l_orderkey, l_linenumber, round(GREATEST(5, LEAST(45, l_quantity)), 6) AS l_quantity,
+       round(GREATEST(1000.0, LEAST(90000.0, l_extendedprice)), 6) AS l_extendedprice,
+       round(CASE WHEN l_tax BETWEEN 0.01 AND 0.08 THEN l_tax END, 6) AS l_tax FROM lineitem
+""")
+def q_stream_clean(spark, sf):
+    """lineitem read as a file stream, NULL-out + winsorize per micro-batch,
+    drained to a file sink (exactly-once, checkpointed) and read back."""
+    from cohortix.plans.catalog import shared_dir
+    from cohortix.streaming import stateless as st
+
+    schema = lineitem(spark, sf).schema
+    src = st.read_stream(spark, sf, schema, glob="lineitem.parquet", max_files_per_trigger=1)
+    steps = [
+        lambda d: d.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax"),
+        lambda d: clean.null_out_impossible(d, {"l_tax": (0.01, 0.08)}),
+        lambda d: clean.winsorize(d, LI_CAPS),
+    ]
+    base = shared_dir(spark, "stream_clean")
+    st.write_stream(st.apply_steps(src, steps), f"{base}/out", f"{base}/checkpoint", timeout_s=600)
+    return r6(spark.read.schema(
+        "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double"
+    ).parquet(f"{base}/out"))
