@@ -112,3 +112,31 @@ def q_external_score(spark, sf):
     train = mdl.with_balanced_weight(df.where(F.col("split") == "train"), LABEL)
     model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["GBT"])
     return mdl.external_score(model, df.where(F.col("split") == "test"), LI_NUM, LABEL, 0.3)
+
+
+def _shap_frame(spark, sf):
+    """GBT fitted on the train split; 500 hash-sampled test rows, scaled by
+    the pipeline's own scaler stage; long-form TreeSHAP values."""
+    from cohortix.operators import shap
+    from cohortix.operators.ranking import sample_first_n
+
+    df = model_frame(spark, sf)
+    train = mdl.with_pos_weight(df.where(F.col("split") == "train"), LABEL)
+    model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["GBT"])
+    rows = sample_first_n(df.where(F.col("split") == "test"), ["l_orderkey", "l_linenumber", *LI_NUM], 500)
+    scaled = model.stages[0].transform(rows)
+    feats = mdl.scaled_names(LI_NUM)
+    return shap.shap_values(scaled, model.stages[-1], feats, ["l_orderkey", "l_linenumber"],
+                            shared_dir(spark, "shap_model"))
+
+
+@query("shap_values")
+def q_shap_values(spark, sf):
+    return _shap_frame(spark, sf)
+
+
+@query("shap_mean_abs")
+def q_shap_mean_abs(spark, sf):
+    from cohortix.operators import shap
+
+    return shap.shap_mean_abs(_shap_frame(spark, sf), top=25)
