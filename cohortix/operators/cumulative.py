@@ -33,11 +33,14 @@ def running_totals(
     group_by: Sequence[str] = (),
     num_partitions: int | None = None,
     prefix: str = "cum_",
+    total_prefix: str | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``sums`` in ``order_by`` order within ``group_by``.
 
     ``(group_by, order_by)`` must identify a row (aggregate ties first); the
-    result keeps every input column and adds ``{prefix}{name}`` per sum.
+    result keeps every input column and adds ``{prefix}{name}`` per sum, and
+    with ``total_prefix`` the group totals ``{total_prefix}{name}`` too (taken
+    from the per-partition totals, so the input is not read again).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -56,6 +59,7 @@ def running_totals(
         .orderBy(_PID)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    w_all = Window.partitionBy(*group_by)
     offsets = part_tot.select(
         _PID,
         *group_by,
@@ -63,18 +67,22 @@ def running_totals(
             F.coalesce(F.sum(f"_cx_tot_{c}").over(w_prev), F.lit(0)).alias(f"_cx_off_{c}")
             for c in sums
         ],
+        *[F.sum(f"_cx_tot_{c}").over(w_all).alias(f"_cx_all_{c}") for c in sums],
     )
     joined = ranged.join(
         offsets, _null_safe_join_cond(ranged, offsets, [_PID, *group_by]), "inner"
-    ).select(ranged["*"], *[offsets[f"_cx_off_{c}"] for c in sums])
+    ).select(ranged["*"], *[offsets[f"_cx_off_{c}"] for c in sums],
+             *[offsets[f"_cx_all_{c}"] for c in sums])
     w_in = (
         Window.partitionBy(_PID, *group_by)
         .orderBy(*order_by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    totals = [F.col(f"_cx_all_{c}").alias(f"{total_prefix}{c}") for c in sums] if total_prefix else []
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[(F.sum(c).over(w_in) + F.col(f"_cx_off_{c}")).alias(f"{prefix}{c}") for c in sums],
+        *totals,
     )
 
 
@@ -93,17 +101,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     column.
     """
     counts = long_values(df, cols).groupBy("col_name", "value").agg(F.count("*").alias("n"))
-    cum = running_totals(counts, [F.col("value")], ["n"], group_by=["col_name"])
-    totals = counts.groupBy("col_name").agg(F.sum("n").alias("n_total"))
+    cum = running_totals(counts, [F.col("value")], ["n"], group_by=["col_name"],
+                         total_prefix="_cx_total_")
+    # each distinct value meets the (few) requested probabilities: a literal
+    # table of len(probs) rows
     probs_df = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
-    # one row per (column, p): bounded by the schema width times len(probs)
     pos = (
-        totals.crossJoin(F.broadcast(probs_df))
-        .withColumn("h", F.col("p") * (F.col("n_total") - 1))
+        cum.crossJoin(F.broadcast(probs_df))
+        .withColumn("h", F.col("p") * (F.col("_cx_total_n") - 1))
         .withColumn("lo", F.floor("h"))
         .withColumn("hi", F.ceil("h"))
     )
-    hit = cum.join(F.broadcast(pos), "col_name").where(
+    hit = pos.where(
         ((F.col("cum_n") - F.col("n") <= F.col("lo")) & (F.col("lo") < F.col("cum_n")))
         | ((F.col("cum_n") - F.col("n") <= F.col("hi")) & (F.col("hi") < F.col("cum_n")))
     )

@@ -115,10 +115,8 @@ def score_cumulative(df: DataFrame, label: str, score: str, by: Sequence[str] =
     per = df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
-    cum = running_totals(per, [F.col("score").desc()], ["pos", "neg"], group_by=by)
-    tot = per.groupBy(*by).agg(F.sum("pos").alias("total_pos"), F.sum("neg").alias("total_neg"))
-    # one row per ``by`` value (models x folds): bounded by the evaluation grid
-    return cum.join(F.broadcast(tot), by, "inner") if by else cum.crossJoin(F.broadcast(tot))
+    return running_totals(per, [F.col("score").desc()], ["pos", "neg"], group_by=by,
+                          total_prefix="total_")
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
