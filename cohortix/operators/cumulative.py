@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortix.session import ensure_checkpoint_dir, shuffle_partitions
+from cohortix.session import ensure_checkpoint_dir
 
 _PID = "_cx_pid"
 
@@ -44,13 +44,11 @@ def running_totals(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
     keys = [F.col(g) for g in group_by] + list(order_by)
-    ranged = (
-        df.repartitionByRange(n, *keys)
-        .withColumn(_PID, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    # Without an explicit count, AQE may coalesce the range partitions; it only
+    # merges adjacent ones, so partition ids stay in key order.
+    parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = parted.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
     part_tot = ranged.groupBy(_PID, *group_by).agg(
         *[F.sum(c).alias(f"_cx_tot_{c}") for c in sums]
     )

@@ -33,6 +33,18 @@ from cohortix.operators import metrics as M
 
 SCORE = "score"
 WEIGHT = "weight"
+# Iterative learners run one task per partition per iteration: size the
+# training frame by its row count, not by the shuffle setting.
+ROWS_PER_PARTITION = 500_000
+
+
+def training_frame(df: DataFrame) -> DataFrame:
+    """Repartition to ``max(defaultParallelism, rows / ROWS_PER_PARTITION)`` and
+    persist (the frame feeds every iteration of every fit)."""
+    n_rows = df.count()
+    sc = df.sparkSession.sparkContext
+    n = max(sc.defaultParallelism, -(-n_rows // ROWS_PER_PARTITION))
+    return df.repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _q(c: str) -> str:
@@ -60,12 +72,22 @@ def scaled_names(cols: Sequence[str]) -> list[str]:
 
 
 def with_balanced_weight(df: DataFrame, label: str, train: DataFrame | None = None) -> DataFrame:
-    """``weight = n / (2 * n_c)`` from the class counts of ``train``."""
+    """``weight = n / (k * n_c)`` from the class counts of ``train``.
+
+    The counts (one per class, bounded by the label's cardinality) are read
+    once and applied as literals, so iterative learners that scan the frame
+    many times do not re-run the count.
+    """
     src = train if train is not None else df
-    counts = src.groupBy(label).agg(F.count(F.lit(1)).alias("_cx_nc"))
-    tot = counts.agg(F.sum("_cx_nc").alias("_cx_n"), F.count(F.lit(1)).alias("_cx_k"))
-    w = counts.crossJoin(tot).select(label, (F.col("_cx_n") / (F.col("_cx_k") * F.col("_cx_nc"))).alias(WEIGHT))
-    return df.join(F.broadcast(w), label, "left")  # one row per class
+    counts = {r[0]: int(r[1]) for r in src.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    n, k = sum(counts.values()), len(counts)
+    expr = None
+    for cls, nc in counts.items():
+        if cls is None:
+            continue
+        w = F.lit(n / (k * nc))
+        expr = F.when(F.col(label) == F.lit(cls), w) if expr is None else expr.when(F.col(label) == F.lit(cls), w)
+    return df.withColumn(WEIGHT, expr if expr is not None else F.lit(None).cast("double"))
 
 
 def with_pos_weight(df: DataFrame, label: str, train: DataFrame | None = None) -> DataFrame:
@@ -153,15 +175,14 @@ def train_and_score(df: DataFrame, features, label, split_col: str, specs: Seque
 
     Returns ``(model, id..., label, score)`` for all models (one frame).
     """
-    train = df.where(F.col(split_col) == "train")
+    train = training_frame(df.where(F.col(split_col) == "train"))
     test = df.where(F.col(split_col) == "test")
     parts = []
     for spec in specs:
         w = with_balanced_weight if weight == "balanced" or spec.kind != "boosted" else with_pos_weight
-        tr = w(train, label).persist(StorageLevel.MEMORY_AND_DISK)
-        model = fit(tr, features, label, spec)
+        model = fit(w(train, label), features, label, spec)
         parts.append(score(model, test, [*id_cols, label]).withColumn("model", F.lit(spec.name)))
-        tr.unpersist()
+    train.unpersist()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -169,11 +190,11 @@ def train_and_score(df: DataFrame, features, label, split_col: str, specs: Seque
 
 
 def cv_metrics(df: DataFrame, features, label, fold_col: str, spec: ModelSpec,
-               threshold: float = 0.5) -> DataFrame:
+               threshold: float = 0.5, prepared: bool = False) -> DataFrame:
     """Per-fold metrics; the scaler (and weights) are refitted on each fold's
     training part. Scores of all folds are unioned and evaluated in one job."""
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    base = df if prepared else training_frame(df)
+    folds = sorted(r[0] for r in base.select(fold_col).distinct().collect())
     parts = []
     for f in folds:
         tr = base.where(F.col(fold_col) != f)
@@ -185,7 +206,8 @@ def cv_metrics(df: DataFrame, features, label, fold_col: str, spec: ModelSpec,
     for p in parts[1:]:
         scored = scored.unionByName(p)
     scored = scored.checkpoint(eager=True)  # cut the 5-fit lineage before the metric job
-    base.unpersist()
+    if not prepared:
+        base.unpersist()
     return M.evaluate(scored, label, SCORE, threshold, by=[fold_col])
 
 
@@ -214,10 +236,12 @@ def random_search(df: DataFrame, features, label, fold_col: str, kind: str,
     std_auc, rank)``. Each candidate is a ``cv_metrics`` run."""
     rows = []
     spark = df.sparkSession
+    base = training_frame(df)
     for i, p in enumerate(draw_params(grid, n_iter, seed)):
-        m = cv_metrics(df, features, label, fold_col, ModelSpec(f"c{i}", kind, p))
+        m = cv_metrics(base, features, label, fold_col, ModelSpec(f"c{i}", kind, p), prepared=True)
         s = m.agg(F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")).first()
         rows.append((i, str(sorted(p.items())), float(s["mean"] or 0.0), float(s["std"] or 0.0)))
+    base.unpersist()
     res = spark.createDataFrame(rows, "candidate int, params string, mean_auc double, std_auc double")
     from pyspark.sql import Window
 
@@ -247,7 +271,7 @@ def run_compare(baseline: DataFrame, new: DataFrame, keys: Sequence[str], value:
 def scaling_leakage(df: DataFrame, features, label, split_col: str, spec: ModelSpec,
                     tolerance: float = 0.005) -> DataFrame:
     """Test AUC with the scaler fitted on train only vs on all rows."""
-    train = with_balanced_weight(df.where(F.col(split_col) == "train"), label)
+    train = training_frame(with_balanced_weight(df.where(F.col(split_col) == "train"), label))
     test = df.where(F.col(split_col) == "test")
     correct = fit(train, features, label, spec)
     leaky_scaler = fit_scaler(df, features)
