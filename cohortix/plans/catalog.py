@@ -36,11 +36,22 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def round_half_away(x, digits: int = 6):
+    """Round a double half away from zero at ``digits`` decimals as
+    ``round(x * 10^d) / 10^d`` - the oracle engine's rule for doubles - with
+    arithmetic only (Spark's ``round`` goes through BigDecimal per value).
+    Values too large for the scaled integer keep all their digits."""
+    m = float(10 ** digits)
+    y = F.abs(x) * m
+    r = F.signum(x) * F.floor(y + 0.5).cast("double") / m
+    return F.when(F.abs(x) < 1e12, r).otherwise(x)
+
+
 def r6(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (oracle comparison)."""
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name)
+            round_half_away(F.col(f.name), digits).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
             else F.col(f.name)
             for f in df.schema.fields
