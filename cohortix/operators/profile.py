@@ -331,9 +331,10 @@ def category_balance(df: DataFrame, cols: Sequence[str], warn: float = 0.5) -> D
 
 
 def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
-    """Long-form crosstab: ``(row_value, col_value, n, row_share)``.
+    """Long-form crosstab: ``(row_value, col_value, n, row_share, row_pct)``.
 
-    row_share is n over the row total (``normalize='index'``); NULLs excluded.
+    row_share is n over the row total (``normalize='index'``), row_pct the
+    same times 100; NULLs excluded.
     The row totals come from a window over the small count table.
     """
     counts = (
@@ -342,7 +343,10 @@ def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     w = Window.partitionBy("row_value")
-    return counts.withColumn("row_share", F.col("n") / F.sum("n").over(w))
+    return counts.withColumns({
+        "row_share": F.col("n") / F.sum("n").over(w),
+        "row_pct": pct(F.col("n"), F.sum("n").over(w)),
+    })
 
 
 def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
@@ -439,17 +443,20 @@ def corr_pairs(matrix: DataFrame, features: Sequence[str], high: float = 0.9,
 
 
 def corr_label(matrix: DataFrame, features: Sequence[str], labels: Sequence[str],
-               threshold: float = 0.8) -> DataFrame:
-    """Feature-label r, flagged above ``threshold``, by |r| desc."""
+               threshold: float = 0.8, min_abs: float | None = None) -> DataFrame:
+    """Feature-label r, flagged above ``threshold`` (leakage risk), by |r|
+    desc; ``min_abs`` keeps only pairs with |r| above it (the review list)."""
     feats, labs = list(features), list(labels)
     m = matrix.select("col_a", "col_b", "r")
     both = m.unionByName(m.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r"))
-    return (
+    out = (
         both.where(F.col("col_a").isin(feats) & F.col("col_b").isin(labs))
         .select(F.col("col_b").alias("label"), F.col("col_a").alias("feature"), "r")
         .withColumn("flagged", F.abs("r") > threshold)
-        .orderBy(F.desc(F.abs("r")), "label", "feature")
     )
+    if min_abs is not None:
+        out = out.where(F.abs("r") > min_abs)
+    return out.orderBy(F.desc(F.abs("r")), "label", "feature")
 
 
 def distinct_entities(df: DataFrame, split_col: str, group_col: str) -> DataFrame:

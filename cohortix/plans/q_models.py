@@ -81,8 +81,10 @@ def q_random_search(spark, sf):
 def q_feature_importance(spark, sf):
     df = model_frame(spark, sf)
     train = mdl.with_balanced_weight(df.where(F.col("split") == "train"), LABEL)
-    model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["RF"])
-    return mdl.feature_importance(model, LI_NUM, top=15)
+    rf = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["RF"])
+    gbt = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["GBT"])
+    return (mdl.feature_importance(rf, LI_NUM, top=15).withColumn("model", F.lit("RF"))
+            .unionByName(mdl.feature_importance(gbt, LI_NUM, top=20).withColumn("model", F.lit("GBT"))))
 
 
 @query("scaling_leakage")

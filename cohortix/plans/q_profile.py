@@ -451,7 +451,8 @@ def q_category_balance(spark, sf):
 
 @query("crosstab", """
 SELECT l_returnflag AS row_value, l_linestatus AS col_value, CAST(count(*) AS BIGINT) AS n,
-       round(count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY l_returnflag), 6) AS row_share
+       round(count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY l_returnflag), 6) AS row_share,
+       round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY l_returnflag), 6) AS row_pct
 FROM lineitem GROUP BY 1, 2
 """)
 def q_crosstab(spark, sf):
@@ -498,21 +499,62 @@ def q_correlation_matrix(spark, sf):
     return r6(profile.correlation_matrix(corr_input(spark, sf), CORR_COLS))
 
 
+PAIR_EXPRS = {
+    "l_quantity": "l_quantity",
+    "l_extendedprice": "l_extendedprice",
+    "l_discount": "l_discount",
+    "revenue": "l_extendedprice * (1 - l_discount)",
+    "qty_adj": "l_quantity + 5 * l_linenumber",
+    "unit_price": "l_extendedprice / l_quantity",
+}
+PAIR_COLS = list(PAIR_EXPRS)
+PAIR_SRC = "(SELECT " + ", ".join(f"{e} AS {k}" for k, e in PAIR_EXPRS.items()) + " FROM lineitem)"
+PAIR_MATRIX_SQL = " UNION ALL ".join(
+    f"SELECT '{PAIR_COLS[i]}' AS col_a, '{PAIR_COLS[j]}' AS col_b, {i} AS i, {j} AS j, "
+    f"round(corr({PAIR_COLS[i]}, {PAIR_COLS[j]}), 6) AS r FROM {PAIR_SRC}"
+    for i in range(len(PAIR_COLS)) for j in range(i + 1, len(PAIR_COLS))
+)
+
+
 @query("corr_pairs", f"""
-SELECT *, CASE WHEN abs(r) > 0.25 THEN 'HIGH' ELSE 'MODERATE' END AS band FROM ({CORR_MATRIX_SQL})
-WHERE col_a <> 'is_o' AND col_b <> 'is_o' AND abs(r) > 0.01
+SELECT *, CASE WHEN abs(r) > 0.9 THEN 'HIGH' ELSE 'MODERATE' END AS band FROM ({PAIR_MATRIX_SQL})
+WHERE abs(r) > 0.7
 """)
 def q_corr_pairs(spark, sf):
-    m = r6(profile.correlation_matrix(corr_input(spark, sf), CORR_COLS))
-    return profile.corr_pairs(m, LI_NUM, high=0.25, moderate=0.01)
+    """lineitem with derived revenue / adjusted quantity / unit price, bands
+    |r| > 0.9 HIGH and 0.7 < |r| <= 0.9 MODERATE."""
+    li = lineitem(spark, sf).select(*[F.expr(e).alias(k) for k, e in PAIR_EXPRS.items()])
+    m = r6(profile.correlation_matrix(li, PAIR_COLS))
+    return profile.corr_pairs(m, PAIR_COLS, high=0.9, moderate=0.7)
+
+
+LABEL_EXPRS = dict(PAIR_EXPRS, high_qty="CAST(l_quantity >= 40 AS INTEGER)",
+                   big_order="CAST(l_extendedprice * (1 - l_discount) > 60000 AS INTEGER)")
+LABEL_FEATS = PAIR_COLS
+LABEL_COLS = ["high_qty", "big_order"]
+LABEL_ALL = LABEL_FEATS + LABEL_COLS
+LABEL_SRC = "(SELECT " + ", ".join(f"{e} AS {k}" for k, e in LABEL_EXPRS.items()) + " FROM lineitem)"
+LABEL_SQL = " UNION ALL ".join(
+    f"SELECT '{lab}' AS label, '{f}' AS feature, round(corr({f}, {lab}), 6) AS r FROM {LABEL_SRC}"
+    for lab in LABEL_COLS for f in LABEL_FEATS
+)
 
 
-@query("corr_label", f"""
-SELECT col_b AS label, col_a AS feature, r, abs(r) > 0.005 AS flagged FROM ({CORR_MATRIX_SQL}) WHERE col_b = 'is_o'
-""")
+def _label_matrix(spark, sf):
+    li = lineitem(spark, sf).select(*[F.expr(e).alias(k) for k, e in LABEL_EXPRS.items()])
+    return r6(profile.correlation_matrix(li, LABEL_ALL))
+
+
+@query("corr_label", f"SELECT *, abs(r) > 0.8 AS flagged FROM ({LABEL_SQL})")
 def q_corr_label(spark, sf):
-    m = r6(profile.correlation_matrix(corr_input(spark, sf), CORR_COLS))
-    return profile.corr_label(m, LI_NUM, ["is_o"], threshold=0.005)
+    """Feature-label correlations, leakage flag above 0.8 (audit rule)."""
+    return profile.corr_label(_label_matrix(spark, sf), LABEL_FEATS, LABEL_COLS, threshold=0.8)
+
+
+@query("corr_label_review", f"SELECT *, abs(r) > 0.8 AS flagged FROM ({LABEL_SQL}) WHERE abs(r) > 0.5")
+def q_corr_label_review(spark, sf):
+    """The review's list: only pairs with |r| > 0.5, by |r| desc."""
+    return profile.corr_label(_label_matrix(spark, sf), LABEL_FEATS, LABEL_COLS, threshold=0.8, min_abs=0.5)
 
 
 @query("importance_rank", f"""
