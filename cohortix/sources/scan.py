@@ -38,23 +38,37 @@ def with_row_order(df: DataFrame) -> DataFrame:
     )
 
 
+def _from_text(c: str, t: T.DataType):
+    """Cast a text column safely: bad text -> NULL, "NaN" -> NULL, "1.0" -> 1."""
+    x = F.col(c)
+    if isinstance(t, T.StringType):
+        return x
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        d = x.try_cast("double")
+        return F.when(~F.isnan(d), d).try_cast(t)
+    return x.try_cast(t)
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              null_values: Sequence[str] = ("", "NaN", "nan", "NA")) -> DataFrame:
-    """Header CSV; empty and NaN text are missing. Give ``schema`` in
-    production (inference is an extra pass over the data)."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    reader = reader.option("nanValue", "NaN").option("nullValue", "")
-    if schema is not None:
-        reader = reader.schema(schema)
+    """Header CSV; empty and NaN text are missing.
+
+    With ``schema`` the header names (not positions) decide which field is
+    which, text is cast per field (bad values become NULL), and a field absent
+    from the header is an error. Without it, types are inferred (an extra
+    pass over the data; give a schema in production).
+    """
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("nullValue", "")
+    if schema is None:
+        df = reader.option("inferSchema", True).option("nanValue", "NaN").csv(path)
     else:
-        reader = reader.option("inferSchema", True)
-    df = reader.csv(path)
+        raw = reader.option("inferSchema", False).csv(path)
+        require_columns(raw, [f.name for f in schema.fields])
+        df = raw.select(*[_from_text(f.name, f.dataType).alias(f.name) for f in schema.fields])
     str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     extra = [v for v in null_values if v != ""]
     if str_cols and extra:
-        df = df.withColumns(
-            {c: F.when(~F.col(c).isin(extra), F.col(c)) for c in str_cols}
-        )
+        df = df.withColumns({c: F.when(~F.col(c).isin(extra), F.col(c)) for c in str_cols})
     return nan_to_null(df)
 
 
