@@ -10,9 +10,11 @@ running sum. No step holds more than one range partition in a task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,41 +93,132 @@ def long_values(df: DataFrame, cols: Sequence[str], name: str = "col_name",
     return wide.unpivot([], list(cols), name, value).where(F.col(value).isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolation quantiles per column (pandas/numpy default).
+def _quantiles_from_ranks(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``ranked`` has per distinct value: ``n`` (its count), ``cum_n`` (rank of
+    its last copy + 1) and ``h`` (target 0-based fractional rank) per ``keys``.
+    Linear interpolation between the values at ranks floor(h) and ceil(h)."""
+    lo, hi = F.floor("h"), F.ceil("h")
+    first = F.col("cum_n") - F.col("n")
+    lo_hit = (first <= lo) & (lo < F.col("cum_n"))
+    hi_hit = (first <= hi) & (hi < F.col("cum_n"))
+    agg = ranked.where(lo_hit | hi_hit).groupBy(*keys, "h").agg(
+        F.max(F.when(lo_hit, F.col("value"))).alias("v_lo"),
+        F.max(F.when(hi_hit, F.col("value"))).alias("v_hi"),
+    )
+    frac = F.col("h") - F.floor("h")
+    return agg.select(*keys, (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
 
-    Returns ``(col_name, p, value)``. Work is a ``groupBy(col, value)`` count
-    (map-side combined) and a distributed running count; no task holds a whole
-    column.
+
+def exact_quantiles_full(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles from the running count of every distinct value.
+
+    Shuffles one row per distinct ``(column, value)``; used directly for
+    low-cardinality columns and as the fallback of ``exact_quantiles``.
     """
     counts = long_values(df, cols).groupBy("col_name", "value").agg(F.count("*").alias("n"))
     cum = running_totals(counts, [F.col("value")], ["n"], group_by=["col_name"],
                          total_prefix="_cx_total_")
-    # each distinct value meets the (few) requested probabilities: a literal
-    # table of len(probs) rows
+    # a literal table of len(probs) rows
     probs_df = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
-    pos = (
-        cum.crossJoin(F.broadcast(probs_df))
-        .withColumn("h", F.col("p") * (F.col("_cx_total_n") - 1))
-        .withColumn("lo", F.floor("h"))
-        .withColumn("hi", F.ceil("h"))
-    )
-    hit = pos.where(
-        ((F.col("cum_n") - F.col("n") <= F.col("lo")) & (F.col("lo") < F.col("cum_n")))
-        | ((F.col("cum_n") - F.col("n") <= F.col("hi")) & (F.col("hi") < F.col("cum_n")))
-    )
-    lo_hit = (F.col("cum_n") - F.col("n") <= F.col("lo")) & (F.col("lo") < F.col("cum_n"))
-    hi_hit = (F.col("cum_n") - F.col("n") <= F.col("hi")) & (F.col("hi") < F.col("cum_n"))
-    agg = hit.groupBy("col_name", "p", "h", "lo").agg(
-        F.max(F.when(lo_hit, F.col("value"))).alias("v_lo"),
-        F.max(F.when(hi_hit, F.col("value"))).alias("v_hi"),
-    )
-    frac = F.col("h") - F.col("lo")
-    return agg.select(
-        "col_name",
-        "p",
-        (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"),
-    )
+    ranked = cum.crossJoin(F.broadcast(probs_df)).withColumn(
+        "h", F.col("p") * (F.col("_cx_total_n") - 1))
+    return _quantiles_from_ranks(ranked, ["col_name", "p"]).select("col_name", "p", "value")
+
+
+def has_shuffle(df: DataFrame) -> bool:
+    """True when the optimized plan aggregates, joins, windows or sorts, i.e.
+    re-reading the frame means recomputing a shuffle."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001 - e.g. no JVM handle (Spark Connect)
+        return False
+    return any(k in plan for k in ("Aggregate", "Join", "Window", "Sort", "Repartition"))
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    accuracy: int = 100_000) -> DataFrame:
+    """Exact linear-interpolation quantiles per column (pandas/numpy default).
+
+    Returns ``(col_name, p, value)``. Three passes, none shuffling the data:
+
+    1. one ``percentile_approx`` aggregate brackets each target rank with the
+       approximate quantiles at ``p -+ 2 / accuracy`` (rank error of the
+       sketch is at most ``N / accuracy``);
+    2. one aggregate counts, per (column, p), the values below the bracket and
+       up to its top, which checks that the bracket holds both ranks needed;
+    3. only the values inside the brackets (about ``4 N / accuracy`` each)
+       are counted per distinct value and ranked with the distributed running
+       count, offset by the count below.
+
+    A bracket that fails the check (never expected) sends its column to
+    ``exact_quantiles_full``, so the result is exact either way.
+    """
+    cols, probs = list(cols), [float(p) for p in probs]
+    spark = df.sparkSession
+    cached = has_shuffle(df)
+    if cached:
+        # three passes below: keep only the needed columns, spill-aware
+        df = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _bracketed(df, cols, probs, accuracy)
+    finally:
+        if cached:
+            df.unpersist()
+
+
+def _bracketed(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """Body of ``exact_quantiles``; the result only reads checkpointed data."""
+    spark = df.sparkSession
+    eps = 2.0 / accuracy
+    grid = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-eps, eps)})
+    arr = F.array(*[F.lit(g) for g in grid])
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c) for c in cols]).first()
+
+    def clamp(v: float) -> float:
+        return min(max(v, 0.0), 1.0)
+
+    brackets = []
+    for c in cols:
+        if row[c] is None:
+            continue
+        at = dict(zip(grid, row[c]))
+        brackets += [(c, p, at[clamp(p - eps)], at[clamp(p + eps)]) for p in probs]
+    if not brackets:
+        return spark.createDataFrame([], "col_name string, p double, value double")
+    checks = []
+    for i, (c, p, lo, hi) in enumerate(brackets):
+        x = F.col(c).cast("double")
+        checks += [F.count_if(x < F.lit(lo)).alias(f"b{i}"), F.count_if(x <= F.lit(hi)).alias(f"t{i}")]
+    checks += [F.count(F.col(c)).alias(f"n_{j}") for j, c in enumerate(cols)]
+    cnt = df.agg(*checks).first()
+    n_of = {c: cnt[f"n_{j}"] for j, c in enumerate(cols)}
+    good, bad_cols = [], set()
+    for i, (c, p, lo, hi) in enumerate(brackets):
+        n = n_of[c]
+        h = p * (n - 1)
+        below, upto = cnt[f"b{i}"], cnt[f"t{i}"]
+        if below <= math.floor(h) and math.ceil(h) < upto:
+            good.append((c, p, float(lo), float(hi), int(below), float(h)))
+        else:
+            bad_cols.add(c)
+    good = [g for g in good if g[0] not in bad_cols]
+    parts = []
+    if good:
+        # one row per (column, p): bounded by schema width x len(probs)
+        br = spark.createDataFrame(good, "col_name string, p double, lo double, hi double, below long, h double")
+        inside = (long_values(df, [c for c in cols if c not in bad_cols])
+                  .join(F.broadcast(br), "col_name")
+                  .where(F.col("value").between(F.col("lo"), F.col("hi")))
+                  .groupBy("col_name", "p", "below", "h", "value").agg(F.count("*").alias("n")))
+        cum = running_totals(inside, [F.col("value")], ["n"], group_by=["col_name", "p"])
+        ranked = cum.withColumn("cum_n", F.col("cum_n") + F.col("below"))
+        parts.append(_quantiles_from_ranks(ranked, ["col_name", "p"]).select("col_name", "p", "value"))
+    if bad_cols:
+        parts.append(exact_quantiles_full(df, sorted(bad_cols), probs))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

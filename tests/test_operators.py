@@ -34,6 +34,25 @@ def test_exact_quantiles_match_numpy(spark):
     np.testing.assert_allclose(q, np.quantile(x, [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]), rtol=1e-12)
 
 
+@pytest.mark.parametrize("accuracy", [10, 1000, 100000])
+def test_bracketed_quantiles_exact(spark, accuracy):
+    rng = np.random.default_rng(11)
+    a = rng.normal(size=5000)
+    b = np.round(rng.exponential(2, 5000), 0)  # heavy ties
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(4)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {(r["col_name"], r["p"]): r["value"] for r in cumulative.exact_quantiles(df, ["a", "b"], probs, accuracy).collect()}
+    for c, x in (("a", a), ("b", b)):
+        np.testing.assert_allclose([got[(c, p)] for p in probs], np.quantile(x, probs), rtol=1e-12, atol=0)
+
+
+def test_full_quantiles_fallback_path(spark):
+    x = np.round(np.random.default_rng(2).normal(size=999), 2)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = {r["p"]: r["value"] for r in cumulative.exact_quantiles_full(df, ["x"], [0.1, 0.5, 0.9]).collect()}
+    np.testing.assert_allclose([got[0.1], got[0.5], got[0.9]], np.quantile(x, [0.1, 0.5, 0.9]), rtol=1e-12)
+
+
 def test_nan_is_missing(spark):
     df = nan_to_null(spark.createDataFrame([(1.0,), (float("nan"),), (None,), (101.0,)], "spo2 double"))
     m = profile.missing_profile(df).first()
