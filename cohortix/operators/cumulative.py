@@ -125,6 +125,40 @@ def exact_quantiles_full(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
     return _quantiles_from_ranks(ranked, ["col_name", "p"]).select("col_name", "p", "value")
 
 
+# In-bracket rows up to this count (an exact number from the second pass) are
+# ranked on the driver: at most this many (value, count) rows are collected.
+LOCAL_RANK_ROWS = 1_000_000
+
+
+def _rank_locally(df: DataFrame, good: list, cols: Sequence[str], bad_cols: set) -> DataFrame:
+    """Quantiles from the in-bracket values collected as (value, count)."""
+    spark = df.sparkSession
+    br = spark.createDataFrame(good, "col_name string, p double, lo double, hi double, below long, h double")
+    rows = (long_values(df, [c for c in cols if c not in bad_cols])
+            .join(F.broadcast(br), "col_name")
+            .where(F.col("value").between(F.col("lo"), F.col("hi")))
+            .groupBy("col_name", "p", "value").agg(F.count("*").alias("n"))
+            .collect())
+    by_key: dict[tuple, list] = {}
+    for r in rows:
+        by_key.setdefault((r["col_name"], r["p"]), []).append((r["value"], r["n"]))
+    out = []
+    for c, p, _lo, _hi, below, h in good:
+        vals = sorted(by_key.get((c, p), []))
+        lo_rank, hi_rank = math.floor(h), math.ceil(h)
+        v_lo = v_hi = None
+        seen = below
+        for v, n in vals:
+            if v_lo is None and seen <= lo_rank < seen + n:
+                v_lo = v
+            if v_hi is None and seen <= hi_rank < seen + n:
+                v_hi = v
+            seen += n
+        value = None if v_lo is None or v_hi is None else v_lo + (v_hi - v_lo) * (h - lo_rank)
+        out.append((c, p, value))
+    return spark.createDataFrame(out, "col_name string, p double, value double")
+
+
 def has_shuffle(df: DataFrame) -> bool:
     """True when the optimized plan aggregates, joins, windows or sorts, i.e.
     re-reading the frame means recomputing a shuffle."""
@@ -203,6 +237,10 @@ def _bracketed(df: DataFrame, cols: list[str], probs: list[float], accuracy: int
             bad_cols.add(c)
     good = [g for g in good if g[0] not in bad_cols]
     parts = []
+    in_brackets = sum(cnt[f"t{i}"] - cnt[f"b{i}"] for i, b in enumerate(brackets) if b[0] not in bad_cols)
+    if good and in_brackets <= LOCAL_RANK_ROWS:
+        parts.append(_rank_locally(df, good, cols, bad_cols))
+        good = []
     if good:
         # one row per (column, p): bounded by schema width x len(probs)
         br = spark.createDataFrame(good, "col_name string, p double, lo double, hi double, below long, h double")

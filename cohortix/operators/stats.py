@@ -129,8 +129,54 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+# Contingency tables up to this many cells are finished on the driver.
+LOCAL_CELLS = 1_000_000
+
+
+def _chi2_local(cells: list[tuple], yates: bool) -> tuple[float, int, int, int]:
+    rows: dict = {}
+    cols: dict = {}
+    n_of: dict = {}
+    for av, bv, n in cells:
+        rows[av] = rows.get(av, 0) + n
+        cols[bv] = cols.get(bv, 0) + n
+        n_of[(av, bv)] = n
+    total = sum(rows.values())
+    r, c = len(rows), len(cols)
+    dof = (r - 1) * (c - 1)
+    chi2 = 0.0
+    for av, rn in rows.items():
+        for bv, cn in cols.items():
+            e = rn * cn / total
+            d = abs(n_of.get((av, bv), 0) - e)
+            if yates and dof == 1:
+                d -= min(0.5, d)
+            chi2 += d * d / e
+    return chi2, dof, r, c
+
+
 def chi2_statistic(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
-    """``(chi2, dof, n_rows, n_cols)`` with the Yates correction at dof = 1."""
+    """``(chi2, dof, n_rows, n_cols)`` with the Yates correction at dof = 1.
+
+    The cell counts are one ``groupBy(a, b)``; a table of at most
+    ``LOCAL_CELLS`` cells is finished on the driver, a larger one with
+    windows over the cell table.
+    """
+    spark = df.sparkSession
+    cells_df = (df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+                .groupBy(F.col(a).alias("a_value"), F.col(b).alias("b_value"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    head = cells_df.limit(LOCAL_CELLS + 1).collect()
+    schema = "chi2 double, dof long, n_rows long, n_cols long"
+    if len(head) <= LOCAL_CELLS:
+        if not head:
+            return spark.createDataFrame([], schema)
+        chi2, dof, r, c = _chi2_local([(x[0], x[1], x[2]) for x in head], yates)
+        return spark.createDataFrame([(chi2, dof, r, c)], schema)
+    return _chi2_distributed(df, a, b, yates)
+
+
+def _chi2_distributed(df: DataFrame, a: str, b: str, yates: bool) -> DataFrame:
     cells = contingency(df, a, b)
     shape = cells.agg(
         F.count_distinct("a_value").alias("r"),

@@ -11,10 +11,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortix.operators import clean, duplicates, profile, split, verdict
+from cohortix.operators import clean, duplicates, profile, split, stats, verdict
 from cohortix.roles import Roles
 
 
@@ -30,14 +30,27 @@ class AuditResult:
     skew: DataFrame
     issues: DataFrame
     readiness: DataFrame
+    scale_mix: DataFrame | None = None
+    critical: DataFrame | None = None
+    correlation: DataFrame | None = None
+    corr_pairs: DataFrame | None = None
+    corr_label: DataFrame | None = None
+    category_balance: DataFrame | None = None
+    bias: DataFrame | None = None
+    findings: DataFrame | None = None
 
 
 def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]],
-          exact: bool = True, persist: bool = True) -> AuditResult:
+          exact: bool = True, persist: bool = True, unit_col: str | None = None,
+          critical: Sequence[str] = (), bias_numeric: str | None = None) -> AuditResult:
     """All table profiles and the verdict for one table.
 
-    The input is persisted (it feeds about ten scans); each profile is one
-    wide aggregate over it.
+    The input is persisted (it feeds about fifteen scans); each profile is one
+    wide aggregate over it. ``unit_col`` gets the mixed-scale test (e.g. FiO2
+    as fraction vs percent), ``critical`` columns get an extra finding when
+    they violate their range, and for each category column the bias tests
+    run against every label (chi-squared) and ``bias_numeric`` is compared
+    between label groups (t-test).
     """
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     numeric = roles.numeric(src, include_flags=True)
@@ -47,7 +60,9 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
     outl = profile.iqr_outliers(src, numeric, exact=exact)
     bal = profile.class_balance(src, roles.labels)
     issues = verdict.issue_list(dups, miss, viol, outl, bal)
-    return AuditResult(
+    corr_cols = numeric + [c for c in roles.labels if c in src.columns]
+    corr = profile.correlation_matrix(src, corr_cols) if len(corr_cols) > 1 else None
+    res = AuditResult(
         shape=profile.table_shape(src),
         schema=profile.schema_profile(src, approx=not exact),
         duplicates=dups,
@@ -58,7 +73,87 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
         skew=profile.skewness(src, numeric),
         issues=issues,
         readiness=verdict.readiness(issues),
+        scale_mix=profile.scale_mix(src, unit_col) if unit_col else None,
+        critical=profile.critical_flag(viol, critical) if critical else None,
+        correlation=corr,
+        corr_pairs=profile.corr_pairs(corr, numeric) if corr is not None else None,
+        corr_label=profile.corr_label(corr, numeric, roles.labels) if corr is not None and roles.labels else None,
+        category_balance=profile.category_balance(src, roles.category) if roles.category else None,
+        bias=_bias(src, roles, bias_numeric) if roles.category and roles.labels else None,
     )
+    res.findings = findings(res)
+    return res
+
+
+def _bias(src: DataFrame, roles: Roles, numeric: str | None) -> DataFrame:
+    """Per (category, label): chi-squared (Yates at dof 1) and, for
+    ``numeric``, the two-sample t statistic between label groups."""
+    spark = src.sparkSession
+    rows = []
+    for cat in roles.category:
+        for lab in roles.labels:
+            r = stats.chi2_independence(src, cat, lab).first()
+            if r is not None:
+                rows.append(("chi2", cat, lab, float(r["chi2"]), float(r["p"]), r["verdict"]))
+    if numeric:
+        for lab in roles.labels:
+            r = stats.ttest_two_sample(src, lab, numeric).first()
+            rows.append(("ttest", numeric, lab, r["t"], r["p"], r["verdict"]))
+    return spark.createDataFrame(rows, "test string, subject string, label string, statistic double, "
+                                       "p double, verdict string")
+
+
+def findings(res: AuditResult) -> DataFrame:
+    """One ordered findings table ``(step, seq, severity, subject, message,
+    value)`` from the profile tables (each of schema-width size)."""
+    w = Window.partitionBy("step").orderBy(F.desc(F.abs(F.col("value"))), "subject")
+
+    def part(df: DataFrame, step: str, severity, subject, message: str, value) -> DataFrame:
+        sev = F.lit(severity) if isinstance(severity, str) else severity
+        return df.select(F.lit(step).alias("step"), sev.alias("severity"), subject.alias("subject"),
+                         F.lit(message).alias("message"), value.cast("double").alias("value"))
+
+    parts = [
+        part(res.shape, "1_structure", "INFO", F.lit("rows"), "row count", F.col("n_rows")),
+        part(res.duplicates, "1_structure", "INFO", F.lit("exact duplicates"), "duplicate rows", F.col("n_exact_dup")),
+        part(res.duplicates, "1_structure", "INFO", F.lit("feature duplicates"), "duplicates ignoring labels",
+             F.col("n_feature_dup")),
+        part(res.missing.where(F.col("n_missing") > 0), "2_missing",
+             F.when(F.col("high"), "MODERATE").otherwise("MINOR"), F.col("col_name"), "missing %",
+             F.col("missing_pct")),
+        part(res.violations, "3_ranges", "MODERATE", F.col("col_name"), "out-of-range %", F.col("pct")),
+        part(res.outliers, "4_outliers", F.when(F.col("pct") > 5, "MODERATE").otherwise("INFO"),
+             F.col("col_name"), "IQR outlier %", F.col("pct")),
+        part(res.balance, "5_imbalance", F.col("severity"), F.col("col_name"), "minority / majority",
+             F.col("ratio")),
+        part(res.skew, "6_skew", F.when(F.col("flagged"), "SUGGEST").otherwise("INFO"), F.col("col_name"),
+             "skewness", F.col("skew")),
+        part(res.issues, "9_verdict", F.col("severity"), F.col("subject"), "issue", F.col("value")),
+        part(res.readiness, "9_verdict", F.when(F.col("n_critical") > 0, "CRITICAL").otherwise("OK"),
+             F.col("status"), "readiness", F.col("n_critical")),
+    ]
+    if res.scale_mix is not None:
+        parts.append(part(res.scale_mix, "3_ranges", F.when(F.col("mixed"), "WARNING").otherwise("OK"),
+                          F.col("col_name"), "values <= 1 (mixed scale)", F.col("n_unit")))
+    if res.critical is not None:
+        parts.append(part(res.critical, "3_ranges", "CRITICAL", F.col("col_name"), "critical range", F.col("pct")))
+    if res.corr_pairs is not None:
+        parts.append(part(res.corr_pairs, "7_correlation", F.col("band"),
+                          F.concat_ws(" <-> ", "col_a", "col_b"), "feature pair r", F.col("r")))
+    if res.corr_label is not None:
+        parts.append(part(res.corr_label, "7_correlation", F.when(F.col("flagged"), "LEAKAGE RISK").otherwise("INFO"),
+                          F.concat_ws(" ~ ", "feature", "label"), "feature-label r", F.col("r")))
+    if res.category_balance is not None:
+        parts.append(part(res.category_balance, "8_bias", F.col("severity"), F.col("col_name"),
+                          "category min / max", F.col("ratio")))
+    if res.bias is not None:
+        parts.append(part(res.bias, "8_bias", F.col("verdict"), F.concat_ws(" x ", "test", "subject", "label"),
+                          "p-value", F.col("p")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out.withColumn("seq", F.row_number().over(w)).select(
+        "step", "seq", "severity", "subject", "message", "value")
 
 
 def fix(df: DataFrame, key: str, order_by: Sequence[str], roles: Roles,

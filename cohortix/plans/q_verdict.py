@@ -157,3 +157,19 @@ def q_fix_plan_summary(spark, sf):
                     ["l_orderkey"], log_cols=["l_extendedprice"])
     return out.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
                                     F.round(F.avg("l_extendedprice_log"), 6).alias("mean_log_price"))
+
+
+@query("audit_report")
+def q_audit_report(spark, sf):
+    """The whole audit on lineitem (category l_linestatus, labels is_r and
+    is_big, bias numeric l_quantity): the ordered findings table."""
+    li = lineitem(spark, sf).select(
+        "l_quantity", "l_extendedprice",
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("l_discount"),
+        F.nullif(F.col("l_tax"), F.lit(0.0)).alias("l_tax"), "l_linestatus",
+        (F.col("l_returnflag") == "R").cast("int").alias("is_r"),
+        (F.col("l_quantity") > 45).cast("int").alias("is_big"),
+    )
+    roles = Roles(labels=("is_r", "is_big"), category=("l_linestatus",))
+    res = plans.audit(li, roles, LI_RANGES, unit_col="l_quantity", critical=["l_tax"], bias_numeric="l_quantity")
+    return res.findings

@@ -80,7 +80,13 @@ def test_scan_reads_nan_text_as_missing(cohort):
 
 def test_audit_with_icu_rules(cohort):
     df, _ = cohort
-    res = plans.audit(df.drop("_ord"), icu.ROLES, icu.AUDIT_RANGES)
+    res = plans.audit(df.drop("_ord"), icu.ROLES, icu.AUDIT_RANGES, unit_col="fio2", critical=["ph", "spo2"],
+                      bias_numeric="age")
+    f = res.findings.collect()
+    steps = {r["step"] for r in f}
+    assert {"1_structure", "2_missing", "3_ranges", "7_correlation", "8_bias", "9_verdict"} <= steps
+    assert any(r["step"] == "3_ranges" and r["severity"] == "CRITICAL" and r["subject"] == "spo2" for r in f)
+    assert {r["test"] for r in res.bias.collect()} == {"chi2", "ttest"}
     issues = {(r["severity"], r["category"], r["subject"]) for r in res.issues.collect()}
     assert ("CRITICAL", "duplicates", "feature rows") in issues
     assert ("MODERATE", "range", "spo2") in issues

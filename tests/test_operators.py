@@ -278,3 +278,30 @@ def test_result_independent_of_partitioning(spark):
     a = metrics.roc_auc(sc, "y", "s").first()[0]
     b = metrics.roc_auc(sc.repartition(13), "y", "s").first()[0]
     assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_quantiles_distributed_ranking_path(spark, monkeypatch):
+    monkeypatch.setattr(cumulative, "LOCAL_RANK_ROWS", 0)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=3000), 1)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(3)
+    got = cumulative.quantile_table(df, ["x"], [0.05, 0.5, 0.95])["x"]
+    np.testing.assert_allclose(got, np.quantile(x, [0.05, 0.5, 0.95]), rtol=1e-12)
+
+
+@pytest.mark.parametrize("cells,chi2", [
+    ({("F", 0): 19789, ("F", 1): 21620, ("M", 0): 34303, ("M", 1): 34156}, 55.39),
+])
+def test_chi2_distributed_path(spark, monkeypatch, cells, chi2):
+    monkeypatch.setattr(stats, "LOCAL_CELLS", 0)
+    r = stats.chi2_statistic(_counts_frame(spark, cells), "gender", "y").first()
+    assert round(r["chi2"], 2) == chi2 and r["dof"] == 1
+
+
+def test_chi2_local_matches_distributed(spark):
+    rows = [(i % 4, (i * 7) % 3) for i in range(500)] + [(9, 2)]  # uneven grid with empty cells
+    df = spark.createDataFrame(rows, "a int, b int")
+    local = stats.chi2_statistic(df, "a", "b").first()
+    dist = stats._chi2_distributed(df, "a", "b", True).first()
+    assert local["dof"] == dist["dof"] == 8
+    assert local["chi2"] == pytest.approx(dist["chi2"], rel=1e-12)
