@@ -16,11 +16,6 @@ from cohortix.functions.exprs import pct, clip, encode_binary, outside, within_o
 from cohortix.operators.cumulative import quantile_table
 
 
-def _counts(df: DataFrame, exprs: dict[str, Column]) -> dict[str, int]:
-    row = df.agg(*[F.count_if(e).alias(k) for k, e in exprs.items()]).first()
-    return {k: int(row[k]) for k in exprs}
-
-
 def null_out_impossible(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Values outside ``[lo, hi]`` become NULL (only listed columns change)."""
     return df.withColumns(

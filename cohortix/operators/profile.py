@@ -464,7 +464,3 @@ def distinct_entities(df: DataFrame, split_col: str, group_col: str) -> DataFram
     return df.groupBy(split_col).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct(group_col).alias("n_groups")
     )
-
-
-def numeric_features(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [c for c in numeric_columns(df) if c not in set(exclude)]

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortix.functions import features as feat
-from cohortix.functions.exprs import encode_binary, safe_div, zero_to_null
+from cohortix.functions.exprs import safe_div, zero_to_null
 from cohortix.functions.text import REPLACEMENTS, normalize_text
-from cohortix.operators import clean, profile
+from cohortix.operators import clean
 from cohortix.plans.catalog import LI_NULLS_SQL, lineitem, lineitem_nulls, query, r6
 from cohortix.plans.q_profile import DEDUP_SQL, dedup_lineitem
 from cohortix.sources.scan import table

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortix.functions.exprs import case_flag, outside, severity_band
-from cohortix.operators import cumulative, duplicates, profile
+from cohortix.operators import duplicates, profile
 from cohortix.plans.catalog import (
     EV_SQL, LI_NULLS_SQL, LI_NUM, LI_ORDER, lineitem, lineitem_nulls, query, r6,
     scored_events, shared_dir, split_hash_sql,

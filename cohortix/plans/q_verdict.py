@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortix.operators import clean, duplicates, metrics, profile, split, verdict
+from cohortix.operators import clean, metrics, split, verdict
 from cohortix.plans import audit as plans
 from cohortix.plans.catalog import EV_SQL, LI_ORDER, lineitem, query, r6, scored_events, split_hash_sql
 from cohortix.plans.q_profile import DEDUP_SQL, LI_RANGES, dedup_lineitem
