@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from cohortix.functions.exprs import pct, severity_band
 from cohortix.operators.cumulative import quantile_table
-from cohortix.roles import numeric_columns
 
 
 def _inline(df: DataFrame, structs: list[Column]) -> DataFrame:
