@@ -36,6 +36,7 @@ WEIGHT = "weight"
 # Iterative learners run one task per partition per iteration: size the
 # training frame by its row count, not by the shuffle setting.
 ROWS_PER_PARTITION = 500_000
+MAX_CLASSES = 10_000
 
 
 def training_frame(df: DataFrame) -> DataFrame:
@@ -79,7 +80,10 @@ def with_balanced_weight(df: DataFrame, label: str, train: DataFrame | None = No
     many times do not re-run the count.
     """
     src = train if train is not None else df
-    counts = {r[0]: int(r[1]) for r in src.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    rows = src.groupBy(label).agg(F.count(F.lit(1))).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes; not a class label")
+    counts = {r[0]: int(r[1]) for r in rows}
     n, k = sum(counts.values()), len(counts)
     expr = None
     for cls, nc in counts.items():

@@ -142,3 +142,26 @@ def q_shap_mean_abs(spark, sf):
     from cohortix.operators import shap
 
     return shap.shap_mean_abs(_shap_frame(spark, sf), top=25)
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """A pipeline fitted on the batch train split scores lineitem arriving as
+    a file stream (threshold 0.5 per micro-batch); the sink is read back and
+    evaluated with the batch metrics."""
+    from cohortix.streaming import stateless as st
+
+    df = model_frame(spark, sf)
+    train = mdl.with_balanced_weight(df.where(F.col("split") == "train"), LABEL)
+    model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["LR"])
+    src = st.read_stream(spark, sf, lineitem(spark, sf).schema, glob="lineitem.parquet")
+    steps = [
+        lambda d: d.select("l_orderkey", "l_linenumber", *LI_NUM,
+                           (F.col("l_returnflag") == "R").cast("int").alias(LABEL)),
+        st.score_step(model, LI_NUM, 0.5, ["l_orderkey", "l_linenumber", LABEL]),
+    ]
+    base = shared_dir(spark, "stream_score")
+    st.write_stream(st.apply_steps(src, steps), f"{base}/out", f"{base}/checkpoint", timeout_s=600)
+    out = spark.read.schema(f"l_orderkey long, l_linenumber int, {LABEL} int, score double, pred int").parquet(
+        f"{base}/out")
+    return evaluate(out, LABEL, "score", 0.5)
