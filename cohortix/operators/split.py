@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortix.operators.cumulative import running_totals
 
 HASH_BUCKETS = 1_000_000
+MAX_BROADCAST_PHASES = 1_000_000
 
 
 def group_hash(group_cols: Sequence[str], seed: int = 42) -> Column:
@@ -117,7 +118,11 @@ def group_kfold(df: DataFrame, group_cols: Sequence[str], k: int = 5, seed: int
         "_cx_size long, _cx_a long, _cx_b long, _cx_cycle array<int>",
     )
     rank = F.col("_cx_rank_cx_one")
-    # phase table rows ~ distinct sizes * few; let the planner pick the join
+    # The phase table has len(phases) rows (a few per distinct group size),
+    # known here: broadcast it below the bound so a hot size never lands in
+    # one join partition; above it, AQE's skew join splits the hot size.
+    if len(phases) <= MAX_BROADCAST_PHASES:
+        plan = F.broadcast(plan)
     assign = ranked.join(plan, "_cx_size").where(
         (rank >= F.col("_cx_a")) & (rank <= F.col("_cx_b"))
     ).select(
