@@ -18,7 +18,11 @@ from cohortix.functions.exprs import pct, severity_band
 from cohortix.operators.cumulative import quantile_table
 
 
-def _inline(df: DataFrame, structs: list[Column]) -> DataFrame:
+def _inline(df: DataFrame, structs: list[Column], empty_schema: str | None = None) -> DataFrame:
+    """One aggregate over ``df`` returning one row per struct; with no structs
+    the (typed) empty table ``empty_schema``."""
+    if not structs:
+        return df.sparkSession.createDataFrame([], empty_schema or "col_name string")
     return df.agg(F.array(*structs).alias("_cx_a")).select(F.inline("_cx_a"))
 
 
@@ -39,7 +43,7 @@ def schema_profile(df: DataFrame, cols: Sequence[str] | None = None,
     ``approx=True`` swaps the exact count (one Expand per column) for the
     HyperLogLog++ sketch, which stays one pass at any scale.
     """
-    cols = list(cols or df.columns)
+    cols = list(df.columns if cols is None else cols)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     dist = F.approx_count_distinct if approx else F.count_distinct
     return _inline(
@@ -52,6 +56,7 @@ def schema_profile(df: DataFrame, cols: Sequence[str] | None = None,
             )
             for c in cols
         ],
+        "col_name string, dtype string, n_unique long",
     )
 
 
@@ -72,7 +77,7 @@ def unexpected_types(df: DataFrame, expected_strings: Sequence[str]) -> DataFram
 def missing_profile(df: DataFrame, cols: Sequence[str] | None = None,
                     high_pct: float = 30.0) -> DataFrame:
     """``(col_name, n_missing, missing_pct, high)`` sorted by count desc."""
-    cols = list(cols or df.columns)
+    cols = list(df.columns if cols is None else cols)
     n = F.count(F.lit(1))
     out = _inline(
         df,
@@ -84,6 +89,7 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None,
             )
             for c in cols
         ],
+        "col_name string, n_missing long, missing_pct double",
     )
     return out.withColumn("high", F.col("missing_pct") > high_pct).orderBy(
         F.desc("n_missing"), "col_name"
@@ -92,7 +98,7 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None,
 
 def missing_total(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(n_missing)`` summed over all ``cols`` in one pass."""
-    cols = list(cols or df.columns)
+    cols = list(df.columns if cols is None else cols)
     total = sum((F.count_if(F.col(c).isNull()) for c in cols), F.lit(0).cast("long"))
     return df.agg(total.cast("long").alias("n_missing"))
 
@@ -127,7 +133,9 @@ def range_violations(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -
                 F.round(F.max(x).cast("double"), 4).alias("actual_max"),
             )
         )
-    return _inline(df, structs).where(F.col("n_total") > 0).orderBy(
+    return _inline(df, structs, "col_name string, lo double, hi double, n_below long, n_above long, "
+                   "n_total long, pct double, actual_min double, actual_max double").where(
+        F.col("n_total") > 0).orderBy(
         F.desc("pct"), "col_name"
     )
 
@@ -217,7 +225,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5,
                 F.count_if(x.isNotNull() & ~inside).alias("n_fliers"),
             )
         )
-    return _inline(df, structs)
+    return _inline(df, structs, "col_name string, q1 double, median double, q3 double, "
+                   "whisker_lo double, whisker_hi double, n_fliers long")
 
 
 # --- moments ------------------------------------------------------------------
@@ -238,6 +247,7 @@ def skewness(df: DataFrame, cols: Sequence[str], flag_abs: float = 1.0) -> DataF
             F.struct(F.lit(c).alias("col_name"), _g1_adjusted(F.col(c).cast("double")).alias("skew"))
             for c in cols
         ],
+        "col_name string, skew double",
     )
     return out.withColumn("flagged", F.abs("skew") > flag_abs)
 
@@ -257,6 +267,7 @@ def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             )
             for c in cols
         ],
+        "col_name string, n long, mean double, std double, min double, max double",
     )
 
 
@@ -289,6 +300,9 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def _balance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: number of classes, smallest and largest class, min/max ratio."""
     parts = []
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "col_name string, n_classes long, n_min long, n_max long, ratio double")
     for c in cols:
         counts = (
             df.where(F.col(c).isNotNull())
@@ -402,6 +416,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], batch: int = 100) ->
     """
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, i int, j int, r double")
     parts = []
     for s in range(0, len(pairs), batch):
         chunk = pairs[s : s + batch]

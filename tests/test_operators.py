@@ -305,3 +305,14 @@ def test_chi2_local_matches_distributed(spark):
     dist = stats._chi2_distributed(df, "a", "b", True).first()
     assert local["dof"] == dist["dof"] == 8
     assert local["chi2"] == pytest.approx(dist["chi2"], rel=1e-12)
+
+
+def test_profiles_with_no_matching_columns(spark):
+    df = spark.createDataFrame([(1.0, "a")], "x double, s string")
+    assert profile.range_violations(df, {"nope": (0, 1)}).count() == 0
+    assert profile.missing_profile(df, []).count() == 0
+    assert profile.skewness(df, []).count() == 0
+    assert profile.summary_stats(df, []).count() == 0
+    assert profile.class_balance(df, []).count() == 0
+    assert profile.correlation_matrix(df, ["x"]).count() == 0
+    assert set(profile.correlation_matrix(df, ["x"]).columns) == {"col_a", "col_b", "i", "j", "r"}
