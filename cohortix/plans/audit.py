@@ -38,6 +38,12 @@ class AuditResult:
     category_balance: DataFrame | None = None
     bias: DataFrame | None = None
     findings: DataFrame | None = None
+    source: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the persisted input once the results have been written."""
+        if self.source is not None:
+            self.source.unpersist()
 
 
 def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]],
@@ -82,6 +88,7 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
         bias=_bias(src, roles, bias_numeric) if roles.category and roles.labels else None,
     )
     res.findings = findings(res)
+    res.source = src if persist else None
     return res
 
 
