@@ -109,10 +109,12 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def score_cumulative(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, descending: ``(by..., score, pos, neg, cum_pos, cum_neg,
-    total_pos, total_neg)``; cumulative counts include the score itself."""
+    total_pos, total_neg)``; cumulative counts include the score itself.
+    Rows without a score or label are left out."""
     by = list(by)
     y = F.col(label).cast("int")
-    per = df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
+    scored = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    per = scored.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
     return running_totals(per, [F.col("score").desc()], ["pos", "neg"], group_by=by,

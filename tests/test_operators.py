@@ -316,3 +316,10 @@ def test_profiles_with_no_matching_columns(spark):
     assert profile.class_balance(df, []).count() == 0
     assert profile.correlation_matrix(df, ["x"]).count() == 0
     assert set(profile.correlation_matrix(df, ["x"]).columns) == {"col_a", "col_b", "i", "j", "r"}
+
+
+def test_null_scores_and_labels_are_left_out(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (None, 0.5), (0, 0.8)], "y int, s double")
+    clean = spark.createDataFrame([(1, 0.9), (0, 0.1), (0, 0.8)], "y int, s double")
+    assert metrics.roc_auc(df, "y", "s").first()[0] == metrics.roc_auc(clean, "y", "s").first()[0] == 1.0
+    assert metrics.average_precision(df, "y", "s").first()[0] == 1.0
