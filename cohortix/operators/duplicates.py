@@ -76,7 +76,19 @@ def _eq(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def dup_mark(df: DataFrame, cols: Sequence[str], order_by: Sequence[str],
+ROW_ORDER = "_row_order"
+
+
+def _order(df: DataFrame, order_by: Sequence[str] | None) -> list[str]:
+    """The given order, else the scan's file/row position (``_row_order``)."""
+    if order_by:
+        return list(order_by)
+    if ROW_ORDER in df.columns:
+        return [ROW_ORDER]
+    raise ValueError("no row order: pass order_by or scan with row_order=True")
+
+
+def dup_mark(df: DataFrame, cols: Sequence[str], order_by: Sequence[str] | None = None,
              out: str = "is_dup") -> DataFrame:
     """Mark the 2nd..nth copy of each ``cols`` group (first in ``order_by`` kept).
 
@@ -85,7 +97,7 @@ def dup_mark(df: DataFrame, cols: Sequence[str], order_by: Sequence[str],
     the group key; a hot key on the big side is split by AQE's skew-join. The
     order must be total (e.g. the scan's file/row position).
     """
-    cols, order_by = list(cols), list(order_by)
+    cols, order_by = list(cols), _order(df, order_by)
     ordk = F.struct(*[F.col(c) for c in order_by])
     firsts = df.groupBy(*cols).agg(F.min(ordk).alias("_cx_first"))
     d = df.withColumn("_cx_ord", ordk)
@@ -97,7 +109,7 @@ def dup_mark(df: DataFrame, cols: Sequence[str], order_by: Sequence[str],
     )
 
 
-def dedup_majority(df: DataFrame, key: str, order_by: Sequence[str],
+def dedup_majority(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
                    first_cols: Sequence[str] | None = None,
                    vote_cols: Sequence[str] = ()) -> DataFrame:
     """One row per ``key``.
@@ -108,8 +120,9 @@ def dedup_majority(df: DataFrame, key: str, order_by: Sequence[str],
     rows with a NULL key are dropped. Both aggregates are partial-able.
     """
     vote = list(vote_cols)
+    order_by = _order(df, order_by)
     firsts = list(first_cols) if first_cols is not None else [
-        c for c in df.columns if c != key and c not in set(vote)
+        c for c in df.columns if c != key and c not in set(vote) and c != ROW_ORDER
     ]
     ordk = F.struct(*[F.col(c) for c in order_by])
     aggs = [

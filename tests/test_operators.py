@@ -323,3 +323,16 @@ def test_null_scores_and_labels_are_left_out(spark):
     clean = spark.createDataFrame([(1, 0.9), (0, 0.1), (0, 0.8)], "y int, s double")
     assert metrics.roc_auc(df, "y", "s").first()[0] == metrics.roc_auc(clean, "y", "s").first()[0] == 1.0
     assert metrics.average_precision(df, "y", "s").first()[0] == 1.0
+
+
+def test_file_order_is_the_default_first(spark, tmp_path):
+    from cohortix.sources.scan import scan_parquet
+
+    rows = [(1, None, 1), (1, 7.0, 0), (1, 5.0, 0), (2, 3.0, 1), (2, 3.0, 1)]
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame(rows, "k long, x double, y int").coalesce(1).write.parquet(path)
+    df = scan_parquet(spark, path, row_order=True)
+    out = {r["k"]: r for r in duplicates.dedup_majority(df, "k", vote_cols=["y"]).collect()}
+    assert out[1]["x"] == 7.0 and out[1]["y"] == 0 and out[2]["y"] == 1
+    marks = duplicates.dup_mark(df, ["k", "x", "y"]).where("is_dup").count()
+    assert marks == 1
