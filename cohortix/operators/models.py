@@ -235,17 +235,29 @@ def draw_params(grid: Mapping[str, Sequence], n_iter: int, seed: int = 42) -> li
 
 
 def random_search(df: DataFrame, features, label, fold_col: str, kind: str,
-                  grid: Mapping[str, Sequence], n_iter: int, seed: int = 42) -> DataFrame:
+                  grid: Mapping[str, Sequence], n_iter: int, seed: int = 42,
+                  parallelism: int = 4) -> DataFrame:
     """Random search scored by mean fold ROC-AUC: ``(candidate, params, mean_auc,
-    std_auc, rank)``. Each candidate is a ``cv_metrics`` run."""
-    rows = []
+    std_auc, rank)``. Each candidate is a ``cv_metrics`` run over one shared,
+    persisted training frame; up to ``parallelism`` candidates run at once
+    (concurrent Spark jobs from driver threads)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = df.sparkSession
     base = training_frame(df)
-    for i, p in enumerate(draw_params(grid, n_iter, seed)):
+
+    def run(item):
+        i, p = item
         m = cv_metrics(base, features, label, fold_col, ModelSpec(f"c{i}", kind, p), prepared=True)
         s = m.agg(F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")).first()
-        rows.append((i, str(sorted(p.items())), float(s["mean"] or 0.0), float(s["std"] or 0.0)))
-    base.unpersist()
+        return (i, str(sorted(p.items())), float(s["mean"] or 0.0), float(s["std"] or 0.0))
+
+    draws = list(enumerate(draw_params(grid, n_iter, seed)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(run, draws))
+    finally:
+        base.unpersist()
     res = spark.createDataFrame(rows, "candidate int, params string, mean_auc double, std_auc double")
     from pyspark.sql import Window
 
