@@ -194,22 +194,28 @@ def train_and_score(df: DataFrame, features, label, split_col: str, specs: Seque
 
 
 def cv_metrics(df: DataFrame, features, label, fold_col: str, spec: ModelSpec,
-               threshold: float = 0.5, prepared: bool = False) -> DataFrame:
+               threshold: float = 0.5, prepared: bool = False, parallelism: int = 5) -> DataFrame:
     """Per-fold metrics; the scaler (and weights) are refitted on each fold's
-    training part. Scores of all folds are unioned and evaluated in one job."""
+    training part. Folds are fitted as concurrent Spark jobs (up to
+    ``parallelism``); their scores are unioned and evaluated in one job."""
+    from concurrent.futures import ThreadPoolExecutor
+
     base = df if prepared else training_frame(df)
     folds = sorted(r[0] for r in base.select(fold_col).distinct().collect())
-    parts = []
-    for f in folds:
+    weigh = with_pos_weight if spec.kind == "boosted" else with_balanced_weight
+
+    def fit_fold(f):
         tr = base.where(F.col(fold_col) != f)
         va = base.where(F.col(fold_col) == f)
-        w = with_pos_weight if spec.kind == "boosted" else with_balanced_weight
-        model = fit(w(tr, label), features, label, spec)
-        parts.append(score(model, va, [label]).withColumn(fold_col, F.lit(f)))
+        model = fit(weigh(tr, label), features, label, spec)
+        return score(model, va, [label]).withColumn(fold_col, F.lit(f))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(fit_fold, folds))
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    scored = scored.checkpoint(eager=True)  # cut the 5-fit lineage before the metric job
+    scored = scored.checkpoint(eager=True)  # cut the per-fold lineage before the metric job
     if not prepared:
         base.unpersist()
     return M.evaluate(scored, label, SCORE, threshold, by=[fold_col])
@@ -248,7 +254,8 @@ def random_search(df: DataFrame, features, label, fold_col: str, kind: str,
 
     def run(item):
         i, p = item
-        m = cv_metrics(base, features, label, fold_col, ModelSpec(f"c{i}", kind, p), prepared=True)
+        m = cv_metrics(base, features, label, fold_col, ModelSpec(f"c{i}", kind, p), prepared=True,
+                       parallelism=1)
         s = m.agg(F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")).first()
         return (i, str(sorted(p.items())), float(s["mean"] or 0.0), float(s["std"] or 0.0))
 
