@@ -71,3 +71,8 @@ def pct(part: Column, whole: Column) -> Column:
     """Percentage as ``part * 100.0 / whole`` (one fixed operation order, so
     the rounding of half-way values is reproducible)."""
     return F.try_divide(part * 100.0, whole)
+
+
+def round_n(c: str | Column, digits: int) -> Column:
+    """Round half up at ``digits`` decimals."""
+    return F.round(col_(c), digits)

@@ -146,3 +146,18 @@ def before_after(original: DataFrame, cleaned: DataFrame, numeric: Sequence[str]
         "n_missing",
         "n_feature_dup",
     )
+
+
+def label_filter(df: DataFrame, label: str, value) -> DataFrame:
+    """Rows of one label value (pushed down to the scan as ``EqualTo``)."""
+    return df.where(F.col(label) == F.lit(value))
+
+
+def drop_missing(df: DataFrame, col: str) -> DataFrame:
+    """Rows where ``col`` is present (``dropna(subset=[col])``)."""
+    return df.where(F.col(col).isNotNull())
+
+
+def project_roles(df: DataFrame, roles) -> DataFrame:
+    """Keep the feature columns of ``roles`` (drop ids, labels, excluded)."""
+    return df.select(*roles.features(df))

@@ -175,7 +175,9 @@ SELECT o_orderkey, round(o_totalprice / 7.0, 2) AS price_7 FROM orders
 """)
 def q_round_n(spark, sf):
     o = table(spark, sf, "orders")
-    return o.select("o_orderkey", F.round(F.col("o_totalprice") / 7.0, 2).alias("price_7"))
+    from cohortix.functions.exprs import round_n
+
+    return o.select("o_orderkey", round_n(F.col("o_totalprice") / 7.0, 2).alias("price_7"))
 
 
 # --- text --------------------------------------------------------------------------------------

@@ -139,9 +139,10 @@ SELECT l_partkey, l_suppkey, l_quantity, round(l_extendedprice, 6) AS l_extended
        round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax, l_linestatus FROM lineitem
 """)
 def q_project_roles(spark, sf):
+    from cohortix.operators.clean import project_roles
+
     roles = Roles(ids=("l_orderkey", "l_linenumber"), labels=("l_returnflag",), exclude=("l_shipdate",))
-    li = lineitem(spark, sf)
-    return r6(li.select(*roles.features(li)))
+    return r6(project_roles(lineitem(spark, sf), roles))
 
 
 @query("range_filter", """
@@ -156,7 +157,9 @@ def q_range_filter(spark, sf):
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R'
 """)
 def q_label_filter(spark, sf):
-    return lineitem(spark, sf).where(F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "l_quantity")
+    from cohortix.operators.clean import label_filter
+
+    return label_filter(lineitem(spark, sf), "l_returnflag", "R").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("drop_missing", f"""
@@ -164,7 +167,9 @@ SELECT CAST(count(*) AS BIGINT) AS n_rows, round(avg(l_discount), 6) AS mean_dis
 FROM {LI_NULLS_SQL} WHERE l_discount IS NOT NULL
 """)
 def q_drop_missing(spark, sf):
-    d = lineitem_nulls(spark, sf).where(F.col("l_discount").isNotNull())
+    from cohortix.operators.clean import drop_missing
+
+    d = drop_missing(lineitem_nulls(spark, sf), "l_discount")
     return r6(d.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("l_discount").alias("mean_discount")))
 
 
