@@ -233,10 +233,12 @@ def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5,
 
 
 def _g1_adjusted(x: Column) -> Column:
-    """Bias-adjusted sample skewness G1 (pandas ``skew``); NULL for n < 3."""
+    """Bias-adjusted sample skewness G1 (pandas ``skew``); NULL for n < 3 and
+    0.0 for a constant column (Spark's ``skewness`` gives NULL there)."""
     n = F.count(x).cast("double")
     g1 = F.skewness(x)
-    return F.when(n >= 3, g1 * F.sqrt(n * (n - 1)) / (n - 2))
+    constant = F.max(x) == F.min(x)
+    return F.when(n >= 3, F.when(constant, F.lit(0.0)).otherwise(g1 * F.sqrt(n * (n - 1)) / (n - 2)))
 
 
 def skewness(df: DataFrame, cols: Sequence[str], flag_abs: float = 1.0) -> DataFrame:

@@ -336,3 +336,12 @@ def test_file_order_is_the_default_first(spark, tmp_path):
     assert out[1]["x"] == 7.0 and out[1]["y"] == 0 and out[2]["y"] == 1
     marks = duplicates.dup_mark(df, ["k", "x", "y"]).where("is_dup").count()
     assert marks == 1
+
+
+def test_constant_column_and_single_class(spark):
+    df = spark.createDataFrame([(5.0, 1), (5.0, 1), (5.0, 1), (5.0, 1)], "c double, y int")
+    assert profile.skewness(df, ["c"]).first()["skew"] == pd.Series([5.0] * 4).skew() == 0.0
+    b = profile.class_balance(df, ["y"]).first()
+    assert (b["n_classes"], b["ratio"], b["severity"]) == (1, 1.0, "OK")
+    s = split.standard_scale(df, ["c"]).collect()
+    assert all(r["c"] == 0.0 for r in s)
