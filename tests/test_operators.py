@@ -345,3 +345,23 @@ def test_constant_column_and_single_class(spark):
     assert (b["n_classes"], b["ratio"], b["severity"]) == (1, 1.0, "OK")
     s = split.standard_scale(df, ["c"]).collect()
     assert all(r["c"] == 0.0 for r in s)
+
+
+def test_engineered_features_zero_denominators(spark):
+    from cohortix.functions.features import ENGINEERED, add_features
+
+    cols = ("sys_bp double, dia_bp double, pao2 double, fio2 double, resp_rate double, tidal_volume double, "
+            "paco2 double, hypertension int, diabetes int, copd int, heart_failure int, sofa_score int, "
+            "icu_los_days double, hosp_los_days double, charlson_comorbidity_index int")
+    rows = [
+        (120.0, 60.0, 0.0, 50.0, 20.0, 500.0, 40.0, 1, 0, 1, 0, 9, 0.0, 10.0, None),   # pao2 0, icu_los 0
+        (120.0, 60.0, 90.0, 0.0, 20.0, 0.0, 40.0, 0, 0, 0, 0, 2, 2.0, 0.0, 6),        # fio2 0, tidal 0, hosp 0
+    ]
+    out = add_features(spark.createDataFrame(rows, cols)).collect()
+    a, b = out
+    assert set(ENGINEERED) <= set(a.asDict())
+    assert a["oxi_index"] is None and a["sofa_per_day"] is None and a["charlson_high"] == 0
+    assert a["map"] == 80.0 and a["pulse_pressure"] == 60.0 and a["comorbidity_count"] == 2
+    assert a["pf_ratio"] == 0.0 and a["sofa_high"] == 1 and a["pao2_log"] == 0.0
+    assert b["pf_ratio"] is None and b["rsbi"] is None and b["los_ratio"] is None and b["charlson_high"] == 1
+    assert b["aa_gradient"] == pytest.approx(0 / 100 * 713 - 40 / 0.8 - 90)
