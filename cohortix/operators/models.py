@@ -174,19 +174,28 @@ def fit_boosted(train: DataFrame, features, label, params=None) -> PipelineModel
 
 
 def train_and_score(df: DataFrame, features, label, split_col: str, specs: Sequence[ModelSpec],
-                    id_cols: Sequence[str], weight: str = "balanced") -> DataFrame:
+                    id_cols: Sequence[str], weight: str = "balanced", parallelism: int = 3) -> DataFrame:
     """Fit each spec on ``split == 'train'`` and score ``split == 'test'``.
 
-    Returns ``(model, id..., label, score)`` for all models (one frame).
+    Models are fitted as concurrent Spark jobs (up to ``parallelism``) over
+    one persisted training frame. Returns ``(model, id..., label, score)``
+    for all models (one frame).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     train = training_frame(df.where(F.col(split_col) == "train"))
     test = df.where(F.col(split_col) == "test")
-    parts = []
-    for spec in specs:
+
+    def one(spec: ModelSpec) -> DataFrame:
         w = with_balanced_weight if weight == "balanced" or spec.kind != "boosted" else with_pos_weight
         model = fit(w(train, label), features, label, spec)
-        parts.append(score(model, test, [*id_cols, label]).withColumn("model", F.lit(spec.name)))
-    train.unpersist()
+        return score(model, test, [*id_cols, label]).withColumn("model", F.lit(spec.name))
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            parts = list(pool.map(one, specs))
+    finally:
+        train.unpersist()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
