@@ -27,16 +27,17 @@ def duplicate_profile(df: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
     feats = [c for c in df.columns if c not in set(labels)]
     if labels:
         inner = df.groupBy(*feats).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_distinct(F.struct(*labels)).alias("k"),
+            F.count(F.lit(1)).alias("_cx_n"),
+            F.count_distinct(F.struct(*labels)).alias("_cx_k"),
         )
     else:
-        inner = df.groupBy(*feats).agg(F.count(F.lit(1)).alias("n"), F.lit(1).cast("long").alias("k"))
+        inner = df.groupBy(*feats).agg(F.count(F.lit(1)).alias("_cx_n"),
+                                       F.lit(1).cast("long").alias("_cx_k"))
     s = inner.agg(
-        F.sum("n").alias("n_rows"),
-        F.sum("k").alias("n_distinct_rows"),
+        F.sum("_cx_n").alias("n_rows"),
+        F.sum("_cx_k").alias("n_distinct_rows"),
         F.count(F.lit(1)).alias("n_distinct_features"),
-        F.count_if(F.col("k") > 1).alias("n_conflict_groups"),
+        F.count_if(F.col("_cx_k") > 1).alias("n_conflict_groups"),
     )
     return s.select(
         F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),

@@ -309,13 +309,13 @@ def _balance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         counts = (
             df.where(F.col(c).isNotNull())
             .groupBy(F.col(c))
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count(F.lit(1)).alias("_cx_n"))
         )
         parts.append(
             counts.agg(
                 F.count(F.lit(1)).alias("n_classes"),
-                F.min("n").alias("n_min"),
-                F.max("n").alias("n_max"),
+                F.min("_cx_n").alias("n_min"),
+                F.max("_cx_n").alias("n_max"),
             ).select(
                 F.lit(c).alias("col_name"),
                 "n_classes",

@@ -58,6 +58,8 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
     run against every label (chi-squared) and ``bias_numeric`` is compared
     between label groups (t-test).
     """
+    if duplicates.ROW_ORDER in df.columns:  # file position is not data
+        df = df.drop(duplicates.ROW_ORDER)
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     numeric = roles.numeric(src, include_flags=True)
     dups = duplicates.duplicate_profile(src, roles.labels)
@@ -163,7 +165,7 @@ def findings(res: AuditResult) -> DataFrame:
         "step", "seq", "severity", "subject", "message", "value")
 
 
-def fix(df: DataFrame, key: str, order_by: Sequence[str], roles: Roles,
+def fix(df: DataFrame, key: str, order_by: Sequence[str] | None, roles: Roles,
         impossible: Mapping[str, tuple[float, float]], caps: Mapping[str, tuple[float, float]],
         group_cols: Sequence[str], log_cols: Sequence[str] = (), encode_col: str | None = None,
         fit_on: str = "train", test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
@@ -172,7 +174,8 @@ def fix(df: DataFrame, key: str, order_by: Sequence[str], roles: Roles,
     ``fit_on="train"`` fits the medians on the train split only (no leakage);
     ``"all"`` fits them on every row as the original study did.
     """
-    firsts = [c for c in df.columns if c != key and c not in set(roles.labels)]
+    firsts = [c for c in df.columns
+              if c != key and c not in set(roles.labels) and c != duplicates.ROW_ORDER]
     one = duplicates.dedup_majority(df, key, order_by, first_cols=firsts, vote_cols=roles.labels)
     one = clean.null_out_impossible(one, impossible)
     one = clean.winsorize(one, caps)

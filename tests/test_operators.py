@@ -365,3 +365,19 @@ def test_engineered_features_zero_denominators(spark):
     assert a["pf_ratio"] == 0.0 and a["sofa_high"] == 1 and a["pao2_log"] == 0.0
     assert b["pf_ratio"] is None and b["rsbi"] is None and b["los_ratio"] is None and b["charlson_high"] == 1
     assert b["aa_gradient"] == pytest.approx(0 / 100 * 713 - 40 / 0.8 - 90)
+
+
+def test_row_order_column_is_not_data(spark, tmp_path):
+    from cohortix.plans import audit as plans
+    from cohortix.roles import Roles
+    from cohortix.sources.scan import scan_parquet
+
+    rows = [(1, 2.0, 0), (1, 2.0, 0), (2, None, 1), (2, 5.0, 1)]
+    path = str(tmp_path / "c.parquet")
+    spark.createDataFrame(rows, "k long, x double, y int").coalesce(1).write.parquet(path)
+    df = scan_parquet(spark, path, row_order=True)
+    res = plans.audit(df, Roles(ids=("k",), labels=("y",)), {"x": (0, 4)}, persist=False)
+    assert res.duplicates.first()["n_exact_dup"] == 1
+    fixed = plans.fix(df, "k", None, Roles(ids=("k",), labels=("y",)), {}, {}, ["k"])
+    assert "_row_order" not in fixed.columns
+    assert {r["k"]: r["x"] for r in fixed.collect()} == {1: 2.0, 2: 5.0}
