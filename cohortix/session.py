@@ -23,6 +23,7 @@ _LOCAL_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
     "spark.sql.ansi.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
