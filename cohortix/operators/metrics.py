@@ -112,6 +112,9 @@ def score_cumulative(df: DataFrame, label: str, score: str, by: Sequence[str] =
     total_pos, total_neg)``; cumulative counts include the score itself.
     Rows without a score or label are left out."""
     by = list(by)
+    taken = {"score", "pos", "neg"} & set(by)
+    if taken:
+        raise ValueError(f"grouping columns {sorted(taken)} clash with the output columns")
     y = F.col(label).cast("int")
     scored = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     per = scored.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
