@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding, spotsigs
+from . import bpe, mixing, quality, sharding, spotsigs, token_counts
 from .common import table
 
 N_SHARDS = 24
+TOKEN_LIMIT = 512
+
+
+def vocabulary() -> str:
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op3_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +38,11 @@ def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
+    return x.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = spotsigs.fingerprints(table(spark, sf_dir, "documents"))
     return x.select(
@@ -39,4 +54,5 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_stratified_sharding, op4_quality_rules, op6_sainte_lague_mix, op10_spotsigs)}
+    op2_bpe_round_trip, op3_stratified_sharding, op4_quality_rules, op6_sainte_lague_mix,
+    op8_token_counts, op10_spotsigs)}
