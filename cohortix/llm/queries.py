@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, sharding, spotsigs, token_counts
+from . import bpe, html_extract, langid, mixing, quality, sharding, spotsigs, token_counts
 from .common import table
 
 N_SHARDS = 24
@@ -33,6 +33,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "base_failed", "kept")
 
 
+def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "size", "source_size", "target", "taken")
@@ -43,6 +47,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
+    x = langid.predict_languages(table(spark, sf_dir, "documents"), ~held_out)
+    return x.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = spotsigs.fingerprints(table(spark, sf_dir, "documents"))
     return x.select(
@@ -54,5 +64,5 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_stratified_sharding, op4_quality_rules, op6_sainte_lague_mix,
-    op8_token_counts, op10_spotsigs)}
+    op2_bpe_round_trip, op3_stratified_sharding, op4_quality_rules, op5_line_blocks,
+    op6_sainte_lague_mix, op8_token_counts, op9_cross_parsing, op10_spotsigs)}
