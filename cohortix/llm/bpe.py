@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import ready, text_of
 from .pretokens import ByteLevel
 
 ARROW = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
@@ -242,7 +242,7 @@ def _mapped(df: DataFrame, path: str, text_col: str, keep: list[str], schema: st
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + cols, names=[*keep, *names])
 
     names, types = zip(*[(x.split()[0], ARROW[x.split()[1]]) for x in schema.split(", ")])
-    src = df.select(*[F.col(c) for c in keep], text_of(text_col).alias("_text"))
+    src = ready(df).select(*[F.col(c) for c in keep], text_of(text_col).alias("_text"))
     out = ", ".join([*[f"`{c}` {t}" for c, t in src.dtypes if c != "_text"], schema])
     return src.mapInArrow(run, out)
 
@@ -270,7 +270,7 @@ def decode_documents(df: DataFrame, path: str, ids_col: str = "ids", keep: list[
             text = pa.array([bpe.decode(x.as_py()) for x in b.column("_ids")], pa.string())
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [text], names=[*keep, "text"])
 
-    src = df.select(*[F.col(c) for c in keep], F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("_ids"))
+    src = ready(df).select(*[F.col(c) for c in keep], F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("_ids"))
     out = ", ".join([*[f"`{c}` {t}" for c, t in src.dtypes if c != "_ids"], "text string"])
     return src.mapInArrow(run, out)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -84,6 +85,15 @@ def running_sums(df: DataFrame, keys: list[str], bucket: str, order: list[Column
     )
 
 
+def ready(df: DataFrame) -> DataFrame:
+    """Let Python workers find this package where the driver has it (else they use an installed one)."""
+    env = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+    return df
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 

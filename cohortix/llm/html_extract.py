@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import ready, text_of
 
 #: Lines in a window.
 WINDOW = 3
@@ -186,6 +186,6 @@ def extract_text(df: DataFrame, html_col: str = "html", keep: list[str] = ("page
             text = pa.array([extract(x.as_py()) for x in b.column("_html")], pa.string())
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [text], names=[*keep, "text"])
 
-    src = df.select(*[F.col(c) for c in keep], text_of(html_col).alias("_html"))
+    src = ready(df).select(*[F.col(c) for c in keep], text_of(html_col).alias("_html"))
     out = ", ".join([*[f"`{c}` {t}" for c, t in src.dtypes if c != "_html"], "text string"])
     return src.mapInArrow(run, out).withColumn("n_chars", F.char_length("text").cast("bigint"))

@@ -8,7 +8,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unit_hash
+from .common import ready, unit_hash
 
 #: Characters of labelled text that a language's automaton is built from, at most.
 TRAIN_CHARS = 40_000
@@ -205,7 +205,7 @@ def predict_languages(df: DataFrame, learn: Column, id_col: str = "doc_id", text
                 [b.column("doc_id"), pa.array([m[0] for m in made], pa.string()),
                  pa.array([m[1] for m in made], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    src = ready(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 

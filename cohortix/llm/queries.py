@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, langid, mixing, quality, sharding, spotsigs, token_counts
+from . import bpe, html_extract, jaccard_join, langid, mixing, quality, sharding, spotsigs, token_counts
 from .common import table
 
 N_SHARDS = 24
@@ -17,6 +17,10 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("th")
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -64,5 +68,5 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_stratified_sharding, op4_quality_rules, op5_line_blocks,
+    op1_chosen_path_join, op2_bpe_round_trip, op3_stratified_sharding, op4_quality_rules, op5_line_blocks,
     op6_sainte_lague_mix, op8_token_counts, op9_cross_parsing, op10_spotsigs)}

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import ready, text_of
 from .pretokens import ByteLevel
 
 #: Pre-tokens that a worker remembers besides the broadcast table.
@@ -95,6 +95,6 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             n = pa.array([lengths.count(t.as_py()) for t in b.column("_text")], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n], names=["doc_id", "n_bytes", "n_tokens"])
 
-    src = df.select(F.col(id_col).alias("doc_id"), F.octet_length(text_of(text_col)).cast("bigint").alias("n_bytes"),
+    src = ready(df).select(F.col(id_col).alias("doc_id"), F.octet_length(text_of(text_col)).cast("bigint").alias("n_bytes"),
                     text_of(text_col).alias("_text"))
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_tokens bigint")
