@@ -275,14 +275,15 @@ def decode_documents(df: DataFrame, path: str, ids_col: str = "ids", keep: list[
     return src.mapInArrow(run, out)
 
 
-def _round_trip(bpe: SegmentBpe, text: str, ids: list[int]) -> tuple[int, str, str]:
+def _round_trip(bpe: SegmentBpe, text: str, ids: list[int]) -> tuple[int, str, str, list[int]]:
     back = bpe.decode(ids)
     return (len(ids), hashlib.sha256(",".join(map(bpe.id_text.__getitem__, ids)).encode()).hexdigest(),
-            hashlib.sha256(back.encode()).hexdigest())
+            hashlib.sha256(back.encode()).hexdigest(), ids)
 
 
-def digests(df: DataFrame, path: str, text_col: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
-    """Encode and decode every whole text in one pass and keep the digests:
-    n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256 (UTF-8)."""
-    return _mapped(df, path, text_col, list(keep), "n_tokens bigint, ids_sha256 string, decoded_sha256 string",
-                   _round_trip)
+def digests(df: DataFrame, path: str, text_col: str = "text", keep: list[str] = ("doc_id",),
+            with_ids: bool = False) -> DataFrame:
+    """Encode and decode every whole text in one pass: n_tokens, ids_sha256 (decimal
+    ids joined by commas), decoded_sha256 (UTF-8) and, if asked for, the ids."""
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _mapped(df, path, text_col, list(keep), schema, _round_trip)

@@ -251,7 +251,8 @@ def needed_runs(threshold: float, recall: float) -> int:
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                  threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, and th (64-bit hash of its text).
+    """One row per document: doc_id, class_id, n_links, th (64-bit hash of its text) and
+    first (whether it is the one of its class that stays: least id, then least th).
 
     Two documents are linked if the Jaccard similarity of their sets of
     ``shingle``-word runs is ``threshold`` or more. n_links is the number of
@@ -299,7 +300,8 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         named, f"doc_id {id_type}, th bigint, cls binary, n int, sketch binary, "
                "chains array<struct<a:bigint,b:bigint,c:bigint>>"), "shingled")
     classes = stored(rows.where("cls is not null").groupBy("cls").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "th")).alias("rep"),
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct(
+            F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("rep"),
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("chains").alias("chains")), "classes")
 
     # the recursion: a level's large buckets go on to the next level's
@@ -349,14 +351,30 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = components(linked.where("large").select(F.col("cls").alias("u"), F.col("root").alias("v")))
     root = linked.where("not large").select("cls", "root").unionByName(joined.select(F.col("node").alias("cls"), "root"))
     links = linked.groupBy("cls").agg(F.sum("links").alias("links"))
-    per = classes.select("cls", "copies", F.col("rep.doc_id").alias("_id")).join(links, "cls", "left").join(
+    per = classes.select("cls", "copies", "rep").join(links, "cls", "left").join(
         root, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    per = per.join(per.groupBy("root").agg(F.min("_id").alias("class_id")), "root")
-    return rows.select("doc_id", "th", "cls").join(
-        per.select("cls", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
-        "cls", "left").select(
-            "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "th")
+    per = per.join(per.groupBy("root").agg(F.min("rep").alias("first")), "root")
+    out = rows.select("doc_id", "th", "cls").join(
+        per.select("cls", "first", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
+        "cls", "left")
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))
+    return out.select(
+        "doc_id", F.coalesce("first.doc_id", "doc_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "th",
+        (F.col("cls").isNull() | own).alias("first"))
+
+
+def keep_first(df: DataFrame, **options) -> DataFrame:
+    """The rows of ``df`` that stay when one document of each class does, with all their columns.
+
+    Rows that are equal in id and text are one document.
+    """
+    first = jaccard_join(df, **options).where("first").select(
+        F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
+    x = df.withColumn("_x", F.xxhash64(text_of(options.get("text_col", "text"))))
+    key = options.get("id_col", "doc_id")
+    x = x.join(first, x[key].eqNullSafe(first["_id"]) & (x["_x"] == first["_th"]), "left_semi")
+    return x.dropDuplicates([key, "_x"]).drop("_x")
 
 
 CHAINS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())]))

@@ -95,7 +95,8 @@ def mix(df: DataFrame, block: int = 64, n_shards: int = 8, seed: int = 42, weigh
     ends of the last round are taken in part.
 
     Documents: doc_id, source, size (words), source_size, target (double),
-    taken, rounds (how many rounds take a word of it). Null text: size 0,
+    taken, rounds (how many rounds take a word of it), th (64-bit hash of the
+    text). Null text: size 0,
     taken 0. Null source: a source of its own, weighed last. Repeated rows
     are documents of their own; rows that are equal in id and size are
     interchangeable. Empty table: no rows.
@@ -109,6 +110,7 @@ def mix(df: DataFrame, block: int = 64, n_shards: int = 8, seed: int = 42, weigh
         F.col(source_col).isNull().alias("_none"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_src"),
         F.size(words(text_of(text_col))).cast("bigint").alias("size"),
+        F.xxhash64(text_of(text_col)).alias("th"),
         unit_hash(F.lit(seed), F.col(id_col)).alias("_h"))
     base = stored(base, "sizes")
     base = base.withColumn("_b", hash_bucket(F.col("_h"), size_buckets(base.count())))
@@ -123,7 +125,7 @@ def mix(df: DataFrame, block: int = 64, n_shards: int = 8, seed: int = 42, weigh
     ).withColumn(
         "_at", F.conv(F.substring(unit_hash(F.lit(seed), F.lit("first"), F.col("_src")), 1, 12), 16, 10).cast("bigint")
         % F.col("_nb"))
-    x = running_sums(base, keys, "_b", [F.col("_h"), F.col("size")], {"_from": "size"}, per_key=per)
+    x = running_sums(base, keys, "_b", [F.col("_h"), F.col("size"), F.col("th")], {"_from": "size"}, per_key=per)
     b = F.lit(int(block))
     full = F.floor(F.col("_q") / F.col("_nb")).cast("bigint")
     rest = F.col("_q") % F.col("_nb")
@@ -138,6 +140,23 @@ def mix(df: DataFrame, block: int = 64, n_shards: int = 8, seed: int = 42, weigh
     rounds = F.when(F.col("size") > 0, full + (last > 0).cast("int")).otherwise(0)
     docs = x.select(
         "doc_id", "source", "size", "source_size", "target",
-        (full * F.col("size") + last).cast("bigint").alias("taken"), rounds.cast("int").alias("rounds"))
+        (full * F.col("size") + last).cast("bigint").alias("taken"), rounds.cast("int").alias("rounds"), "th")
     named = quotas.select(F.when(~F.col("_none"), F.col("_src")).alias("source"), "shard", "quota", "first_seat")
     return docs, named
+
+
+def mixed_rows(df: DataFrame, **options) -> DataFrame:
+    """The rows of ``df`` as the mix has them: each as often as rounds take words of it.
+
+    Documents stay whole, also those at the ends of a source's last round.
+    Rows that are equal in id and text share the sum of their rounds.
+    """
+    key = options.get("id_col", "doc_id")
+    docs, _ = mix(df, **options)
+    often = docs.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
+        F.sum("rounds").alias("_often")).where("_often > 0")
+    x = df.withColumn("_x", F.xxhash64(text_of(options.get("text_col", "text"))))
+    x = x.join(often, x[key].eqNullSafe(often["_id"]) & (x["_x"] == often["_th"])).drop("_id", "_th")
+    same = Window.partitionBy(key, "_x").orderBy("_x")
+    x = x.withColumn("_n", F.row_number().over(same)).where("_n = 1")
+    return x.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_often").cast("int")))).select(*df.columns)

@@ -139,6 +139,29 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, stratum: str, max_fa
             F.col("_stratum").alias("stratum"), "rule", "x.*")
 
 
+def cutoffs(df: DataFrame, labels: DataFrame, stratum_col: str = "lang", max_false_reject: float = 0.01,
+            level: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """(stored counts of all documents with ``stratum``, certified cutoffs: one row per stratum)."""
+    counts = stored(text_counts(with_stratum(df, stratum_col), keep=("_stratum",)).withColumnRenamed(
+        "_stratum", "stratum"), "counts")
+    cut = certified_cutoffs(counts, labels, "stratum", max_false_reject, level).groupBy("stratum").pivot(
+        "rule", list(VALUES)).agg(F.first("cutoff"))
+    return counts, cut.select("stratum", *[F.col(r).alias(f"_c_{r}") for r in VALUES])
+
+
+def with_stratum(df: DataFrame, stratum_col: str) -> DataFrame:
+    return df.withColumn("_stratum", F.coalesce(F.col(stratum_col).cast("string"), F.lit("(none)")))
+
+
+def judged(counts: DataFrame, cut: DataFrame) -> DataFrame:
+    """Add ``base_failed`` and ``kept`` to counts with ``stratum``."""
+    above = F.lit(False)
+    for r, v in VALUES.items():
+        above = above | F.coalesce(F.expr(v) > F.col(f"_c_{r}"), F.lit(False))
+    return counts.join(F.broadcast(cut), "stratum", "left").withColumn("base_failed", base_failed()).withColumn(
+        "kept", ~F.col("base_failed") & ~above).drop(*cut.columns[1:])
+
+
 def quality_verdicts(df: DataFrame, labels: DataFrame, stratum_col: str = "lang",
                      max_false_reject: float = 0.01, level: float = 0.05) -> DataFrame:
     """Every document with its counts, ``base_failed`` and ``kept``.
@@ -152,15 +175,22 @@ def quality_verdicts(df: DataFrame, labels: DataFrame, stratum_col: str = "lang"
     counts, not the texts; the certified cutoffs (few rows per stratum, each
     stratum backed by hundreds of labels) are broadcast.
     """
-    counts = stored(
-        text_counts(df.withColumn("_stratum0", F.coalesce(F.col(stratum_col).cast("string"), F.lit("(none)"))),
-                    keep=("_stratum0",)).withColumnRenamed("_stratum0", "stratum"), "counts")
-    cut = certified_cutoffs(counts, labels, "stratum", max_false_reject, level).groupBy("stratum").pivot(
-        "rule", list(VALUES)).agg(F.first("cutoff"))
-    cut = cut.select("stratum", *[F.col(r).alias(f"_c_{r}") for r in VALUES])
-    above = F.lit(False)
-    for r, v in VALUES.items():
-        above = above | F.coalesce(F.expr(v) > F.col(f"_c_{r}"), F.lit(False))
-    return counts.join(F.broadcast(cut), "stratum", "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed().alias("base_failed"), (~base_failed() & ~above).alias("kept"), "stratum", "n_lines")
+    counts, cut = cutoffs(df, labels, stratum_col, max_false_reject, level)
+    return judged(counts, cut)
+
+
+def keep_good(df: DataFrame, labels: DataFrame, stratum_col: str = "lang", max_false_reject: float = 0.01,
+              level: float = 0.05) -> DataFrame:
+    """The rows of ``df`` that :func:`quality_verdicts` keeps, with all their columns.
+
+    The verdict is made again beside each text, which costs a second pass but
+    no shuffle of the texts and no join on ids that may be null or repeated.
+    """
+    _, cut = cutoffs(df, labels, stratum_col, max_false_reject, level)
+    whole = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"))
+    x = whole.select("row", F.col(f"row.{stratum_col}").alias("lang"), F.col("row.doc_id").alias("doc_id"),
+                     F.col("row.text").alias("text"))
+    x = text_counts(with_stratum(x, "lang"), keep=("_stratum", "row")).withColumnRenamed("_stratum", "stratum")
+    # a filter would be pushed below the counts, with all their expressions in it once for each use
+    kept = judged(x, cut).select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
+    return kept.where("row is not null").select("row.*")

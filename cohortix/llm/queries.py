@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, jaccard_join, langid, mixing, quality, sharding, spotsigs, token_counts
+from . import bpe, html_extract, jaccard_join, langid, mixing, quality, sharding, spotsigs, substring, token_counts
 from .common import table
 
 N_SHARDS = 24
@@ -18,7 +18,7 @@ def vocabulary() -> str:
 
 
 def op1_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("th")
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
     return x.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -69,4 +74,4 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chosen_path_join, op2_bpe_round_trip, op3_stratified_sharding, op4_quality_rules, op5_line_blocks,
-    op6_sainte_lague_mix, op8_token_counts, op9_cross_parsing, op10_spotsigs)}
+    op6_sainte_lague_mix, op7_fm_index_dedup, op8_token_counts, op9_cross_parsing, op10_spotsigs)}
