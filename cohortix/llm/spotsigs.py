@@ -19,9 +19,14 @@ ANCHORS = (
 GAP = "[^\\p{L}\\p{N}]+"
 
 
+def name(*words: Column) -> Column:
+    """64-bit name of a chain of words, missing ones left out."""
+    return F.substring(F.md5(F.concat_ws(" ", *words)), 1, 16)
+
+
 def signatures(text: Column | str, df: DataFrame, out: str, anchors: Sequence[str] = ANCHORS,
                chain: int = 3) -> DataFrame:
-    """Add ``out``: the sorted set of 64-bit spot signatures of a text column.
+    """Add ``out``: the sorted set of spot signatures (16 hex digits each) of a text column.
 
     A spot is an anchor word with the ``chain`` content words after it (fewer
     at the end of the text, at least one); anchors in between are skipped.
@@ -37,15 +42,15 @@ def signatures(text: Column | str, df: DataFrame, out: str, anchors: Sequence[st
     w = w.withColumn("_c", F.filter("_w", lambda x: ~x.isin(common)))
     spots = F.filter(
         F.transform("_a", lambda i, j: F.when(
-            i - j < F.size("_c"), F.xxhash64(
+            i - j < F.size("_c"), name(
                 F.get(F.col("_w"), i), *[F.get(F.col("_c"), i - j + k) for k in range(chain)]))),
         lambda x: x.isNotNull())
     runs = F.transform(
         F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("_w") - chain - 1)),
-        lambda i: F.xxhash64(*[F.get(F.col("_w"), i + k) for k in range(chain + 1)]))
+        lambda i: name(*[F.get(F.col("_w"), i + k) for k in range(chain + 1)]))
     s = w.withColumn("_s", spots).withColumn(out, F.sort_array(F.array_distinct(
         F.when(F.size("_s") > 0, F.col("_s")).when(F.size("_w") > 0, runs).otherwise(
-            F.array().cast("array<bigint>")))))
+            F.array().cast("array<string>")))))
     return s.drop("_w", "_a", "_c", "_s")
 
 
@@ -58,7 +63,7 @@ def likeness(a: str, b: str) -> Column:
 
 def fingerprint(sigs: str) -> Column:
     """The signature set as text: 16 hex digits for each, in order."""
-    return F.array_join(F.transform(sigs, lambda x: F.lpad(F.hex(x), 16, "0")), "")
+    return F.array_join(sigs, "")
 
 
 def cut_points(df: DataFrame, col: str, cells: int = 256) -> list:
