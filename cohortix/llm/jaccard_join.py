@@ -371,10 +371,10 @@ def keep_first(df: DataFrame, **options) -> DataFrame:
     """
     first = jaccard_join(df, **options).where("first").select(
         F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    x = df.withColumn("_x", F.xxhash64(text_of(options.get("text_col", "text"))))
-    key = options.get("id_col", "doc_id")
-    x = x.join(first, x[key].eqNullSafe(first["_id"]) & (x["_x"] == first["_th"]), "left_semi")
-    return x.dropDuplicates([key, "_x"]).drop("_x")
+    x = df.select(F.struct(*df.columns).alias("row"), F.col(options.get("id_col", "doc_id")).alias("id"),
+                  F.xxhash64(text_of(options.get("text_col", "text"))).alias("th"))
+    x = x.join(first, x["id"].eqNullSafe(first["_id"]) & (x["th"] == first["_th"]), "left_semi")
+    return x.dropDuplicates(["id", "th"]).select("row.*")
 
 
 CHAINS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())]))

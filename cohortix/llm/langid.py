@@ -117,13 +117,16 @@ class Parser:
         for step in range(int(size.max(initial=0))):
             live = int(np.searchsorted(-size, -step, "left"))  # pieces longer than step
             c = codes[begin[:live] + step]
-            to = self.table[state[:, :live] + c]
+            was = state[:, :live]
+            to = self.table[was + c]
             broken = to == 0
-            found[:, :live] += broken
             again = self.table[start + c]
-            # a character that the language never showed is a phrase of its own
-            state[:, :live] = np.where(broken, np.where(again == 0, start, again), to)
-        found += 1  # the phrase that the piece's end closes
+            unseen = broken & (again == 0)
+            # an open phrase ends; a character that the language never showed is one of its own
+            found[:, :live] += broken & (was != start)
+            found[:, :live] += unseen
+            state[:, :live] = np.where(unseen, start, np.where(broken, again, to))
+        found += state != start  # the phrase that the piece's end closes
         for i in range(n):
             counts[:, i] = np.bincount(owner, found[i], len(texts)).astype(np.int64)
         return counts

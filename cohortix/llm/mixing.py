@@ -49,7 +49,8 @@ def apportion(targets: DataFrame, block: int, n_shards: int, max_repeat: int = 2
     target / (2 k + 1) for its k seats so far (Sainte-Lague), ties to the
     earlier source, until the targets' sum is filled; shard j holds the seats
     from j / n to (j + 1) / n of them, so its integer quotas follow the
-    targets as well. A source has ``max_repeat`` times its blocks at most.
+    targets as well. A source has ``max_repeat`` times its blocks at most, and no target
+    may be above ``max_repeat`` times its source (as :func:`source_targets` has it).
 
     No seat is dealt singly: all quotients down to a divisor that surely
     leaves seats over are counted at once, and only the few after it (about
@@ -151,12 +152,12 @@ def mixed_rows(df: DataFrame, **options) -> DataFrame:
     Documents stay whole, also those at the ends of a source's last round.
     Rows that are equal in id and text share the sum of their rounds.
     """
-    key = options.get("id_col", "doc_id")
     docs, _ = mix(df, **options)
     often = docs.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
-        F.sum("rounds").alias("_often")).where("_often > 0")
-    x = df.withColumn("_x", F.xxhash64(text_of(options.get("text_col", "text"))))
-    x = x.join(often, x[key].eqNullSafe(often["_id"]) & (x["_x"] == often["_th"])).drop("_id", "_th")
-    same = Window.partitionBy(key, "_x").orderBy("_x")
-    x = x.withColumn("_n", F.row_number().over(same)).where("_n = 1")
-    return x.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_often").cast("int")))).select(*df.columns)
+        F.sum("rounds").alias("often")).where("often > 0")
+    x = df.select(F.struct(*df.columns).alias("row"), F.col(options.get("id_col", "doc_id")).alias("id"),
+                  F.xxhash64(text_of(options.get("text_col", "text"))).alias("th"))
+    x = x.join(often, x["id"].eqNullSafe(often["_id"]) & (x["th"] == often["_th"]))
+    same = Window.partitionBy("id", "th").orderBy("th")
+    x = x.withColumn("n", F.row_number().over(same)).where("n = 1")
+    return x.select("row", F.explode(F.sequence(F.lit(1), F.col("often").cast("int"))).alias("n")).select("row.*")

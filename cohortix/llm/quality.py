@@ -142,7 +142,7 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, stratum: str, max_fa
 def cutoffs(df: DataFrame, labels: DataFrame, stratum_col: str = "lang", max_false_reject: float = 0.01,
             level: float = 0.05) -> tuple[DataFrame, DataFrame]:
     """(stored counts of all documents with ``stratum``, certified cutoffs: one row per stratum)."""
-    counts = stored(text_counts(with_stratum(df, stratum_col), keep=("_stratum",)).withColumnRenamed(
+    counts = stored(text_counts(with_stratum(df.select("doc_id", "text", stratum_col), stratum_col), keep=("_stratum",)).withColumnRenamed(
         "_stratum", "stratum"), "counts")
     cut = certified_cutoffs(counts, labels, "stratum", max_false_reject, level).groupBy("stratum").pivot(
         "rule", list(VALUES)).agg(F.first("cutoff"))
@@ -150,7 +150,8 @@ def cutoffs(df: DataFrame, labels: DataFrame, stratum_col: str = "lang", max_fal
 
 
 def with_stratum(df: DataFrame, stratum_col: str) -> DataFrame:
-    return df.withColumn("_stratum", F.coalesce(F.col(stratum_col).cast("string"), F.lit("(none)")))
+    return df.select("doc_id", "text", *[c for c in df.columns if c == "row"], F.coalesce(
+        F.col(stratum_col).cast("string"), F.lit("(none)")).alias("_stratum"))
 
 
 def judged(counts: DataFrame, cut: DataFrame) -> DataFrame:

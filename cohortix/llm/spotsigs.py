@@ -80,8 +80,9 @@ def ordered_bucket(col: str, cuts: list, buckets: int) -> Column:
     a = F.array(*[F.lit(x).cast("decimal(20,0)") for x in cuts])
     x = F.col(col).cast("decimal(20,0)")
     cell = F.size(F.filter(a, lambda y: y <= x))
-    lo, hi = F.element_at(a, cell).cast("double"), F.element_at(a, cell + 1).cast("double")
-    within = F.least((F.col(col).cast("double") - lo) / (hi - lo), F.lit(0.999999))
+    lo, hi = F.element_at(a, cell), F.element_at(a, cell + 1)
+    # differences before doubles: neighbouring large numbers are one double
+    within = F.least((x - lo).cast("double") / (hi - lo).cast("double"), F.lit(0.999999))
     return F.floor((cell - 1 + within) * F.lit(buckets / max(len(cuts) - 1, 1))).cast("bigint")
 
 
