@@ -22,7 +22,10 @@ class BitVector:
 
 
 class WaveletMatrix:
-    """Ranks of symbols in a sequence over [0, sigma), one bit vector per bit of a symbol."""
+    """Ranks of symbols in a sequence over [0, sigma), one bit vector per bit of a symbol.
+
+    The rank of c before i is follow(c, i) - follow(c, 0).
+    """
 
     def __init__(self, seq: np.ndarray, sigma: int):
         self.levels: list[tuple[int, BitVector, int]] = []
@@ -32,15 +35,12 @@ class WaveletMatrix:
             self.levels.append((shift, BitVector(bits), zeros))
             seq = np.concatenate([seq[~bits], seq[bits]])
 
-    def rank(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Occurrences of c before ``lo`` and before ``hi``."""
-        start = np.zeros(len(c), np.int64)
+    def follow(self, c: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Places (a row of them per bound) carried down the levels of symbol c."""
         for shift, vector, zeros in self.levels:
-            one = (c >> shift & 1).astype(bool)
-            a, b, s = vector.ones(lo), vector.ones(hi), vector.ones(start)
-            lo, hi = np.where(one, zeros + a, lo - a), np.where(one, zeros + b, hi - b)
-            start = np.where(one, zeros + s, start - s)
-        return lo - start, hi - start
+            ones = vector.ones(places)
+            places = np.where((c >> shift & 1).astype(bool), zeros + ones, places - ones)
+        return places
 
 
 class FmIndex:
@@ -65,6 +65,8 @@ class FmIndex:
         self.text, self.sigma, self.size = text, sigma, n
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
         self.bwt = WaveletMatrix(text[order - 1], sigma)
+        every = np.arange(sigma)
+        self.shift = self.first[:sigma] - self.bwt.follow(every, np.zeros((1, sigma), np.int64))[0]
         low = np.repeat(owner, [len(s) + 1 for s in seqs])[order]
         self.minima = [low]
         step = 1
@@ -73,14 +75,20 @@ class FmIndex:
             self.minima.append(low)
             step *= 2
 
-    def matches(self, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix interval of the ``length`` symbols of the text that end before each place."""
-        lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), self.size, np.int64)
+    def matches(self, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which, lo, hi): suffix intervals of the ``length`` symbols of the text that end before each place.
+
+        Left out are those that occur once, where they were taken from: they
+        drop out at the step that shows it.
+        """
+        which = np.arange(len(ends))
+        bounds = np.repeat(np.array([[0], [self.size]], np.int64), len(ends), 1)
         for back in range(1, length + 1):
-            c = self.text[ends - back]
-            a, b = self.bwt.rank(c, lo, hi)
-            lo, hi = self.first[c] + a, self.first[c] + b
-        return lo, hi
+            c = self.text[ends[which] - back]
+            bounds = self.bwt.follow(c, bounds) + self.shift[c]
+            more = bounds[1] - bounds[0] > 1
+            which, bounds = which[more], bounds[:, more]
+        return which, bounds[0], bounds[1]
 
     def least_owner(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """The least owner among the occurrences of each interval."""
