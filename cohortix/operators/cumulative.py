@@ -11,6 +11,7 @@ running sum. No step holds more than one range partition in a task.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -89,7 +90,7 @@ def running_totals(
 def long_values(df: DataFrame, cols: Sequence[str], name: str = "col_name",
                 value: str = "value") -> DataFrame:
     """Unpivot numeric ``cols`` to ``(col_name, value double)``, NULLs dropped."""
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    wide = df.select(*[_finite(c).alias(c) for c in cols])
     return wide.unpivot([], list(cols), name, value).where(F.col(value).isNotNull())
 
 
@@ -112,8 +113,8 @@ def _quantiles_from_ranks(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
 def exact_quantiles_full(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles from the running count of every distinct value.
 
-    Shuffles one row per distinct ``(column, value)``; used directly for
-    low-cardinality columns and as the fallback of ``exact_quantiles``.
+    Shuffles one row per distinct ``(column, value)``: one pass over the data,
+    for columns known to have few values.
     """
     counts = long_values(df, cols).groupBy("col_name", "value").agg(F.count("*").alias("n"))
     cum = running_totals(counts, [F.col("value")], ["n"], group_by=["col_name"],
@@ -125,138 +126,117 @@ def exact_quantiles_full(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
     return _quantiles_from_ranks(ranked, ["col_name", "p"]).select("col_name", "p", "value")
 
 
-# In-bracket rows up to this count (an exact number from the second pass) are
-# ranked on the driver: at most this many (value, count) rows are collected.
-LOCAL_RANK_ROWS = 1_000_000
-
-
-def _rank_locally(df: DataFrame, good: list, cols: Sequence[str], bad_cols: set) -> DataFrame:
-    """Quantiles from the in-bracket values collected as (value, count)."""
-    spark = df.sparkSession
-    br = spark.createDataFrame(good, "col_name string, p double, lo double, hi double, below long, h double")
-    rows = (long_values(df, [c for c in cols if c not in bad_cols])
-            .join(F.broadcast(br), "col_name")
-            .where(F.col("value").between(F.col("lo"), F.col("hi")))
-            .groupBy("col_name", "p", "value").agg(F.count("*").alias("n"))
-            .collect())
-    by_key: dict[tuple, list] = {}
-    for r in rows:
-        by_key.setdefault((r["col_name"], r["p"]), []).append((r["value"], r["n"]))
-    out = []
-    for c, p, _lo, _hi, below, h in good:
-        vals = sorted(by_key.get((c, p), []))
-        lo_rank, hi_rank = math.floor(h), math.ceil(h)
-        v_lo = v_hi = None
-        seen = below
-        for v, n in vals:
-            if v_lo is None and seen <= lo_rank < seen + n:
-                v_lo = v
-            if v_hi is None and seen <= hi_rank < seen + n:
-                v_hi = v
-            seen += n
-        value = None if v_lo is None or v_hi is None else v_lo + (v_hi - v_lo) * (h - lo_rank)
-        out.append((c, p, value))
-    return spark.createDataFrame(out, "col_name string, p double, value double")
+#: Buckets that a pass cuts each bracket into.
+BUCKETS = 512
+_SHUFFLES = re.compile(r"^[\s:+\-*()0-9]*(Aggregate|Join|Window|Sort|Repartition|Distinct|Deduplicate)\b", re.M)
 
 
 def has_shuffle(df: DataFrame) -> bool:
-    """True when the optimized plan aggregates, joins, windows or sorts, i.e.
-    re-reading the frame means recomputing a shuffle."""
+    """True when an operator of the optimized plan aggregates, joins, windows or
+    sorts, i.e. re-reading the frame means recomputing a shuffle."""
     try:
         plan = df._jdf.queryExecution().optimizedPlan().toString()
     except Exception:  # noqa: BLE001 - e.g. no JVM handle (Spark Connect)
         return False
-    return any(k in plan for k in ("Aggregate", "Join", "Window", "Sort", "Repartition"))
+    return _SHUFFLES.search(plan) is not None
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    accuracy: int = 100_000) -> DataFrame:
+                    buckets: int = BUCKETS) -> DataFrame:
     """Exact linear-interpolation quantiles per column (pandas/numpy default).
 
-    Returns ``(col_name, p, value)``. Three passes, none shuffling the data:
-
-    1. one ``percentile_approx`` aggregate brackets each target rank with the
-       approximate quantiles at ``p -+ 2 / accuracy`` (rank error of the
-       sketch is at most ``N / accuracy``);
-    2. one aggregate counts, per (column, p), the values below the bracket and
-       up to its top, which checks that the bracket holds both ranks needed;
-    3. only the values inside the brackets (about ``4 N / accuracy`` each)
-       are counted per distinct value and ranked with the distributed running
-       count, offset by the count below.
-
-    A bracket that fails the check (never expected) sends its column to
-    ``exact_quantiles_full``, so the result is exact either way.
+    Returns ``(col_name, p, value)``. Each target rank has a bracket of values,
+    at first a column's whole range. A pass counts the values inside the
+    brackets per bucket (partial counts in every task, at most ``buckets`` + 2
+    rows per bracket) and keeps the bucket with the rank, with its least and
+    greatest value as the next bracket, until both are one. Passes cut evenly
+    by value and by logarithm in turn and always take a bracket's ends off,
+    so outliers cost at most another pass. The data is never shuffled; no
+    sketch and no list of values meets in one task.
     """
     cols, probs = list(cols), [float(p) for p in probs]
-    spark = df.sparkSession
     cached = has_shuffle(df)
     if cached:
-        # three passes below: keep only the needed columns, spill-aware
+        # several passes below: keep only the needed columns, spill-aware
         df = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _bracketed(df, cols, probs, accuracy)
+        return _narrowed(df, cols, probs, buckets)
     finally:
         if cached:
             df.unpersist()
 
 
-def _bracketed(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
-    """Body of ``exact_quantiles``; the result only reads checkpointed data."""
+def _narrowed(df: DataFrame, cols: list[str], probs: list[float], buckets: int) -> DataFrame:
     spark = df.sparkSession
-    eps = 2.0 / accuracy
-    grid = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-eps, eps)})
-    arr = F.array(*[F.lit(g) for g in grid])
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c) for c in cols]).first()
-
-    def clamp(v: float) -> float:
-        return min(max(v, 0.0), 1.0)
-
-    brackets = []
-    for c in cols:
-        if row[c] is None:
-            continue
-        at = dict(zip(grid, row[c]))
-        brackets += [(c, p, at[clamp(p - eps)], at[clamp(p + eps)]) for p in probs]
-    if not brackets:
-        return spark.createDataFrame([], "col_name string, p double, value double")
-    checks = []
-    for i, (c, p, lo, hi) in enumerate(brackets):
-        x = F.col(c).cast("double")
-        checks += [F.count_if(x < F.lit(lo)).alias(f"b{i}"), F.count_if(x <= F.lit(hi)).alias(f"t{i}")]
-    checks += [F.count(F.col(c)).alias(f"n_{j}") for j, c in enumerate(cols)]
-    cnt = df.agg(*checks).first()
-    n_of = {c: cnt[f"n_{j}"] for j, c in enumerate(cols)}
-    good, bad_cols = [], set()
-    for i, (c, p, lo, hi) in enumerate(brackets):
-        n = n_of[c]
-        h = p * (n - 1)
-        below, upto = cnt[f"b{i}"], cnt[f"t{i}"]
-        if below <= math.floor(h) and math.ceil(h) < upto:
-            good.append((c, p, float(lo), float(hi), int(below), float(h)))
-        else:
-            bad_cols.add(c)
-    good = [g for g in good if g[0] not in bad_cols]
-    parts = []
-    in_brackets = sum(cnt[f"t{i}"] - cnt[f"b{i}"] for i, b in enumerate(brackets) if b[0] not in bad_cols)
-    if good and in_brackets <= LOCAL_RANK_ROWS:
-        parts.append(_rank_locally(df, good, cols, bad_cols))
-        good = []
-    if good:
-        # one row per (column, p): bounded by schema width x len(probs)
-        br = spark.createDataFrame(good, "col_name string, p double, lo double, hi double, below long, h double")
-        inside = (long_values(df, [c for c in cols if c not in bad_cols])
-                  .join(F.broadcast(br), "col_name")
-                  .where(F.col("value").between(F.col("lo"), F.col("hi")))
-                  .groupBy("col_name", "p", "below", "h", "value").agg(F.count("*").alias("n")))
-        cum = running_totals(inside, [F.col("value")], ["n"], group_by=["col_name", "p"])
-        ranked = cum.withColumn("cum_n", F.col("cum_n") + F.col("below"))
-        parts.append(_quantiles_from_ranks(ranked, ["col_name", "p"]).select("col_name", "p", "value"))
-    if bad_cols:
-        parts.append(exact_quantiles_full(df, sorted(bad_cols), probs))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    first = df.agg(*[f(_finite(c)).alias(f"{k}{i}") for i, c in enumerate(cols)
+                     for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    known: dict[tuple[str, int], float] = {}
+    # (column, least, greatest): (values below, values inside, wanted ranks)
+    brackets: dict[tuple[str, float, float], tuple[int, int, set[int]]] = {}
+
+    def narrow(c: str, lo: float, hi: float, below: int, n: int, ranks: set[int]) -> None:
+        left = set()
+        for r in ranks:
+            if lo == hi or r == below:
+                known[c, r] = lo
+            elif r == below + n - 1:
+                known[c, r] = hi
+            else:
+                left.add(r)
+        if left:
+            brackets[c, lo, hi] = (below, n, left)
+
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
+        if n:
+            ranks = {r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+            narrow(c, first[f"lo{i}"], first[f"hi{i}"], 0, n, ranks)
+    step = 0
+    while brackets:
+        open_ = list(brackets.items())
+        brackets = {}
+        # a row per open bracket: at most two per column and probability
+        bounds = spark.createDataFrame([(i, c, lo, hi) for i, ((c, lo, hi), _) in enumerate(open_)],
+                                       "i int, col_name string, lo double, hi double")
+        x = long_values(df, sorted({c for (c, _, _), _ in open_})).join(F.broadcast(bounds), "col_name")
+        x = x.where(F.col("value").between(F.col("lo"), F.col("hi")))
+        rows = x.groupBy("i", _bucket(buckets, step % 2 == 1).alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+        parts: dict[int, list] = {}
+        for r in rows:
+            parts.setdefault(r["i"], []).append(r)
+        for i, ((c, _, _), (below, _, ranks)) in enumerate(open_):
+            for r in sorted(parts[i], key=lambda r: r["b"]):
+                here = {k for k in ranks if below <= k < below + r["n"]}
+                if here:
+                    narrow(c, r["lo"], r["hi"], below, r["n"], here)
+                below += r["n"]
+        step += 1
+    out = []
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
+        for p in probs if n else ():
+            h = p * (n - 1)
+            lo, hi = known[c, math.floor(h)], known[c, math.ceil(h)]
+            out.append((c, p, lo if lo == hi else lo + (hi - lo) * (h - math.floor(h))))
+    return spark.createDataFrame(out, "col_name string, p double, value double")
+
+
+def _finite(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _bucket(buckets: int, by_log: bool) -> Column:
+    """Bucket of ``value`` in [lo, hi], rising with it; the ends have buckets of their own."""
+    def scale(x: Column) -> Column:
+        return F.signum(x) * F.log1p(F.abs(x)) if by_log else x
+
+    v, lo, hi = scale(F.col("value")), scale(F.col("lo")), scale(F.col("hi"))
+    part = F.nanvl((v - lo) / (hi - lo), F.lit(0.0))
+    inner = F.least(F.lit(buckets - 1), F.floor(F.least(part, F.lit(1.0)) * buckets)) + 1
+    return (F.when(F.col("value") == F.col("lo"), 0).when(F.col("value") == F.col("hi"), buckets + 1)
+            .when(hi > lo, inner).otherwise(1))
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

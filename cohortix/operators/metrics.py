@@ -152,12 +152,12 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
 def auc_from_cumulative(c: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
     below = F.col("total_neg") - F.col("cum_neg")
-    contrib = F.col("pos") * (below + F.col("neg") / 2.0)
+    contrib = F.col("pos").cast("double") * (below + F.col("neg") / 2.0)
     g = c.groupBy(*by, "total_pos", "total_neg").agg(F.sum(contrib).alias("s"))
     return g.select(
         *by,
         F.when((F.col("total_pos") > 0) & (F.col("total_neg") > 0),
-               F.col("s") / (F.col("total_pos") * F.col("total_neg"))).alias("roc_auc"),
+               F.col("s") / F.col("total_pos") / F.col("total_neg")).alias("roc_auc"),
     )
 
 
@@ -186,7 +186,7 @@ def average_precision(df: DataFrame, label: str, score: str, by: Sequence[str] =
 
 def ap_from_cumulative(c: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
-    contrib = F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    contrib = F.col("pos").cast("double") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     g = c.groupBy(*by, "total_pos").agg(F.sum(contrib).alias("s"))
     return g.select(*by, F.when(F.col("total_pos") > 0, F.col("s") / F.col("total_pos")).alias("average_precision"))
 

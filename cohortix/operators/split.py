@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from cohortix.operators.cumulative import running_totals
 
 HASH_BUCKETS = 1_000_000
-MAX_BROADCAST_PHASES = 1_000_000
 
 
 def group_hash(group_cols: Sequence[str], seed: int = 42) -> Column:
@@ -37,18 +36,29 @@ def group_split_exact(df: DataFrame, group_cols: Sequence[str], test_fraction: f
     """Exactly ``ceil(test_fraction * n_groups)`` groups in test.
 
     Groups are ranked by hash with the distributed running count (no single
-    task sees all groups); the rank cut is one scalar.
+    task sees all groups). The last test group is one row: a row is in test
+    if its (hash, key) is not above that one, so the table is not joined.
     """
-    g = df.select(*group_cols).distinct().withColumn("_cx_h", group_hash(group_cols, seed))
-    ranked = running_totals(g.withColumn("_cx_one", F.lit(1)), [F.col("_cx_h"), *[F.col(c) for c in group_cols]],
-                            ["_cx_one"], prefix="_cx_rank")
-    n_groups = g.count()
-    n_test = int(-(-test_fraction * n_groups // 1))
-    assign = ranked.select(
-        *group_cols,
-        F.when(F.col("_cx_rank_cx_one") <= n_test, F.lit("test")).otherwise(F.lit("train")).alias(out),
-    )
-    return df.join(assign, list(group_cols), "left")
+    cols = list(group_cols)
+    place = F.struct(F.col("_cx_h"), *[F.col(c) for c in cols])
+    g = df.select(*cols).distinct().withColumn("_cx_h", group_hash(cols, seed))
+    ranked = running_totals(g.withColumn("_cx_one", F.lit(1)), [F.col("_cx_h"), *[F.col(c) for c in cols]],
+                            ["_cx_one"], prefix="_cx_rank", total_prefix="_cx_total")
+    last = ranked.where(F.col("_cx_rank_cx_one") == F.ceil(F.lit(float(test_fraction)) * F.col("_cx_total_cx_one")))
+    last = last.select(place.alias("_cx_last"))  # one row, none if no group is for test
+    marked = df.withColumn("_cx_h", group_hash(cols, seed)).join(F.broadcast(last), F.lit(True), "left")
+    test = F.coalesce(place <= F.col("_cx_last"), F.lit(False))
+    return marked.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_cx_h", "_cx_last")
+
+
+def _join_back(df: DataFrame, assign: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Add ``out`` of ``assign`` (one row per key) to every row; null keys match null keys."""
+    named = assign.select(*[F.col(c).alias(f"_cx_k{i}") for i, c in enumerate(keys)], F.col(out).alias("_cx_out"))
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & df[c].eqNullSafe(named[f"_cx_k{i}"])
+    return df.join(named, same, "left").withColumn(out, F.col("_cx_out")).drop(
+        "_cx_out", *[f"_cx_k{i}" for i in range(len(keys))])
 
 
 def hash_kfold(df: DataFrame, group_cols: Sequence[str], k: int = 5, seed: int = 42,
@@ -61,33 +71,28 @@ def _greedy_plan(size_hist: list[tuple[int, int]], k: int) -> list[tuple[int, in
     """Largest-group-first greedy allotment over a histogram of group sizes.
 
     Every group goes to the currently lightest fold (lowest index on ties).
-    Runs of equal-size groups are compressed: once all folds are within one
-    group size of each other the greedy cycles through them in a fixed order,
-    so whole cycles are emitted as one phase. Returns phases
-    ``(size, first_rank, last_rank, cycle)``: the group of that size with
-    1-based rank r in the phase goes to ``cycle[(r - first_rank) % len(cycle)]``.
+    For groups of one size the folds within that size of the lightest one
+    take turns in a fixed order until the next fold comes within reach, so
+    whole rounds are one phase and a size has at most ``k`` + 1 phases,
+    however unequal the folds are. Returns phases ``(size, first_rank,
+    last_rank, cycle)``: the group of that size with 1-based rank r in the
+    phase goes to ``cycle[(r - first_rank) % len(cycle)]``.
     """
     loads = [0] * k
     phases = []
     for size, count in sorted(size_hist, key=lambda t: -t[0]):
         r = 1
-        left = count
-        while left > 0:
-            if max(loads) - min(loads) < size and left >= k:
-                order = sorted(range(k), key=lambda f: (loads[f], f))
-                # one cycle in this order keeps the same relative order afterwards
-                cycles = left // k
-                phases.append((size, r, r + cycles * k - 1, order))
-                for f in order:
-                    loads[f] += size * cycles
-                r += cycles * k
-                left -= cycles * k
-                continue
-            f = min(range(k), key=lambda i: (loads[i], i))
-            phases.append((size, r, r, [f]))
-            loads[f] += size
-            r += 1
-            left -= 1
+        while r <= count:
+            low = min(loads)
+            near = sorted((f for f in range(k) if loads[f] < low + size), key=lambda f: (loads[f], f))
+            left = count - r + 1
+            rounds = min([left // len(near), *((loads[f] - low) // size for f in range(k) if f not in near)])
+            # a last round that is not full goes to the first folds of the cycle
+            n = rounds * len(near) if rounds else min(left, len(near))
+            phases.append((size, r, r + n - 1, near))
+            for i, f in enumerate(near):
+                loads[f] += size * (n // len(near) + (i < n % len(near)))
+            r += n
     return phases
 
 
@@ -95,11 +100,12 @@ def group_kfold(df: DataFrame, group_cols: Sequence[str], k: int = 5, seed: int
                 out: str = "fold") -> DataFrame:
     """Group-disjoint folds balanced by row count (largest group first).
 
-    Plan: group sizes (one ``groupBy``), the histogram of sizes (small: one
-    row per distinct size) to the driver for the greedy allotment, the rank
-    of each group among groups of its size by the distributed running count
-    (a hot size is spread over range partitions), and a join of the phase
-    table (size-bounded) to turn ranks into folds.
+    Plan: group sizes (one ``groupBy``), the histogram of sizes to the driver
+    for the greedy allotment (N rows have at most sqrt(2 N) distinct sizes),
+    the rank of each group among groups of its size by the distributed
+    running count (a hot size is spread over range partitions), and a join of
+    the phase table (at most ``k`` + 1 rows per distinct size) to turn ranks
+    into folds. Null keys are a group like any other.
     """
     spark = df.sparkSession
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_cx_size"))
@@ -118,11 +124,8 @@ def group_kfold(df: DataFrame, group_cols: Sequence[str], k: int = 5, seed: int
         "_cx_size long, _cx_a long, _cx_b long, _cx_cycle array<int>",
     )
     rank = F.col("_cx_rank_cx_one")
-    # The phase table has len(phases) rows (a few per distinct group size),
-    # known here: broadcast it below the bound so a hot size never lands in
-    # one join partition; above it, AQE's skew join splits the hot size.
-    if len(phases) <= MAX_BROADCAST_PHASES:
-        plan = F.broadcast(plan)
+    # no hint: Spark broadcasts the phase table if it turns out small, and
+    # splits a hot size of the ranked groups otherwise
     assign = ranked.join(plan, "_cx_size").where(
         (rank >= F.col("_cx_a")) & (rank <= F.col("_cx_b"))
     ).select(
@@ -132,7 +135,7 @@ def group_kfold(df: DataFrame, group_cols: Sequence[str], k: int = 5, seed: int
             (F.pmod(rank - F.col("_cx_a"), F.size("_cx_cycle")) + 1).cast("int"),
         ).alias(out),
     )
-    return df.join(assign, list(group_cols), "left")
+    return _join_back(df, assign, list(group_cols), out)
 
 
 def stratified_kfold(df: DataFrame, label: str, k: int = 3, seed: int = 42,
@@ -153,7 +156,7 @@ def stratified_kfold(df: DataFrame, label: str, k: int = 3, seed: int = 42,
         label, "_cx_h", *key_cols,
         F.pmod(F.col("_cx_rank_cx_one") - 1, F.lit(k)).cast("int").alias(out),
     )
-    return keyed.join(assign, [label, "_cx_h", *key_cols], "left").drop("_cx_h")
+    return _join_back(keyed, assign, [label, "_cx_h", *key_cols], out).drop("_cx_h")
 
 
 def split_overlap(df: DataFrame, split_col: str, group_cols: Sequence[str]) -> DataFrame:
@@ -208,14 +211,14 @@ def scale_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Balanced weights ``n / (n_classes * n_c)`` as a column (class counts broadcast)."""
+    """Balanced weights ``n / (n_classes * n_c)`` as a column; a null label is a class too."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cx_nc"))
     tot = counts.agg(F.sum("_cx_nc").alias("_cx_n"), F.count(F.lit(1)).alias("_cx_k"))
     w = counts.crossJoin(tot).select(
         label, (F.col("_cx_n") / (F.col("_cx_k") * F.col("_cx_nc"))).alias(out)
     )
-    # one row per class: size bounded by the label's cardinality
-    return df.join(F.broadcast(w), label, "left")
+    # one row per class; no hint, as a label may have any number of values
+    return _join_back(df, w, [label], out)
 
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:

@@ -275,14 +275,14 @@ def q_stream_clean(spark, sf):
     from cohortix.streaming import stateless as st
 
     schema = lineitem(spark, sf).schema
-    src = st.read_stream(spark, sf, schema, glob="lineitem.parquet", max_files_per_trigger=1)
+    src = st.read_stream(spark, f"{sf}/lineitem.parquet", schema)
     steps = [
         lambda d: d.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax"),
         lambda d: clean.null_out_impossible(d, {"l_tax": (0.01, 0.08)}),
         lambda d: clean.winsorize(d, LI_CAPS),
     ]
     base = shared_dir(spark, "stream_clean")
-    st.write_stream(st.apply_steps(src, steps), f"{base}/out", f"{base}/checkpoint", timeout_s=600)
+    st.write_stream(st.apply_steps(src, steps), f"{base}/out", f"{base}/checkpoint")
     return r6(spark.read.schema(
         "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double"
     ).parquet(f"{base}/out"))

@@ -154,14 +154,14 @@ def q_stream_score(spark, sf):
     df = model_frame(spark, sf)
     train = mdl.with_balanced_weight(df.where(F.col("split") == "train"), LABEL)
     model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["LR"])
-    src = st.read_stream(spark, sf, lineitem(spark, sf).schema, glob="lineitem.parquet")
+    src = st.read_stream(spark, f"{sf}/lineitem.parquet", lineitem(spark, sf).schema)
     steps = [
         lambda d: d.select("l_orderkey", "l_linenumber", *LI_NUM,
                            (F.col("l_returnflag") == "R").cast("int").alias(LABEL)),
         st.score_step(model, LI_NUM, 0.5, ["l_orderkey", "l_linenumber", LABEL]),
     ]
     base = shared_dir(spark, "stream_score")
-    st.write_stream(st.apply_steps(src, steps), f"{base}/out", f"{base}/checkpoint", timeout_s=600)
+    st.write_stream(st.apply_steps(src, steps), f"{base}/out", f"{base}/checkpoint")
     out = spark.read.schema(f"l_orderkey long, l_linenumber int, {LABEL} int, score double, pred int").parquet(
         f"{base}/out")
     return evaluate(out, LABEL, "score", 0.5)

@@ -44,8 +44,8 @@ def _from_text(c: str, t: T.DataType):
     if isinstance(t, T.StringType):
         return x
     if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        d = x.try_cast("double")
-        return F.when(~F.isnan(d), d).try_cast(t)
+        # whole numbers as they are (a double would lose digits above 2^53), "1.0" by way of a decimal
+        return F.coalesce(x.try_cast(t), x.try_cast("decimal(38,10)").try_cast(t))
     return x.try_cast(t)
 
 

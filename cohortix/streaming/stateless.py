@@ -23,8 +23,16 @@ Step = Callable[[DataFrame], DataFrame]
 def read_stream(spark: SparkSession, directory: str, schema: T.StructType,
                 glob: str | None = None, max_files_per_trigger: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
-    """Files arriving in ``directory`` as a stream (schema given, never inferred)."""
+    """Files arriving in ``directory`` as a stream (schema given, never inferred).
+
+    ``directory`` may be a table: a folder of part files or one file. ``glob``
+    matches file names, so it does not select a folder.
+    """
     r = spark.readStream.schema(schema).format(fmt)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path) and fs.getFileStatus(path).isFile():  # a stream reads folders
+        directory, glob = path.getParent().toString(), path.getName()
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -42,16 +50,21 @@ def apply_steps(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
 
 
 def write_stream(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
-                 available_now: bool = True, partition_by: Sequence[str] = (),
-                 timeout_s: int | None = None):
-    """Append to a file sink; ``available_now`` drains what is there and stops."""
+                 available_now: bool = True, partition_by: Sequence[str] = ()):
+    """Append to a file sink; ``available_now`` drains what is there and stops.
+
+    The drain has no time limit: it returns when all input is written, and
+    raises if the stream ended with an error.
+    """
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     q = w.start(out_path)
     if available_now:
-        q.awaitTermination(timeout_s)
+        q.awaitTermination()  # raises the stream's own error
+        if q.isActive or q.exception() is not None:
+            raise RuntimeError(f"the stream did not drain: {q.exception()}")
     return q
 
 

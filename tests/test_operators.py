@@ -3,15 +3,18 @@ empty tables, golden statistics) on small frames of our own."""
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortix.functions.exprs import clip, encode_binary
 from cohortix.functions.text import REPLACEMENTS, normalize_text
 from cohortix.operators import clean, cumulative, duplicates, metrics, profile, split, stats
+from cohortix.sources import scan
 from cohortix.sources.scan import nan_to_null
 
 
@@ -34,14 +37,14 @@ def test_exact_quantiles_match_numpy(spark):
     np.testing.assert_allclose(q, np.quantile(x, [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]), rtol=1e-12)
 
 
-@pytest.mark.parametrize("accuracy", [10, 1000, 100000])
-def test_bracketed_quantiles_exact(spark, accuracy):
+@pytest.mark.parametrize("buckets", [2, 16, 512])
+def test_narrowed_quantiles_exact(spark, buckets):
     rng = np.random.default_rng(11)
     a = rng.normal(size=5000)
     b = np.round(rng.exponential(2, 5000), 0)  # heavy ties
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(4)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {(r["col_name"], r["p"]): r["value"] for r in cumulative.exact_quantiles(df, ["a", "b"], probs, accuracy).collect()}
+    got = {(r["col_name"], r["p"]): r["value"] for r in cumulative.exact_quantiles(df, ["a", "b"], probs, buckets).collect()}
     for c, x in (("a", a), ("b", b)):
         np.testing.assert_allclose([got[(c, p)] for p in probs], np.quantile(x, probs), rtol=1e-12, atol=0)
 
@@ -155,7 +158,7 @@ def test_ttest_known_value(spark):
     assert r["p"] == pytest.approx(0.09434977284243756, rel=1e-9)
 
 
-def test_chi2_sf_general():
+def test_chi2_sf_general(spark):
     # dof 2: sf = exp(-x / 2); dof 4: exp(-x/2) (1 + x/2)
     assert stats.chi2_sf(3.0, 2) == pytest.approx(math.exp(-1.5), rel=1e-12)
     assert stats.chi2_sf(5.0, 4) == pytest.approx(math.exp(-2.5) * 3.5, rel=1e-12)
@@ -280,31 +283,106 @@ def test_result_independent_of_partitioning(spark):
     assert a == pytest.approx(b, rel=1e-12)
 
 
-def test_quantiles_distributed_ranking_path(spark, monkeypatch):
-    monkeypatch.setattr(cumulative, "LOCAL_RANK_ROWS", 0)
+def test_quantiles_with_outliers_and_infinities(spark):
     rng = np.random.default_rng(5)
-    x = np.round(rng.normal(size=3000), 1)
-    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(3)
-    got = cumulative.quantile_table(df, ["x"], [0.05, 0.5, 0.95])["x"]
-    np.testing.assert_allclose(got, np.quantile(x, [0.05, 0.5, 0.95]), rtol=1e-12)
+    x = np.concatenate([10.0 ** rng.uniform(-300, 300, 400), -(10.0 ** rng.uniform(-5, 5, 300)), [1e308, -1e308, 0.0, 0.0]])
+    df = spark.createDataFrame([(float(v), float(i % 2) / 0.5) for i, v in enumerate(x)], "x double, y double").repartition(3)
+    got = cumulative.quantile_table(df, ["x", "y"], [0.0, 0.25, 0.5, 1.0])
+    want = np.quantile(x, [0.0, 0.25, 0.5, 1.0])
+    np.testing.assert_allclose(got["x"], want, rtol=1e-12)
+    inf = spark.createDataFrame([(float("inf"),), (1.0,), (2.0,), (3.0,), (float("-inf"),), (float("nan"),)], "x double")
+    assert cumulative.quantile_table(inf, ["x"], [0.0, 0.25, 0.5, 1.0])["x"] == [float("-inf"), 1.0, 2.0, float("inf")]
 
 
 @pytest.mark.parametrize("cells,chi2", [
     ({("F", 0): 19789, ("F", 1): 21620, ("M", 0): 34303, ("M", 1): 34156}, 55.39),
 ])
-def test_chi2_distributed_path(spark, monkeypatch, cells, chi2):
-    monkeypatch.setattr(stats, "LOCAL_CELLS", 0)
+def test_chi2_two_by_two(spark, cells, chi2):
     r = stats.chi2_statistic(_counts_frame(spark, cells), "gender", "y").first()
     assert round(r["chi2"], 2) == chi2 and r["dof"] == 1
 
 
-def test_chi2_local_matches_distributed(spark):
+def test_chi2_counts_empty_cells(spark):
     rows = [(i % 4, (i * 7) % 3) for i in range(500)] + [(9, 2)]  # uneven grid with empty cells
-    df = spark.createDataFrame(rows, "a int, b int")
-    local = stats.chi2_statistic(df, "a", "b").first()
-    dist = stats._chi2_distributed(df, "a", "b", True).first()
-    assert local["dof"] == dist["dof"] == 8
-    assert local["chi2"] == pytest.approx(dist["chi2"], rel=1e-12)
+    r = stats.chi2_statistic(spark.createDataFrame(rows, "a int, b int"), "a", "b").first()
+    n = len(rows)
+    rn, cn, cell = Counter(a for a, _ in rows), Counter(b for _, b in rows), Counter(rows)
+    want = sum((cell[a, b] - rn[a] * cn[b] / n) ** 2 / (rn[a] * cn[b] / n) for a in rn for b in cn)
+    assert r["dof"] == 8 and r["chi2"] == pytest.approx(want, rel=1e-12)
+
+
+def test_chi2_wide_diagonal_table(spark):
+    """A table of 20,000 x 20,000 cells has 20,000 rows of work, not a grid."""
+    r = stats.chi2_statistic(spark.range(60_000).selectExpr("id % 20000 AS a", "id % 20000 AS b"), "a", "b").first()
+    assert r["dof"] == 19_999 ** 2 and r["chi2"] == pytest.approx(60_000 * 19_999, rel=1e-9)
+
+
+def test_p_values_at_large_dof(spark):
+    assert stats.chi2_sf(1e6, 10 ** 6) == pytest.approx(0.5, abs=1e-3)
+    assert stats.chi2_sf(1e8, 10 ** 8) == pytest.approx(0.5, abs=1e-4)
+    for dof in (1e8, 1e10, 1e12):  # the normal limit
+        assert stats.t_two_sided_p(1.96, dof) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), rel=1e-6)
+    for t in (0.1, 1.96, 6.0):  # no step where the expansion takes over
+        assert stats.t_two_sided_p(t, 1e6) == pytest.approx(stats.t_two_sided_p(t, 1e6 + 1), rel=1e-6)
+    assert stats.t_two_sided_p(0.0, 5) == 1.0 and stats.t_two_sided_p(12.0, 3) == pytest.approx(0.0012448, rel=1e-3)
+
+
+def test_curves_with_billions_of_rows(spark):
+    big = 4_000_000_000
+    c = spark.createDataFrame([(0.9, big, 0, big, 0, big, big), (0.1, 0, big, big, big, big, big)],
+                              "score double, pos long, neg long, cum_pos long, cum_neg long, total_pos long, total_neg long")
+    assert metrics.auc_from_cumulative(c).first()[0] == 1.0
+    assert metrics.ap_from_cumulative(c).first()[0] == 1.0
+
+
+def test_every_row_gets_a_fold_with_null_keys(spark):
+    df = spark.createDataFrame([(None if i % 3 == 0 else i % 5, None if i % 4 == 0 else i, i % 2) for i in range(40)],
+                               "g int, x int, y int")
+    for out in (split.group_kfold(df, ["g"], 3), split.stratified_kfold(df, "y", 3),
+                split.stratified_kfold(df.withColumn("y", F.when(F.col("x") > 5, F.col("y"))), "y", 3)):
+        assert out.count() == 40 and out.where("fold is null").count() == 0
+    assert split.group_split_exact(df, ["g", "x"], 0.3).where("split is null").count() == 0
+    assert split.class_weights(df.withColumnRenamed("g", "label"), "label").where("weight is null").count() == 0
+
+
+def test_greedy_plan_is_short_and_greedy():
+    rng = random.Random(1)
+    for sizes in ([(100_000, 1), (2, 1000), (1, 2000)], [(rng.randint(1, 30), rng.randint(1, 40)) for _ in range(8)]):
+        hist = list(Counter({s: n for s, n in sizes}).items())
+        plan = split._greedy_plan(hist, 3)
+        assert len(plan) <= 4 * len(hist)
+        loads, want = [0, 0, 0], {}
+        for size, n in sorted(hist, reverse=True):
+            for r in range(1, n + 1):
+                f = min(range(3), key=lambda i: (loads[i], i))
+                loads[f] += size
+                want[size, r] = f
+        got = {(s, r): cycle[(r - a) % len(cycle)] for s, a, b, cycle in plan for r in range(a, b + 1)}
+        assert got == want
+
+
+def test_csv_keeps_64_bit_ids(spark, tmp_path):
+    p = tmp_path / "ids.csv"
+    p.write_text("id,n\n9007199254740993,1.0\n9223372036854775806,7\nx,NaN\n")
+    got = scan.scan_csv(spark, str(p), T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType())]))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(9007199254740993, 1), (9223372036854775806, 7), (None, None)], key=str)
+
+
+def test_stream_reads_a_folder_table(spark, tmp_path):
+    from cohortix.streaming import stateless as st
+
+    df = spark.range(100).selectExpr("id", "CAST(id AS double) AS x").repartition(4)
+    df.write.parquet(str(tmp_path / "t.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    single = next((tmp_path / "one").glob("part-*.parquet"))
+    for i, path in enumerate((tmp_path / "t.parquet", single)):
+        src = st.read_stream(spark, str(path), df.schema)
+        st.write_stream(src, str(tmp_path / f"out{i}"), str(tmp_path / f"ck{i}"))
+        assert spark.read.parquet(str(tmp_path / f"out{i}")).count() == 100
+    bad = st.read_stream(spark, str(tmp_path / "t.parquet"), df.schema).selectExpr("assert_true(id < 50) AS a", "id")
+    with pytest.raises(Exception, match="assert|ASSERT|assertion|USER_RAISED"):
+        st.write_stream(bad, str(tmp_path / "bad"), str(tmp_path / "ckbad"))
 
 
 def test_profiles_with_no_matching_columns(spark):
