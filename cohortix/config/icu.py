@@ -98,8 +98,8 @@ CV_STABLE_STD = 0.02
 CV_MODERATE_STD = 0.04
 SCALING_LEAK_TOLERANCE = 0.005
 BENCHMARK_STATUS = {
-    "weaning_success": (0.80, "COMPETITIVE", "BELOW LITERATURE"),
-    "readmission": (0.70, "ABOVE AVERAGE", "BELOW LITERATURE"),
+    "weaning_success": (0.80, "COMPETITIVE", "BELOW BENCHMARK"),
+    "readmission": (0.70, "ABOVE AVERAGE", "BELOW AVERAGE"),
 }
 # Reported model quality the review compares against (ROC-AUC, PR-AUC).
 PUBLISHED_V2 = {"weaning_success": (0.8759, 0.9787), "readmission": (0.7766, 0.2878)}

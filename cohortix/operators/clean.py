@@ -35,6 +35,13 @@ def impossible_report(df: DataFrame, bounds: Mapping[str, tuple[float, float]])
     )
 
 
+def inf_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """+-infinity becomes NULL in ``cols``, by default every floating column."""
+    floating = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    cols = floating if cols is None else [c for c in cols if c in floating]
+    return df.withColumns({c: F.when(F.abs(F.col(c)) != float("inf"), F.col(c)) for c in cols})
+
+
 def winsorize(df: DataFrame, caps: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Clip each listed column to its ``(lo, hi)``; missing stays missing."""
     out = {}

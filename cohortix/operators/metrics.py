@@ -221,17 +221,36 @@ def calibration_bins(df: DataFrame, label: str, score: str, n_bins: int = 10,
 
 def evaluate(df: DataFrame, label: str, score: str, threshold: float,
              by: Sequence[str] = ()) -> DataFrame:
-    """All scalar metrics per ``by``: point metrics, ROC-AUC, AP, Brier."""
+    """All scalar metrics per ``by``: point metrics, ROC-AUC, AP, Brier.
+
+    Everything follows from the counts of each distinct score, so the scored
+    rows (and the model behind them) are read once. Rows without a score or
+    a label are left out. No row: one row of zeros without ``by``.
+    """
     by = list(by)
-    p = predict(df, score, threshold, "_cx_pred")
-    pm = point_metrics(p, label, "_cx_pred", by)
-    cum = score_cumulative(df, label, score, by)
-    auc = auc_from_cumulative(cum, by)
-    ap = ap_from_cumulative(cum, by)
-    br = brier(df, label, score, by)
-    if by:
-        return pm.join(auc, by).join(ap, by).join(br, by)
-    return pm.crossJoin(auc).crossJoin(ap).crossJoin(br)
+    c = score_cumulative(df, label, score, by)
+    s, pos, neg = F.col("score"), F.col("pos").cast("double"), F.col("neg").cast("double")
+    hit = s >= F.lit(threshold)
+    count = lambda x, n: F.coalesce(F.sum(F.when(x, F.col(n)).otherwise(0)), F.lit(0))
+    below = F.col("total_neg") - F.col("cum_neg")
+    g = c.groupBy(*by).agg(
+        F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n"),
+        count(hit, "pos").alias("tp"), count(hit, "neg").alias("fp"),
+        count(~hit, "neg").alias("tn"), count(~hit, "pos").alias("fn"),
+        F.sum(pos * (below + neg / 2.0)).alias("_auc"),
+        F.sum(pos * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("_ap"),
+        F.sum(pos * F.pow(s - 1, 2) + neg * s * s).alias("_brier"))
+    tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
+    p, n = tp + fn, fp + tn
+    return g.select(
+        *by, "n", "tp", "fp", "tn", "fn",
+        _div0(tp + tn, F.col("n")).alias("accuracy"),
+        _div0(tp, tp + fp).alias("precision"),
+        _div0(tp, tp + fn).alias("recall"),
+        _div0(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        F.when((p > 0) & (n > 0), F.col("_auc") / p / n).alias("roc_auc"),
+        F.when(p > 0, F.col("_ap") / p).alias("average_precision"),
+        F.try_divide(F.col("_brier"), F.col("n")).alias("brier"))
 
 
 def cv_stability(fold_metrics: DataFrame, value: str = "roc_auc", by: Sequence[str] = (),

@@ -384,21 +384,30 @@ def bin_index(x: Column, lo: Column, width: Column, bins: int) -> Column:
     return F.least(F.greatest(raw, F.lit(1)), F.lit(bins))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """``(bin, lo_edge, hi_edge, n, density)``; empty bins are not listed.
+def histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., bin, lo_edge, hi_edge, n, density)``; empty bins are not listed.
+
+    The edges are those of the whole column, so groups can be compared; each
+    group's density sums to one. A constant x spans x - 0.5 to x + 0.5.
 
     min/max are a one-row aggregate joined by broadcast (one row, fixed size);
     counting is one ``groupBy(bin)`` with map-side combine.
     """
     x = F.col(col).cast("double")
-    data = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    rng = data.agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count(F.lit(1)).alias("n_all"))
-    width = F.when(F.col("mx") > F.col("mn"), (F.col("mx") - F.col("mn")) / bins).otherwise(F.lit(1.0))
-    j = data.crossJoin(F.broadcast(rng)).withColumn("w", width)
+    by = list(by)
+    data = df.select(*by, x.alias("_cx_x")).where(F.col("_cx_x").isNotNull())
+    rng = data.agg(F.min("_cx_x").alias("_lo"), F.max("_cx_x").alias("_hi"))
+    rng = rng.select(
+        F.when(F.col("_hi") > F.col("_lo"), F.col("_lo")).otherwise(F.col("_lo") - 0.5).alias("mn"),
+        F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / bins).otherwise(1.0 / bins).alias("w"))
+    j = data.crossJoin(F.broadcast(rng))
     counted = j.groupBy(
-        bin_index(F.col("x"), F.col("mn"), F.col("w"), bins).alias("bin"), "mn", "w", "n_all"
+        *by, bin_index(F.col("_cx_x"), F.col("mn"), F.col("w"), bins).alias("bin"), "mn", "w"
     ).agg(F.count(F.lit(1)).alias("n"))
+    # at most ``bins`` rows per group
+    counted = counted.withColumn("n_all", F.sum("n").over(Window.partitionBy(*(by or [F.lit(0)]))))
     return counted.select(
+        *by,
         "bin",
         (F.col("mn") + (F.col("bin") - 1) * F.col("w")).alias("lo_edge"),
         (F.col("mn") + F.col("bin") * F.col("w")).alias("hi_edge"),

@@ -63,7 +63,8 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     numeric = roles.numeric(src, include_flags=True)
     dups = duplicates.duplicate_profile(src, roles.labels)
-    miss = profile.missing_profile(src)
+    left_out = {*roles.ids, *roles.exclude}
+    miss = profile.missing_profile(src, [c for c in src.columns if c not in left_out])
     viol = profile.range_violations(src, ranges)
     outl = profile.iqr_outliers(src, numeric, exact=exact)
     bal = profile.class_balance(src, roles.labels)

@@ -104,12 +104,16 @@ def q_zero_to_null(spark, sf):
 
 @query("inf_to_null", """
 SELECT l_orderkey, l_linenumber,
-       round(CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity / l_discount END, 6) AS qty_per_discount FROM lineitem
+       round(CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity / l_discount END, 6) AS qty_per_discount,
+       round(CASE WHEN l_tax = 0 THEN NULL ELSE -l_extendedprice / l_tax END, 6) AS price_per_tax FROM lineitem
 """)
 def q_inf_to_null(spark, sf):
     li = lineitem(spark, sf)
-    return r6(li.select("l_orderkey", "l_linenumber",
-                        safe_div(F.col("l_quantity"), F.col("l_discount")).alias("qty_per_discount")))
+    inf = F.lit(float("inf"))
+    x = li.select("l_orderkey", "l_linenumber",
+                  F.coalesce(safe_div(F.col("l_quantity"), F.col("l_discount")), inf).alias("qty_per_discount"),
+                  F.coalesce(safe_div(-F.col("l_extendedprice"), F.col("l_tax")), -inf).alias("price_per_tax"))
+    return r6(clean.inf_to_null(x))
 
 
 # --- engineered features on lineitem columns mapped to clinical roles ----------------------

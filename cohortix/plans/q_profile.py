@@ -516,21 +516,22 @@ PAIR_COLS = list(PAIR_EXPRS)
 PAIR_SRC = "(SELECT " + ", ".join(f"{e} AS {k}" for k, e in PAIR_EXPRS.items()) + " FROM lineitem)"
 PAIR_MATRIX_SQL = " UNION ALL ".join(
     f"SELECT '{PAIR_COLS[i]}' AS col_a, '{PAIR_COLS[j]}' AS col_b, {i} AS i, {j} AS j, "
-    f"round(corr({PAIR_COLS[i]}, {PAIR_COLS[j]}), 6) AS r FROM {PAIR_SRC}"
+    f"corr({PAIR_COLS[i]}, {PAIR_COLS[j]}) AS r FROM {PAIR_SRC}"
     for i in range(len(PAIR_COLS)) for j in range(i + 1, len(PAIR_COLS))
 )
 
 
 @query("corr_pairs", f"""
-SELECT *, CASE WHEN abs(r) > 0.9 THEN 'HIGH' ELSE 'MODERATE' END AS band FROM ({PAIR_MATRIX_SQL})
+SELECT * REPLACE (round(r, 6) AS r), CASE WHEN abs(r) > 0.9 THEN 'HIGH' ELSE 'MODERATE' END AS band
+FROM ({PAIR_MATRIX_SQL})
 WHERE abs(r) > 0.7
 """)
 def q_corr_pairs(spark, sf):
     """lineitem with derived revenue / adjusted quantity / unit price, bands
     |r| > 0.9 HIGH and 0.7 < |r| <= 0.9 MODERATE."""
     li = lineitem(spark, sf).select(*[F.expr(e).alias(k) for k, e in PAIR_EXPRS.items()])
-    m = r6(profile.correlation_matrix(li, PAIR_COLS))
-    return profile.corr_pairs(m, PAIR_COLS, high=0.9, moderate=0.7)
+    m = profile.correlation_matrix(li, PAIR_COLS)
+    return r6(profile.corr_pairs(m, PAIR_COLS, high=0.9, moderate=0.7))
 
 
 LABEL_EXPRS = dict(PAIR_EXPRS, high_qty="CAST(l_quantity >= 40 AS INTEGER)",
@@ -540,37 +541,37 @@ LABEL_COLS = ["high_qty", "big_order"]
 LABEL_ALL = LABEL_FEATS + LABEL_COLS
 LABEL_SRC = "(SELECT " + ", ".join(f"{e} AS {k}" for k, e in LABEL_EXPRS.items()) + " FROM lineitem)"
 LABEL_SQL = " UNION ALL ".join(
-    f"SELECT '{lab}' AS label, '{f}' AS feature, round(corr({f}, {lab}), 6) AS r FROM {LABEL_SRC}"
+    f"SELECT '{lab}' AS label, '{f}' AS feature, corr({f}, {lab}) AS r FROM {LABEL_SRC}"
     for lab in LABEL_COLS for f in LABEL_FEATS
 )
 
 
 def _label_matrix(spark, sf):
     li = lineitem(spark, sf).select(*[F.expr(e).alias(k) for k, e in LABEL_EXPRS.items()])
-    return r6(profile.correlation_matrix(li, LABEL_ALL))
+    return profile.correlation_matrix(li, LABEL_ALL)
 
 
-@query("corr_label", f"SELECT *, abs(r) > 0.8 AS flagged FROM ({LABEL_SQL})")
+@query("corr_label", f"SELECT * REPLACE (round(r, 6) AS r), abs(r) > 0.8 AS flagged FROM ({LABEL_SQL})")
 def q_corr_label(spark, sf):
     """Feature-label correlations, leakage flag above 0.8 (audit rule)."""
-    return profile.corr_label(_label_matrix(spark, sf), LABEL_FEATS, LABEL_COLS, threshold=0.8)
+    return r6(profile.corr_label(_label_matrix(spark, sf), LABEL_FEATS, LABEL_COLS, threshold=0.8))
 
 
-@query("corr_label_review", f"SELECT *, abs(r) > 0.8 AS flagged FROM ({LABEL_SQL}) WHERE abs(r) > 0.5")
+@query("corr_label_review", f"SELECT * REPLACE (round(r, 6) AS r), abs(r) > 0.8 AS flagged FROM ({LABEL_SQL}) WHERE abs(r) > 0.5")
 def q_corr_label_review(spark, sf):
     """The review's list: only pairs with |r| > 0.5, by |r| desc."""
-    return profile.corr_label(_label_matrix(spark, sf), LABEL_FEATS, LABEL_COLS, threshold=0.8, min_abs=0.5)
+    return r6(profile.corr_label(_label_matrix(spark, sf), LABEL_FEATS, LABEL_COLS, threshold=0.8, min_abs=0.5))
 
 
 @query("importance_rank", f"""
 SELECT feature, CAST(row_number() OVER (ORDER BY abs(r) DESC, feature) AS INTEGER) AS rank
-FROM (SELECT col_a AS feature, r FROM ({CORR_MATRIX_SQL}) WHERE col_b = 'is_o')
+FROM (SELECT col_a AS feature, r FROM ({CORR_MATRIX_SQL.replace("round(", "(").replace("), 6)", "))")}) WHERE col_b = 'is_o')
 QUALIFY rank <= 3
 """)
 def q_importance_rank(spark, sf):
     from cohortix.operators.ranking import rank_top
 
-    m = r6(profile.correlation_matrix(corr_input(spark, sf), CORR_COLS))
+    m = profile.correlation_matrix(corr_input(spark, sf), CORR_COLS)
     lab = profile.corr_label(m, LI_NUM, ["is_o"]).select("feature", "r")
     return rank_top(lab, [F.desc(F.abs("r")), F.col("feature")], 3).select("feature", "rank")
 
