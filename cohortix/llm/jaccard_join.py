@@ -168,16 +168,16 @@ def _cross(rows: list[dict], key: tuple) -> np.ndarray:
     return at[:, None] != at[None, :]
 
 
-def _unique(rows: list[dict]) -> list[dict]:
-    return list({r["cls"]: r for r in sorted(rows, key=lambda r: r["cls"])}.values())
+def _unique(rows: list[dict], name: str) -> list[dict]:
+    return list({r[name]: r for r in sorted(rows, key=lambda r: r[name])}.values())
 
 
 def candidate_edges(batches, threshold: float):
     """Spanning edges of the pairs in each bucket whose sketches may reach the threshold."""
     cut = math.floor(SKETCH * (threshold - 4.4 * math.sqrt(threshold * (1 - threshold) / SKETCH)))
-    out: list[tuple[bytes, bytes]] = []
+    out: list[tuple[int, int]] = []
     for key, rows in runs_of(batches, ["bucket", "lo", "hi"]):
-        rows = _unique(rows)
+        rows = _unique(rows, "id")
         if len(rows) < 2:
             continue
         sk = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(len(rows), SKETCH)
@@ -188,16 +188,16 @@ def candidate_edges(batches, threshold: float):
         links &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :])
         links &= _cross(rows, key)
         root = forest(links)
-        out += [(rows[i]["cls"], rows[r]["cls"]) for i, r in enumerate(root.tolist()) if r != i]
+        out += [(rows[i]["id"], rows[r]["id"]) for i, r in enumerate(root.tolist()) if r != i]
         if len(out) > 50_000:
             yield _arrow(out, "u", "v")
             out = []
     yield _arrow(out, "u", "v")
 
 
-def _arrow(rows: list[tuple[bytes, bytes]], *names: str) -> pa.RecordBatch:
+def _arrow(rows: list[tuple[int, int]], *names: str) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [[], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in cols], names=list(names))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=list(names))
 
 
 def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
@@ -224,7 +224,7 @@ def exact_links(batches, threshold: float):
     """(cls, links, root) of each block pair: documents of other classes with the
     similarity or more, and the least class that the pair's links reach."""
     for key, rows in runs_of(batches, ["cluster", "lo", "hi"]):
-        rows = _unique(rows)
+        rows = _unique(rows, "cls")
         sets = [np.frombuffer(r["set"], np.uint64) for r in rows]
         n = np.array([len(s) for s in sets], float)
         both = shared_sizes(sets).astype(float)
@@ -304,32 +304,38 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("rep"),
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("chains").alias("chains")), "classes")
 
-    # the recursion: a level's large buckets go on to the next level's
-    at = classes.select("cls", F.explode("chains").alias("x")).select("cls", "x.*")
+    # the recursion: a level's large buckets go on to the next level's. Candidates
+    # go by a 64-bit number of their class; two classes with one number are just
+    # compared as well, by their sets
+    numbered = classes.withColumn("id", F.xxhash64("cls"))
+    at = numbered.select("id", F.explode("chains").alias("x")).select("id", "x.*")
     buckets = None
     for depth, name in enumerate("abc"[:DEPTH]):
         last = depth == DEPTH - 1
         level = at.where(F.col(name).isNotNull())
-        size = level.select("cls", name).distinct().groupBy(name).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        once = (numbered.select("id", F.explode(F.array_distinct(F.transform("chains", lambda x: x["a"]))).alias(name))
+                if depth == 0 else level.select("id", name).distinct())
+        size = once.groupBy(name).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         level = level.join(size, name)
         small = level if last else level.where(F.col("size") <= SMALL)
-        small = small.select(F.col(name).alias("bucket"), "cls", "size").distinct()
+        small = small.select(F.col(name).alias("bucket"), "id", "size").distinct()
         buckets = small if buckets is None else buckets.unionByName(small)
         if not last:
             at = level.where(F.col("size") > SMALL).drop("size", name)
-    met = buckets.join(classes.select("cls", "n", "sketch"), "cls")
-    met = in_blocks(met, ["bucket"], "size", SKETCH_BLOCK, "cls")
+    met = buckets.join(numbered.select("id", "n", "sketch"), "id")
+    met = in_blocks(met, ["bucket"], "size", SKETCH_BLOCK, "id")
     met = met.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    edges = met.select("bucket", "lo", "hi", "at", "cls", "n", "sketch").mapInArrow(
-        lambda b: candidate_edges(b, threshold), "u binary, v binary")
+    edges = met.select("bucket", "lo", "hi", "at", "id", "n", "sketch").mapInArrow(
+        lambda b: candidate_edges(b, threshold), "u bigint, v bigint")
     near = components(edges)
 
     # exact similarities inside the candidate components
     near = near.join(near.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "root")
-    wanted = stored(near.select(F.col("node").alias("cls"), F.col("root").alias("cluster"), "size").join(
-        classes.select("cls", "copies", "rep"), "cls").select(
+    wanted = stored(near.select(F.col("node").alias("id"), F.col("root").alias("cluster"), "size").join(
+        numbered.select("id", "cls", "copies", "rep"), "id").select(
             "cls", "cluster", "size", "copies", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th")), "near")
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]) & (docs["th"] == wanted["_th"]))
+    # a merge join at every size: the wanted texts grow with the corpus
+    texts = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_id"]) & (docs["th"] == wanted["_th"]))
 
     def with_sets(batches):
         sh = shingler(*args)
@@ -343,7 +349,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield out.filter(right)
 
     sets = texts.select("cls", "cluster", "size", "copies", "text").mapInArrow(
-        with_sets, "cls binary, cluster binary, size bigint, copies bigint, set binary")
+        with_sets, "cls binary, cluster bigint, size bigint, copies bigint, set binary")
     sets = in_blocks(sets, ["cluster"], "size", SET_BLOCK, "cls").withColumn("large", F.col("size") > SET_BLOCK)
     sets = sets.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
     linked = stored(sets.select("cluster", "lo", "hi", "at", "cls", "copies", "large", "set").mapInArrow(
