@@ -13,6 +13,7 @@ Design:
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortix.operators import metrics as M
+from cohortix.session import ensure_checkpoint_dir
 
 SCORE = "score"
 WEIGHT = "weight"
@@ -224,6 +226,7 @@ def cv_metrics(df: DataFrame, features, label, fold_col: str, spec: ModelSpec,
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
+    ensure_checkpoint_dir(df.sparkSession)
     scored = scored.checkpoint(eager=True)  # cut the per-fold lineage before the metric job
     if not prepared:
         base.unpersist()
@@ -266,9 +269,10 @@ def random_search(df: DataFrame, features, label, fold_col: str, kind: str,
         m = cv_metrics(base, features, label, fold_col, ModelSpec(f"c{i}", kind, p), prepared=True,
                        parallelism=1)
         s = m.agg(F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")).first()
-        return (i, str(sorted(p.items())), float(s["mean"] or 0.0), float(s["std"] or 0.0))
+        return (i, json.dumps(p, sort_keys=True), float(s["mean"] or 0.0), float(s["std"] or 0.0))
 
-    draws = list(enumerate(draw_params(grid, n_iter, seed)))
+    used, _ = usable_grid(grid, kind)
+    draws = list(enumerate(draw_params(used, n_iter, seed)))
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             rows = list(pool.map(run, draws))
@@ -281,6 +285,55 @@ def random_search(df: DataFrame, features, label, fold_col: str, kind: str,
     return res.withColumn("rank", F.row_number().over(w))
 
 
+#: Parameters of a grid that the estimators here have no counterpart for.
+WITHOUT_COUNTERPART = {"boosted": ("reg_alpha", "reg_lambda"), "forest": ("min_samples_split",)}
+
+
+def usable_grid(grid: Mapping[str, Sequence], kind: str) -> tuple[dict, list[str]]:
+    """(the grid without parameters that would change nothing, those parameters)."""
+    out = [k for k in grid if k in WITHOUT_COUNTERPART.get(kind, ())]
+    return {k: v for k, v in grid.items() if k not in out}, out
+
+
+def best_params(leaderboard: DataFrame) -> dict:
+    """Parameters of the first candidate of :func:`random_search`, as values."""
+    return json.loads(leaderboard.where("rank = 1").first()["params"])
+
+
+def tune(df: DataFrame, features, label, split_col: str, fold_col: str, kind: str,
+         grid: Mapping[str, Sequence], n_iter: int, threshold: float, baseline: ModelSpec,
+         path: str | None = None, seed: int = 42, parallelism: int = 4) -> DataFrame:
+    """Search on the train folds, refit the best on all train rows, evaluate once on test.
+
+    Returns one row: best params (JSON), the grid's parameters without
+    counterpart, mean and std of the folds' ROC-AUC and average precision with
+    the tuned model, the test metrics at ``threshold``, the baseline's test
+    ROC-AUC and the gain. The tuned pipeline is saved to ``path``.
+    """
+    weigh = with_pos_weight if kind == "boosted" else with_balanced_weight
+    train, test = df.where(F.col(split_col) == "train"), df.where(F.col(split_col) == "test")
+    board = random_search(train, features, label, fold_col, kind, grid, n_iter, seed, parallelism)
+    spec = ModelSpec("tuned", kind, best_params(board))
+    folds = cv_metrics(train, features, label, fold_col, spec, threshold)
+    cv = folds.agg(F.avg("roc_auc").alias("cv_roc_auc"), F.stddev_pop("roc_auc").alias("cv_roc_auc_std"),
+                   F.avg("average_precision").alias("cv_pr_auc"),
+                   F.stddev_pop("average_precision").alias("cv_pr_auc_std"))
+    model = fit(weigh(train, label), features, label, spec, seed)
+    if path:
+        model.write().overwrite().save(path)
+    base_weigh = with_pos_weight if baseline.kind == "boosted" else with_balanced_weight
+    base = fit(base_weigh(train, label), features, label, baseline, seed)
+    scored = score(model, test, [label]).withColumn("model", F.lit("tuned")).unionByName(
+        score(base, test, [label]).withColumn("model", F.lit("baseline")))
+    m = M.evaluate(scored, label, SCORE, threshold, by=["model"])
+    b = m.where("model = 'baseline'").select(F.col("roc_auc").alias("baseline_roc_auc"))
+    # three tables of one row each
+    out = m.where("model = 'tuned'").crossJoin(F.broadcast(b)).crossJoin(F.broadcast(cv))
+    return out.withColumn("gain", F.col("roc_auc") - F.col("baseline_roc_auc")).withColumn(
+        "params", F.lit(json.dumps(spec.params, sort_keys=True))).withColumn(
+        "ignored", F.lit(",".join(usable_grid(grid, kind)[1])))
+
+
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int | None = None) -> DataFrame:
     """Gain importances of the tree stage, sorted, optionally top ``top``."""
     from pyspark.sql import SparkSession
@@ -300,16 +353,23 @@ def run_compare(baseline: DataFrame, new: DataFrame, keys: Sequence[str], value:
     return b.join(n, list(keys), "inner").withColumn("gain", F.col("new") - F.col("baseline"))
 
 
+def _fit_with_leaky_scaler(df: DataFrame, train: DataFrame, features, label, spec: ModelSpec) -> PipelineModel:
+    scaler = fit_scaler(df, features)  # on all rows: what the comparison is about
+    assembler = VectorAssembler(inputCols=scaled_names(features), outputCol="features", handleInvalid="keep")
+    n = train.count() if spec.kind == "logistic" else None
+    return Pipeline(stages=[scaler, assembler, estimator(spec, label, n)]).fit(train)
+
+
 def scaling_leakage(df: DataFrame, features, label, split_col: str, spec: ModelSpec,
                     tolerance: float = 0.005) -> DataFrame:
     """Test AUC with the scaler fitted on train only vs on all rows."""
     train = training_frame(with_balanced_weight(df.where(F.col(split_col) == "train"), label))
     test = df.where(F.col(split_col) == "test")
-    correct = fit(train, features, label, spec)
-    leaky_scaler = fit_scaler(df, features)
-    assembler = VectorAssembler(inputCols=scaled_names(features), outputCol="features", handleInvalid="keep")
-    n = train.count() if spec.kind == "logistic" else None
-    leaky = Pipeline(stages=[leaky_scaler, assembler, estimator(spec, label, n)]).fit(train)
+    try:
+        correct = fit(train, features, label, spec)
+        leaky = _fit_with_leaky_scaler(df, train, features, label, spec)
+    finally:
+        train.unpersist()
     s = score(correct, test, [label]).withColumn("variant", F.lit("correct")).unionByName(
         score(leaky, test, [label]).withColumn("variant", F.lit("leaky")))
     auc = M.roc_auc(s, label, SCORE, by=["variant"])

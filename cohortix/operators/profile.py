@@ -61,14 +61,20 @@ def schema_profile(df: DataFrame, cols: Sequence[str] | None = None,
 
 
 def unexpected_types(df: DataFrame, expected_strings: Sequence[str]) -> DataFrame:
-    """String columns other than the expected ones (schema only, no scan)."""
-    spark = df.sparkSession
-    rows = [
-        (f.name, f.dataType.simpleString())
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.StringType) and f.name not in set(expected_strings)
-    ]
-    return spark.createDataFrame(rows, "col_name string, dtype string")
+    """String columns other than the expected ones: ``(col_name, dtype, n_values, n_numeric)``.
+
+    One aggregate over the rows counts a column's values and those that read
+    as numbers: a column of numbers with a few bad texts shows at once.
+    """
+    found = [f for f in df.schema.fields
+             if isinstance(f.dataType, T.StringType) and f.name not in set(expected_strings)]
+    if not found:
+        return df.sparkSession.createDataFrame([], "col_name string, dtype string, n_values long, n_numeric long")
+    return _inline(df, [
+        F.struct(F.lit(f.name).alias("col_name"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                 F.count(f.name).alias("n_values"),
+                 F.count(F.col(f.name).try_cast("double")).alias("n_numeric"))
+        for f in found])
 
 
 # --- missing values -------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortix.operators import clean, duplicates, profile, split, stats, verdict
+from cohortix.operators.cumulative import has_shuffle
 from cohortix.roles import Roles
 
 
@@ -47,12 +48,14 @@ class AuditResult:
 
 
 def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]],
-          exact: bool = True, persist: bool = True, unit_col: str | None = None,
-          critical: Sequence[str] = (), bias_numeric: str | None = None) -> AuditResult:
+          exact: bool = True, persist: bool | None = None, unit_col: str | None = None,
+          critical: Sequence[str] = (), bias_numeric: str | None = None,
+          exact_distinct: bool = False) -> AuditResult:
     """All table profiles and the verdict for one table.
 
-    The input is persisted (it feeds about fifteen scans); each profile is one
-    wide aggregate over it. ``unit_col`` gets the mixed-scale test (e.g. FiO2
+    Each profile is one wide aggregate over the input. A plain scan is read
+    again for each, with the columns it needs; an input that joins or
+    aggregates is persisted (``persist`` overrides; call ``release()`` after). ``unit_col`` gets the mixed-scale test (e.g. FiO2
     as fraction vs percent), ``critical`` columns get an extra finding when
     they violate their range, and for each category column the bias tests
     run against every label (chi-squared) and ``bias_numeric`` is compared
@@ -60,6 +63,8 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
     """
     if duplicates.ROW_ORDER in df.columns:  # file position is not data
         df = df.drop(duplicates.ROW_ORDER)
+    if persist is None:
+        persist = has_shuffle(df)
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     numeric = roles.numeric(src, include_flags=True)
     dups = duplicates.duplicate_profile(src, roles.labels)
@@ -73,7 +78,7 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
     corr = profile.correlation_matrix(src, corr_cols) if len(corr_cols) > 1 else None
     res = AuditResult(
         shape=profile.table_shape(src),
-        schema=profile.schema_profile(src, approx=not exact),
+        schema=profile.schema_profile(src, approx=not exact_distinct),
         duplicates=dups,
         missing=miss,
         violations=viol,
@@ -169,15 +174,20 @@ def findings(res: AuditResult) -> DataFrame:
 def fix(df: DataFrame, key: str, order_by: Sequence[str] | None, roles: Roles,
         impossible: Mapping[str, tuple[float, float]], caps: Mapping[str, tuple[float, float]],
         group_cols: Sequence[str], log_cols: Sequence[str] = (), encode_col: str | None = None,
-        fit_on: str = "train", test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
+        fit_on: str = "train", test_fraction: float = 0.2, seed: int = 42,
+        drop_order: bool = False) -> DataFrame:
     """Clean a raw table to one row per ``key`` with a ``split`` column.
 
     ``fit_on="train"`` fits the medians on the train split only (no leakage);
     ``"all"`` fits them on every row as the original study did.
+    ``drop_order`` removes the ``order_by`` columns after de-duplication, for
+    a column that only gives the order and must not become a feature.
     """
     firsts = [c for c in df.columns
               if c != key and c not in set(roles.labels) and c != duplicates.ROW_ORDER]
     one = duplicates.dedup_majority(df, key, order_by, first_cols=firsts, vote_cols=roles.labels)
+    if drop_order:
+        one = one.drop(*[c for c in order_by or () if c != key])
     one = clean.null_out_impossible(one, impossible)
     one = clean.winsorize(one, caps)
     one = split.group_split(one, group_cols, test_fraction, seed)

@@ -12,6 +12,7 @@ Shared inputs (profiled): lineitem (no NULLs, so some columns are NULLed with
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 from collections.abc import Callable
@@ -103,8 +104,24 @@ def split_hash_sql(key_sql: str, seed: int = 42) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the session's shared checkpoint directory."""
+    """A folder under the session's shared checkpoint directory, removed when the driver ends."""
     from cohortix.session import ensure_checkpoint_dir
 
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_drop_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def _drop_scratch() -> None:
+    for spark, path in _SCRATCH:
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session has ended
+            return

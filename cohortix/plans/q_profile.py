@@ -51,16 +51,19 @@ def q_require_columns(spark, sf):
 
 
 @query("column_diff", """
-SELECT column_name AS col_name FROM information_schema.columns
+SELECT column_name AS col_name, (SELECT count(s_suppkey) FROM supplier) AS n_values FROM information_schema.columns
 WHERE table_name = 'supplier' AND column_name NOT IN
   (SELECT replace(column_name, 'c_', 's_') FROM information_schema.columns WHERE table_name = 'customer')
 """)
 def q_column_diff(spark, sf):
-    """Columns of supplier with no customer twin (metadata of both tables)."""
+    """Columns of supplier with no customer twin, and how many values each holds."""
     cust = table(spark, sf, "customer")
     renamed = cust.toDF(*[c.replace("c_", "s_") for c in cust.columns])
-    miss = scan.missing_columns(renamed, table(spark, sf, "supplier").columns)
-    return spark.createDataFrame([(c,) for c in miss], "col_name string")
+    sup = table(spark, sf, "supplier")
+    miss = scan.missing_columns(renamed, sup.columns)
+    counts = profile.missing_profile(sup, miss).select("col_name", "n_missing")
+    return counts.crossJoin(F.broadcast(sup.agg(F.count(F.lit(1)).alias("n")))).select(
+        "col_name", (F.col("n") - F.col("n_missing")).alias("n_values"))
 
 
 @query("sink_table", f"""
@@ -117,11 +120,16 @@ def q_schema_profile(spark, sf):
 
 
 @query("unexpected_types", """
-SELECT column_name AS col_name, 'string' AS dtype FROM information_schema.columns
-WHERE table_name = 'lineitem' AND data_type = 'VARCHAR' AND column_name <> 'l_returnflag'
+SELECT 'o_orderstatus' AS col_name, 'string' AS dtype, count(o_orderstatus) AS n_values,
+       count(TRY_CAST(o_orderstatus AS DOUBLE)) AS n_numeric FROM orders
+UNION ALL SELECT 'key_text', 'string', count(*), count(TRY_CAST(k AS DOUBLE))
+FROM (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_orderkey AS VARCHAR) END AS k FROM orders)
 """)
 def q_unexpected_types(spark, sf):
-    return profile.unexpected_types(lineitem(spark, sf), ["l_returnflag"])
+    """A key that came as text, with some bad values, next to a real category."""
+    key = F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("o_orderkey").cast("string"))
+    o = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority", key.alias("key_text"))
+    return profile.unexpected_types(o, ["o_orderpriority"])
 
 
 @query("table_shape", """
@@ -149,7 +157,8 @@ def q_project_roles(spark, sf):
 SELECT c_custkey, round(c_acctbal, 6) AS c_acctbal FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000
 """)
 def q_range_filter(spark, sf):
-    c = table(spark, sf, "customer")
+    # the plain comparison reaches the scan; the second one sees NaN as missing
+    c = table(spark, sf, "customer", where=(F.col("c_acctbal") < 0) | (F.col("c_acctbal") > 9000))
     return r6(c.where(outside("c_acctbal", 0, 9000)).select("c_custkey", "c_acctbal"))
 
 

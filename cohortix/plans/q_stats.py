@@ -49,13 +49,23 @@ def q_chi2_yates(spark, sf):
     return r6(stats.chi2_statistic(table(spark, sf, "labels"), "quality", "toxic"))
 
 
-@query("chi2_pvalue")
+# P(|Z| < z) by Simpson's rule over 4,000 steps
+_NORMAL_SQL = """(SELECT sum((CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+  * exp(-power(sqrt(chi2) * i / 4000.0, 2) / 2)) * sqrt(chi2) / 12000.0 * 2 / sqrt(2 * pi()) FROM range(4001) t(i))"""
+
+
+@query("chi2_pvalue", f"""
+WITH s AS (WITH q AS ({_chi2_sql("quality", "toxic", "labels", True).replace("round(sum", "(sum").replace("e), 6)", "e))")})
+           SELECT chi2, dof FROM q)
+SELECT 'quality' AS a, 'toxic' AS b, round(chi2, 6) AS chi2, dof, round(1 - {_NORMAL_SQL}, 6) AS p,
+       CASE WHEN 1 - {_NORMAL_SQL} < 0.05 THEN 'WARNING' ELSE 'OK' END AS verdict FROM s
+""")
 def q_chi2_pvalue(spark, sf):
-    """chi2 with p-value and verdict (p from the statistic on the driver)."""
-    return stats.chi2_independence(table(spark, sf, "labels"), "quality", "toxic")
+    """The 2 x 2 test with its p-value and verdict."""
+    return r6(stats.chi2_independence(table(spark, sf, "labels"), "quality", "toxic"))
 
 
-@query("ttest_two_sample", """
+_TTEST_SQL = """
 WITH m AS (SELECT count(l_quantity) FILTER (WHERE l_linestatus = 'O') AS n0,
                   count(l_quantity) FILTER (WHERE l_linestatus = 'F') AS n1,
                   avg(l_quantity) FILTER (WHERE l_linestatus = 'O') AS m0,
@@ -65,14 +75,24 @@ WITH m AS (SELECT count(l_quantity) FILTER (WHERE l_linestatus = 'O') AS n0,
 SELECT CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1, round(m0, 6) AS m0, round(m1, 6) AS m1,
        round((m0 - m1) / sqrt(((n0 - 1) * v0 + (n1 - 1) * v1) / (n0 + n1 - 2) * (1.0 / n0 + 1.0 / n1)), 6) AS t,
        CAST(n0 + n1 - 2 AS BIGINT) AS dof FROM m
-""")
+"""
+
+
+@query("ttest_two_sample", _TTEST_SQL)
 def q_ttest_two_sample(spark, sf):
     return r6(stats.ttest_moments(lineitem(spark, sf), "l_linestatus", "l_quantity", "O", "F"))
 
 
-@query("ttest_pvalue")
+@query("ttest_pvalue", f"""
+WITH s AS ({_TTEST_SQL.replace("round((m0 - m1)", "((m0 - m1)").replace("1.0 / n1)), 6)", "1.0 / n1)))")}),
+p AS (SELECT n0, n1, t, 1 - (SELECT sum((CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+    * power(1 + power(t * i / 4000.0, 2) / dof, -(dof + 1) / 2.0)) * abs(t) / 12000.0 * 2
+    * exp(lgamma((dof + 1) / 2.0) - lgamma(dof / 2.0)) / sqrt(dof * pi()) FROM range(4001) r(i)) AS p FROM s)
+SELECT 'l_linestatus' AS "group", 'l_quantity' AS col_name, n0, n1, round(t, 6) AS t, round(p, 6) AS p,
+       CASE WHEN p < 0.05 THEN 'WARNING' ELSE 'OK' END AS verdict FROM p
+""")
 def q_ttest_pvalue(spark, sf):
-    return stats.ttest_two_sample(lineitem(spark, sf), "l_linestatus", "l_quantity", "O", "F")
+    return r6(stats.ttest_two_sample(lineitem(spark, sf), "l_linestatus", "l_quantity", "O", "F"))
 
 
 EV_FOLD_SQL = f"""(SELECT *, CAST(({split_hash_sql("CAST(user_id AS VARCHAR)")}) % 5 AS INTEGER) AS fold FROM {EV_SQL})"""
@@ -133,9 +153,19 @@ def q_hash_kfold(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_id").alias("n_groups"))
 
 
-@query("group_kfold")
+@query("group_kfold", """
+WITH RECURSIVE g AS (SELECT row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS i, count(*) AS n FROM orders GROUP BY o_custkey),
+t(i, l, c) AS (
+  SELECT 0::BIGINT, [0, 0, 0, 0, 0]::BIGINT[], [0, 0, 0, 0, 0]::BIGINT[]
+  UNION ALL
+  SELECT t.i + 1, list_transform(l, lambda x, j: x + CASE WHEN j = list_position(l, list_min(l)) THEN g.n ELSE 0 END),
+         list_transform(c, lambda x, j: x + CASE WHEN j = list_position(l, list_min(l)) THEN 1 ELSE 0 END)
+  FROM t JOIN g ON g.i = t.i + 1)
+SELECT CAST(f AS INTEGER) AS fold, l[f + 1] AS n_rows, c[f + 1] AS n_groups
+FROM (SELECT l, c FROM t ORDER BY i DESC LIMIT 1), range(5) r(f)
+""")
 def q_group_kfold(spark, sf):
-    """Row-balanced group folds; the greedy is checked against brute force in tests."""
+    """Row-balanced group folds: the greedy, group after group, in the twin."""
     f = split.group_kfold(table(spark, sf, "orders"), ["o_custkey"], 5)
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_custkey").alias("n_groups"))
 

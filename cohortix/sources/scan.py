@@ -73,9 +73,17 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                 row_order: bool = False) -> DataFrame:
-    """Parquet scan (projection and filters push down), NaN -> NULL."""
+                 row_order: bool = False, where=None) -> DataFrame:
+    """Parquet scan (projection and filters push down), NaN -> NULL.
+
+    A filter on a floating column after the scan sees the NaN rule, not the
+    column, and is not pushed. ``where`` is applied to the columns as stored,
+    so it prunes row groups; repeat the filter after the scan if NaN could
+    pass it.
+    """
     df = spark.read.parquet(path)
+    if where is not None:
+        df = df.where(where)
     if row_order:
         df = with_row_order(df)
     if columns is not None:

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tools.oracle_check import duck
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 NAMES = sorted(entry.oracle_sql())
@@ -18,7 +19,10 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert df.columns[:3] == ["col_name", "lo", "hi"]
-    assert len(rows) >= 0
+    sql = entry.oracle_sql()["range_violations"]
+    want = duck(entry.SMOKE_DIR).execute(sql).fetchall()
+    assert rows and len(rows) == len(want)
+    assert {r["col_name"] for r in rows} <= {f"l_{c}" for c in ("quantity", "extendedprice", "discount", "tax")}
 
 
 @pytest.mark.parametrize("name", NAMES)

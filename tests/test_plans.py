@@ -28,6 +28,27 @@ def test_filters_reach_the_scan(spark, qs):
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in p
 
 
+def test_range_filter_on_a_double_reaches_the_scan(spark, qs):
+    p = plan(qs["range_filter"](spark, SF))
+    assert "LessThan(c_acctbal,0.0)" in p and "GreaterThan(c_acctbal,9000.0)" in p
+
+
+def test_exact_split_does_not_join_the_table(spark):
+    from cohortix.operators.split import group_split_exact
+    from cohortix.plans.catalog import lineitem
+
+    p = plan(group_split_exact(lineitem(spark, SF), ["l_orderkey"]))
+    assert "SortMergeJoin" not in p and "BroadcastNestedLoopJoin" in p  # with the one-row cut
+
+
+def test_metrics_read_the_scores_once(spark):
+    from cohortix.operators import metrics
+
+    ev = spark.read.parquet(f"{SF}/events.parquet").selectExpr("value / 500 AS s", "CAST(event_type = 'error' AS int) AS y")
+    p = plan(metrics.evaluate(ev, "y", "s", 0.5))
+    assert p.count("Scan parquet") + p.count("FileScan parquet") == 0  # the counted scores, already checkpointed
+
+
 def test_splits_and_features_do_not_shuffle(spark, qs):
     from cohortix.operators.split import group_split, hash_kfold
     from cohortix.plans.catalog import lineitem
