@@ -15,7 +15,7 @@ from .fm_index import FmIndex
 #: Words in a window that is reported if it repeats.
 WINDOW = 13
 #: Words in an anchor; a window's anchor is its least hashed run of so many words.
-ANCHOR = 5
+ANCHOR = 4
 #: Bits of an anchor's name; two anchors with one name only share work.
 NAME_BITS = 40
 #: Windows in a segment, words in an index.
@@ -24,6 +24,8 @@ SEGMENT, SHARD_WORDS = 64, 60_000
 HOT = 2000
 #: Bytes of text that are hashed at once.
 CHUNK = 1_000_000
+#: End of a span that reaches over a whole text.
+WHOLE = 2 ** 31 - 1
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 
@@ -278,8 +280,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = held.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
         "name", F.ceil(F.col("_n") / HOT).cast("int").alias("salts"))
     found = held.join(shared, "name").groupBy("rid").agg(F.collect_set(F.struct("name", "salts")).alias("found"))
+    # equal texts are indexed once, for the first of them: all windows of the others start there
+    named = docs.select("rid", "th", "at", F.unhex(F.md5("text")).alias("md5"))
+    first = named.groupBy("md5").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last")
+    copies = named.join(first, "md5").where("at > first").select("rid", "th")
+    found = found.join(copies.groupBy("rid").agg(F.collect_set("th").alias("copied")), "rid", "left")
     # all columns of the documents go along, so that this exchange of the texts is the one of the last join
-    texts = docs.join(found, "rid")
+    texts = docs.join(found, "rid").where(~F.array_contains(F.coalesce("copied", F.array().cast("array<bigint>")), F.col("th")))
     index = texts.mapInArrow(lambda b: index_segments(b, window),
                              "name bigint, salt int, segment binary, first bigint, last bigint")
     index = index.repartition("name", "salt").sortWithinPartitions("name", "salt", "segment")
@@ -287,9 +294,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                             "name bigint, salt int, key binary, lo int, hi int, least bigint")
     keyed = texts.mapInArrow(lambda b: document_segments(b, window),
                              "rid bigint, th bigint, at bigint, name bigint, salt int, key binary, start int")
-    return keyed.join(hits, ["name", "salt", "key"]).where("least < at").groupBy("rid").agg(
-        F.collect_set(F.struct("th", (F.col("start") + F.col("lo")).alias("lo"),
-                               (F.col("start") + F.col("hi") + window - 1).alias("hi"))).alias("spans"))
+    spans = keyed.join(hits, ["name", "salt", "key"]).where("least < at").select(
+        "rid", F.struct("th", (F.col("start") + F.col("lo")).alias("lo"),
+                        (F.col("start") + F.col("hi") + window - 1).alias("hi")).alias("span"))
+    whole = copies.select("rid", F.struct("th", F.lit(0).alias("lo"), F.lit(WHOLE).alias("hi")).alias("span"))
+    return spans.unionByName(whole).groupBy("rid").agg(F.collect_set("span").alias("spans"))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -306,7 +315,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     1. Every window names its anchor, a run of words inside it; only windows
        whose anchor at least two documents have can repeat (a false name
        costs work, never a word).
-    2. Runs of such windows go to the shard of their anchor, equal ones once
+    2. Equal texts count once, as the first of them. Runs of such windows go to the shard of their anchor, equal ones once
        with their least document; windows of a hot anchor are dealt singly.
     3. Each shard builds a compressed FM-index (bounded words, one at a time)
        and searches its segments' windows backward; the least document in a
@@ -332,13 +341,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out = []
             for t, th, s in zip(b.column("text"), b.column("th").to_pylist(), b.column("spans")):
                 ws = t.as_py().encode("utf-8", "surrogatepass").split()
-                spans = [x for x in s.as_py() or () if x["th"] == th]
+                spans = [x for x in s.as_py() or () if x["th"] == th] if len(ws) >= window else ()
                 kept = ws
                 if spans:
                     gone = np.zeros(len(ws) + 1, np.int64)
                     for x in spans:
                         gone[x["lo"]] += 1
-                        gone[x["hi"]] -= 1
+                        gone[min(x["hi"], len(ws))] -= 1
                     kept = [w for w, g in zip(ws, np.cumsum(gone).tolist()) if not g]
                 joined = b" ".join(kept)
                 out.append((len(ws), len(ws) - len(kept), joined.decode("utf-8", "surrogatepass"),
