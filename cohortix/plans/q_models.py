@@ -12,6 +12,7 @@ pass over all queries stays in minutes on one machine.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortix.operators import models as mdl
@@ -139,10 +140,13 @@ def _shap_frame(spark, sf):
     df = model_frame(spark, sf)
     train = mdl.with_pos_weight(df.where(F.col("split") == "train"), LABEL)
     model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["GBT"])
-    rows = sample_first_n(df.where(F.col("split") == "test"), ["l_orderkey", "l_linenumber", *LI_NUM], 500)
+    keys = ["l_orderkey", "l_linenumber", *LI_NUM]
+    rows = sample_first_n(df.where(F.col("split") == "test"), keys, 500)
+    # order and line do not name a row: number the 500 sampled ones, and explain them in several tasks
+    rows = rows.withColumn("row_id", F.row_number().over(Window.orderBy(*keys))).repartition(8, "row_id")
     scaled = model.stages[0].transform(rows)
     feats = mdl.scaled_names(LI_NUM)
-    return shap.shap_values(scaled, model.stages[-1], feats, ["l_orderkey", "l_linenumber"],
+    return shap.shap_values(scaled, model.stages[-1], feats, ["row_id", "l_orderkey", "l_linenumber"],
                             shared_dir(spark, "shap_model"))
 
 

@@ -81,10 +81,12 @@ def q_readiness(spark, sf):
     return issues_of(spark, sf).readiness
 
 
-@query("audit_skew")
+@query("audit_skew", " UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, round(skewness({c}), 6) AS skew, abs(skewness({c})) > 1 AS flagged FROM {AUDIT_SRC}"
+    for c in AUDIT_NUM))
 def q_audit_skew(spark, sf):
     """The audit plan's skewness table (G1 per numeric column)."""
-    return issues_of(spark, sf).skew
+    return r6(issues_of(spark, sf).skew)
 
 
 CAPS = {"l_quantity": (5, 45)}
