@@ -157,14 +157,15 @@ def training_texts(df: DataFrame, learn: Column, lang_col: str = "lang", text_co
 
     Bounded by ``docs`` and ``TRAIN_CHARS`` characters a text. The order is a
     digest of the text itself, so copies are one text; the digest threshold of
-    a language follows from its number of rows, and no key is sorted whole.
+    a language follows from its number of different texts, however many copies
+    they have, and no key is sorted whole.
     """
     x = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     x = x.withColumn("_h", F.conv(F.substring(unit_hash(F.lit(seed), F.col("text")), 1, 12), 16, 10).cast("double")
                      / F.lit(float(2 ** 48)))
     # one row per language, as the model has one automaton per language
-    per = F.broadcast(x.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
+    per = F.broadcast(x.select("lang", "_h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
     few = x.join(per, "lang").where(F.col("_h") * F.col("_n") < docs)
     return few.select("lang", F.substring("text", 1, TRAIN_CHARS).alias("text")).distinct()
 

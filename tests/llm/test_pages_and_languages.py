@@ -88,6 +88,14 @@ def test_held_out_accuracy(spark):
     assert x.where("score < 0 or score > 1").count() == 0
 
 
+def test_copies_do_not_thin_the_training_sample(spark):
+    # 1,000 different texts among ten million rows of copies of one of them
+    few = spark.range(1000).selectExpr("'xx' AS lang", "concat('text number ', id) AS text")
+    copies = spark.range(9_999_000).selectExpr("'xx' AS lang", "'text number 7' AS text")
+    got = [r["text"] for r in langid.training_texts(few.unionByName(copies), F.lit(True)).collect()]
+    assert 150 <= len(got) == len(set(got)) <= 250
+
+
 def test_shards_keep_their_law(docs):
     n = docs.count()
     x = sharding.interleave(docs, 7)
