@@ -30,6 +30,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 #: Elements that end when another of their group begins in the same parent.
 ENDS = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
         "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Words in a class or id that mark what is not the article.
 MARKS = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies "
@@ -69,26 +70,27 @@ def beside(tag: str, attrs: str) -> bool:
     return not MARKS.isdisjoint(SPLIT_NAME.split(names))
 
 
-def lines(page: str) -> Iterator[tuple[str, int, bool]]:
-    """(text, characters outside links, in an article element) of each line.
+def lines(page: str) -> Iterator[tuple[str, int, bool, bool]]:
+    """(text, characters outside links, in an article element, in a heading) of each line.
 
     A line is the text between two block tags; a beside element yields one
     empty line, the gap that the distribution sees.
     """
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, beside, link, article - each with what is around it
+    # tag, beside, link, article, heading - each with what is around it
+    stack: list[tuple[str, bool, bool, bool, bool]] = []
     text: list[str] = []
     plain = 0
-    state = (False, False, False)
+    state = (False, False, False, False)
 
     def flush():
         nonlocal text, plain
         t = " ".join(html.unescape("".join(text)).split())
-        out = [(t, plain if t else 0, state[2])] if t else []
+        out = [(t, plain, state[2], state[3])] if t else []
         text, plain = [], 0
         return out
 
     def now():
-        return stack[-1][1:] if stack else (False, False, False)
+        return stack[-1][1:] if stack else (False, False, False, False)
 
     for m in TOKEN.finditer(page):
         if m["text"] is not None:
@@ -123,8 +125,9 @@ def lines(page: str) -> Iterator[tuple[str, int, bool]]:
                 out = up[0] or beside(tag, m["attrs"])
                 if out and not up[0]:
                     yield from flush()
-                    yield "", 0, False
-                stack.append((tag, out, up[1] or tag == "a", up[2] or tag in ("article", "main")))
+                    yield "", 0, False, False
+                stack.append((tag, out, up[1] or tag == "a", up[2] or tag in ("article", "main"),
+                              up[3] or tag in HEADINGS))
             was, state = state, now()
             if was[0] and not state[0]:
                 text = []
@@ -134,17 +137,19 @@ def lines(page: str) -> Iterator[tuple[str, int, bool]]:
 def main_blocks(page: str, window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between the surge and dive points of a page, in page order.
 
-    L is the text length of a line outside links (0 for a line that is beside
-    the article, or, if the page has an article or main element, outside of
-    it). S(i) sums L over ``window`` lines from i on. Text surges at the first
-    line of a window with S of ``surge`` or more and dives at the first window
-    with S = 0 after it; between the two every line with text is kept. A
-    stretch that never reaches ``surge`` is kept only if the page has no other
-    (a short article), or lies in an article element.
+    If the page has an article or main element, L is the text length of a line
+    in it, links as well, and 0 for a line outside of it. Otherwise L is the
+    text length outside links. A line beside the article has 0. S(i) sums L
+    over ``window`` lines from i on. Text surges at the first line of a window
+    with S of ``surge`` or more and dives at the first window with S = 0 after
+    it; between the two every line with text is kept, one of links too. A
+    heading that is a link belongs to the text that begins within a window of
+    it. A stretch that never reaches ``surge`` is kept only if the page has no
+    other (a short article), or lies in an article element.
     """
     rows = list(lines(page))
     marked = any(r[2] and r[0] for r in rows)
-    size = [0 if marked and not inside else n for _, n, inside in rows]
+    size = [(len(t) if inside else 0) if marked else plain for t, plain, inside, _ in rows]
     n = len(rows)
     sums = [sum(size[i:i + window]) for i in range(n + 1)]
     runs: list[tuple[int, int, int]] = []
@@ -156,16 +161,18 @@ def main_blocks(page: str, window: int = WINDOW, surge: int = SURGE) -> list[str
         end = i
         while end < n and sums[end]:
             end += 1
-        runs.append((i, end, max(sums[i:end])))
+        after = runs[-1][1] if runs else 0
+        begin = i if marked else next(
+            (k for k in range(max(after, i - window + 1), i) if rows[k][3] and rows[k][0]), i)
+        runs.append((begin, end, max(sums[i:end])))
         i = end
     if not runs:
         return []
     if not marked:
         high = [r for r in runs if r[2] >= surge]
         runs = high or [max(runs, key=lambda r: (sum(size[r[0]:r[1]]), -r[0]))]
-    # a line of links only inside a run is a menu unless the element is marked as the article
     return [rows[k][0] for a, b, _ in runs for k in range(a, b)
-            if rows[k][0] and (rows[k][2] if marked else size[k] * 2 >= len(rows[k][0]))]
+            if rows[k][0] and (rows[k][2] or not marked)]
 
 
 def extract(page: str | None) -> str:

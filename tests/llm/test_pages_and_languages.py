@@ -35,6 +35,33 @@ def test_same_text_with_and_without_article_tags(tag):
     assert extract(page).count("\n\n") == 2 and extract(page).startswith("T\n\n")
 
 
+LINKS = [f"Reference number {i} in a list" for i in range(6)]
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_linked_blocks_in_an_article_are_text(tag):
+    p = html.unescape(PROSE).strip()
+    refs = "".join(f"<li><a href=r>{x}</a></li>" for x in LINKS)
+    page = f"""<nav><a href=x>menu</a></nav><ul><li><a href=o>outside</a></ul><{tag}><h1><a href=t>Linked title</a></h1>
+    <p>{PROSE}</p><ul>{refs}</ul><p><a href=e>All of it a link</a></p><p>{PROSE}</p><ol>{refs}</ol>
+    <div class="related"><a href=b>beside</a></div><p><a href=z>Last link</a></p></{tag}><ul><li><a href=o>out</a></ul>"""
+    assert extract(page).split("\n\n") == ["Linked title", p, *LINKS, "All of it a link", p, *LINKS, "Last link"]
+
+
+def test_an_article_of_links_only():
+    assert extract("<article><h1><a href=t>Links</a></h1><p><a href=u>One</a></p></article>") == "Links\n\nOne"
+
+
+def test_linked_headline_and_blocks_without_an_article_element():
+    p = html.unescape(PROSE).strip()
+    page = f"""<ul><li><a href=1>Home</a><li><a href=2>More</a><li><a href=3>Still more</a></ul><div><h1><a href=t>Title</a></h1>
+    <div><a href=b>By someone</a></div><p>{PROSE * 2}</p><p>See <a href=l>a link that is most of its block</a></p>
+    <h2><a href=h>Linked section</a></h2><p>{PROSE}</p></div><ul><li><a href=4>About</a><li><a href=5>Terms</a><li>
+    <a href=6>Contact</a></ul>"""
+    assert extract(page).split("\n\n") == [
+        "Title", "By someone", f"{p} {p}", "See a link that is most of its block", "Linked section", p]
+
+
 def test_pages_hold_their_article(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in queries.op5_line_blocks(spark, SF).collect():
