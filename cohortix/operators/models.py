@@ -111,7 +111,7 @@ class ModelSpec:
     params: Mapping
 
 
-def estimator(spec: ModelSpec, label: str, n_train: int | None = None, seed: int = 42):
+def estimator(spec: ModelSpec, label: str, n_train: float | None = None, seed: int = 42):
     p = dict(spec.params)
     if spec.kind == "logistic":
         c = float(p.get("C", 1.0))
@@ -128,6 +128,9 @@ def estimator(spec: ModelSpec, label: str, n_train: int | None = None, seed: int
                                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                       featureSubsetStrategy="sqrt", seed=seed)
     if spec.kind == "boosted":
+        # XGBoost's gamma bounds the gain summed over a node's rows, Spark's minInfoGain the mean
+        # per weight of 4 (y - p): at hessian 1/4 the sum is weight * gain / 8, at the root over n
+        gain = 8.0 * float(p.get("gamma", 0.0)) / max(n_train or 1, 1)
         colsample = float(p.get("colsample_bytree", 1.0))
         return GBTClassifier(featuresCol="features", labelCol=label, weightCol=WEIGHT,
                              maxIter=int(p.get("n_estimators", 20)),
@@ -136,10 +139,20 @@ def estimator(spec: ModelSpec, label: str, n_train: int | None = None, seed: int
                              subsamplingRate=float(p.get("subsample", 1.0)),
                              featureSubsetStrategy="all" if colsample >= 1 else str(colsample),
                              minInstancesPerNode=int(p.get("min_child_weight", 1)),
-                             minInfoGain=float(p.get("gamma", 0.0)), seed=seed)
+                             minInfoGain=gain, seed=seed)
     raise ValueError(spec.kind)
 
 
+def fit_size(train: DataFrame, spec: ModelSpec) -> float | None:
+    """What the penalties of an estimator refer to: rows (logistic) or their weight (boosted)."""
+    if spec.kind == "logistic":
+        return train.count()
+    if spec.kind == "boosted":
+        ensure_checkpoint_dir(train.sparkSession)  # hundreds of rounds: Spark cuts the lineage every ten
+        return train.agg(F.sum(WEIGHT)).first()[0]
+    return None
+
+
 def fit(train: DataFrame, features: Sequence[str], label: str, spec: ModelSpec,
         seed: int = 42) -> PipelineModel:
     """Scaler (fitted on ``train``) + assembler + estimator as one PipelineModel.
@@ -149,7 +162,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str, spec: ModelSpec,
     scaler = fit_scaler(train, features)
     assembler = VectorAssembler(inputCols=scaled_names(features), outputCol="features",
                                 handleInvalid="keep")
-    n = train.count() if spec.kind == "logistic" else None
+    n = fit_size(train, spec)
     est = estimator(spec, label, n, seed)
     return Pipeline(stages=[scaler, assembler, est]).fit(train)
 
@@ -356,7 +369,7 @@ def run_compare(baseline: DataFrame, new: DataFrame, keys: Sequence[str], value:
 def _fit_with_leaky_scaler(df: DataFrame, train: DataFrame, features, label, spec: ModelSpec) -> PipelineModel:
     scaler = fit_scaler(df, features)  # on all rows: what the comparison is about
     assembler = VectorAssembler(inputCols=scaled_names(features), outputCol="features", handleInvalid="keep")
-    n = train.count() if spec.kind == "logistic" else None
+    n = fit_size(train, spec)
     return Pipeline(stages=[scaler, assembler, estimator(spec, label, n)]).fit(train)
 
 
