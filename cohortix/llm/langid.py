@@ -155,10 +155,10 @@ def training_texts(df: DataFrame, learn: Column, lang_col: str = "lang", text_co
                    docs: int = TRAIN_DOCS, seed: int = 42) -> DataFrame:
     """At most about ``docs`` labelled texts of each language, first in a seeded order.
 
-    Bounded by ``docs`` and ``TRAIN_CHARS`` characters a text. The order is a
-    digest of the text itself, so copies are one text; the digest threshold of
-    a language follows from its number of different texts, however many copies
-    they have, and no key is sorted whole.
+    Returns lang, rank (the digest the order comes from) and the whole text.
+    The order is a digest of the text itself, so copies are one text; the
+    digest threshold of a language follows from its number of different texts,
+    however many copies they have, and no key is sorted whole.
     """
     x = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
@@ -167,7 +167,22 @@ def training_texts(df: DataFrame, learn: Column, lang_col: str = "lang", text_co
     # one row per language, as the model has one automaton per language
     per = F.broadcast(x.select("lang", "_h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
     few = x.join(per, "lang").where(F.col("_h") * F.col("_n") < docs)
-    return few.select("lang", F.substring("text", 1, TRAIN_CHARS).alias("text")).distinct()
+    return few.select("lang", F.col("_h").alias("rank"), "text").distinct()
+
+
+def shares(texts: list[str], chars: int = TRAIN_CHARS) -> list[str]:
+    """The first part of each normalised text: an equal share of ``chars`` (with a space after each).
+
+    What a short text leaves over goes to the longer ones, so a language has
+    all of ``chars`` if its texts have.
+    """
+    out, left = {}, chars + 1
+    order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+    for n, i in enumerate(order):
+        part = texts[i][:max(0, left // (len(texts) - n) - 1)]
+        out[i] = part
+        left -= len(part) + 1
+    return [out[i] for i in range(len(texts))]
 
 
 def predict_languages(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -175,7 +190,7 @@ def predict_languages(df: DataFrame, learn: Column, id_col: str = "doc_id", text
     """doc_id, lang_pred, score of every whole text; learns from the rows with ``learn`` only.
 
     The automata are built from a bounded sample of labelled rows
-    (:func:`training_texts`, ``TRAIN_CHARS``); every text is parsed whole.
+    (:func:`training_texts`, :func:`shares`); every text is parsed whole.
     Null text, or one without a letter: ``und`` with score 0, as without any
     labelled row. Ties go to the first language by code point. Null or
     repeated ids and further columns change nothing.
@@ -184,13 +199,14 @@ def predict_languages(df: DataFrame, learn: Column, id_col: str = "doc_id", text
     ``TRAIN_CHARS`` characters); each worker builds its automata once, and
     the texts are parsed in one pass without a shuffle.
     """
-    rows = sorted((r["lang"], r["text"]) for r in training_texts(df, learn, lang_col, text_col).collect())
-    kept: dict[str, list[str]] = {}
-    for lang, text in rows:
-        held = kept.setdefault(lang, [])
-        if sum(map(len, held)) < TRAIN_CHARS:
-            held.append(text)
-    training = [(lang, t) for lang, ts in kept.items() for t in ts]
+    # runs of other characters than letters are one space before the bound
+    letters = F.trim(F.regexp_replace("text", "[^\\p{L}]+", " "))
+    picked = training_texts(df, learn, lang_col, text_col).select(
+        "lang", "rank", F.substring(letters, 1, TRAIN_CHARS).alias("text")).collect()
+    held: dict[str, list[str]] = {}
+    for r in sorted(picked, key=lambda r: (r["rank"], r["text"])):
+        held.setdefault(r["lang"], []).append(normal(r["text"]).strip())
+    training = [(lang, t) for lang, ts in held.items() for t in shares(ts)]
     shared = df.sparkSession.sparkContext.broadcast(training)
 
     def run(batches):

@@ -123,6 +123,24 @@ def test_copies_do_not_thin_the_training_sample(spark):
     assert 150 <= len(got) == len(set(got)) <= 250
 
 
+def test_every_picked_text_has_a_share(spark, monkeypatch):
+    # a long text of digits, one of one letter and 20 others: all are in the training text of their language
+    texts = ["0" * 100_000 + " hidden", "a" * 100_000] + [f"z{c * 3000}" for c in "bcdefghijklmnopqrstu"]
+    df = spark.createDataFrame([(i, "xx", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    made = []
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: made.extend(x))
+    langid.predict_languages(df, F.lit(True))
+    got = [t for _, t in made]
+    assert len(got) == 22 and "hidden" in got
+    assert all(len(t) > 1500 for t in got if t != "hidden")
+    assert 39_900 <= len(" ".join(got)) <= langid.TRAIN_CHARS
+
+
+def test_shares_use_the_whole_budget():
+    assert langid.shares(["aaaa", "b", "cccccc"], 9) == ["aaa", "b", "ccc"]
+    assert langid.shares(["aa", "b"], 9) == ["aa", "b"] and langid.shares([]) == []
+
+
 def test_shards_keep_their_law(docs):
     n = docs.count()
     x = sharding.interleave(docs, 7)
