@@ -242,7 +242,9 @@ def exact_links(batches, threshold: float):
 
 def needed_runs(threshold: float, recall: float) -> int:
     """Runs until a pair at the threshold is together in a last-level bucket of one with this probability."""
-    shared = 2 / (1 + threshold)  # tokens that both sets sample at a node, on average
+    # tokens that both sets sample at a node, on average: 2 / (1 + threshold) for sets of equal size,
+    # and 1, the least, if one holds the other
+    shared = 1.0
     meet = 1.0
     for _ in range(DEPTH):
         meet = 1 - math.exp(-shared * meet)

@@ -158,3 +158,21 @@ def test_words_are_those_of_the_pattern():
     assert flat == [x for ws in want for x in ws]
     again = ss.Words(["one zz one", "zz"])
     assert again.hash[0] == again.hash[2] == w.hash[-1] and again.hash[1] == again.hash[3] != again.hash[0]
+
+
+def test_recall_of_contained_pairs_in_third_level_buckets():
+    # a copy cut at its end: 80 of 100 tokens, similarity 0.8, the worst case at the threshold
+    rng = np.random.default_rng(11)
+    runs = jj.needed_runs(jj.THRESHOLD, jj.RECALL)
+    sh = jj.Shingler(jj.SHINGLE, jj.THRESHOLD, runs, 42)
+
+    def leaves(s):
+        return {(x["a"], x["b"], x["c"]) for x in sh.chains(s) if x["c"] is not None}
+
+    pairs = 4000
+    missed = 0
+    for _ in range(pairs):
+        whole = rng.integers(0, 2 ** 63, 100).astype(np.uint64)
+        missed += leaves(np.sort(whole)).isdisjoint(leaves(np.sort(whole[:80])))
+    assert runs == 15
+    assert missed <= 2 * (1 - jj.RECALL) * pairs
