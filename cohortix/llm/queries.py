@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, jaccard_join, langid, mixing, quality, sharding, spotsigs, substring, token_counts
+from . import (bpe, html_extract, jaccard_join, langid, mixing, piece_bpe, quality, sharding, spotsigs, substring,
+               token_align, token_counts, vector_codes)
 from .common import table
 
 N_SHARDS = 24
@@ -17,6 +18,10 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def pieces() -> str:
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -72,6 +77,19 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
         spotsigs.likeness("sigs", "next_sigs").alias("near_next"))
 
 
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_documents(table(spark, sf_dir, "documents"), vocabulary(), pieces())
+
+
+def op12_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(table(spark, sf_dir, "documents"), pieces())
+
+
+def op13_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chosen_path_join, op2_bpe_round_trip, op3_stratified_sharding, op4_quality_rules, op5_line_blocks,
-    op6_sainte_lague_mix, op7_fm_index_dedup, op8_token_counts, op9_cross_parsing, op10_spotsigs)}
+    op6_sainte_lague_mix, op7_fm_index_dedup, op8_token_counts, op9_cross_parsing, op10_spotsigs,
+    op11_pair_bitmaps, op12_merge_rounds, op13_gnat_codes)}

@@ -176,6 +176,49 @@ SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, array_to_string(s,
 FROM j
 """
 
+
+def _codes(books: str) -> str:
+    """Nearest entry of each part in a codebook table (ties: the lower entry)."""
+    return f"""(
+  SELECT rid, part, any_value(s) AS s, min(d) AS d, arg_min(entry, (d, entry)) AS entry FROM (
+    SELECT x.rid, x.part, x.s, b.entry,
+      list_sum(list_transform(list_zip(x.s, b.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM x JOIN {books} b ON x.part = b.part) GROUP BY rid, part)"""
+
+
+def _moved(codes: str, books: str) -> str:
+    """The codebooks after a round: floor(sum / count) of each entry's parts, unused entries as they were."""
+    return f"""(
+  SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM {books} b LEFT JOIN (
+    SELECT part, entry, list(v ORDER BY i) AS e FROM (
+      SELECT part, entry, i, floor(sum(s[i]) / count(*))::BIGINT AS v
+      FROM (SELECT part, entry, s, unnest(range(1, len(s) + 1)) AS i FROM {codes}) GROUP BY part, entry, i)
+    GROUP BY part, entry) m ON b.part = m.part AND b.entry = m.entry)"""
+
+
+OP13 = f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+x AS MATERIALIZED (
+  SELECT rid, part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] AS s
+  FROM v, (SELECT unnest(range(16)) AS part)),
+b0 AS (SELECT part, rid - 1 AS entry, s AS e FROM x WHERE rid <= 64),
+c0 AS MATERIALIZED {_codes("b0")},
+b1 AS MATERIALIZED {_moved("c0", "b0")},
+c1 AS MATERIALIZED {_codes("b1")},
+b2 AS MATERIALIZED {_moved("c1", "b1")},
+c2 AS MATERIALIZED {_codes("b2")},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM c2 GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+FROM coded JOIN v USING (rid)
+"""
+
 SQL = {
     "op1_chosen_path_join": OP1,
     "op3_stratified_sharding": OP3,
@@ -183,4 +226,5 @@ SQL = {
     "op6_sainte_lague_mix": OP6,
     "op7_fm_index_dedup": OP7,
     "op10_spotsigs": OP10,
+    "op13_gnat_codes": OP13,
 }

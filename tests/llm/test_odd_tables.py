@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortix.llm import (bpe, html_extract, jaccard_join, langid, mixing, quality, sharding, spotsigs, substring,
-                          token_counts)
-from cohortix.llm.queries import vocabulary
+from cohortix.llm import (bpe, html_extract, jaccard_join, langid, mixing, piece_bpe, quality, sharding, spotsigs,
+                          substring, token_align, token_counts)
+from cohortix.llm.queries import pieces, vocabulary
 
 
 @pytest.fixture(scope="session")
@@ -30,6 +30,9 @@ OPS = {
     "counts": lambda df, labels: token_counts.count_tokens(df, vocabulary()),
     "langid": lambda df, labels: langid.predict_languages(df, learn()),
     "spotsigs": lambda df, labels: spotsigs.fingerprints(df),
+    "align": lambda df, labels: token_align.align_documents(df, vocabulary(), pieces()),
+    "pieces": lambda df, labels: piece_bpe.digests(df, pieces()),
+    "encode pieces": lambda df, labels: piece_bpe.encode_documents(df, pieces()),
 }
 
 
