@@ -1,36 +1,39 @@
-"""Model fitting, tuning and comparison with ``pyspark.ml``.
+"""Model fitting, tuning and comparison.
 
 Design:
-* scaling is fitted on the training rows only (one aggregate) and frozen
-  into a ``SQLTransformer`` with the means / population stds as literals, so
-  the fitted scaler is an ordinary, persistable pipeline stage that runs
-  JVM-side (``ml.feature.StandardScaler`` divides by the *sample* std);
-* class weights are a column (``weightCol``), never row duplication;
+* logistic regression is ``pyspark.ml``'s; its scaling is fitted on the training
+  rows only (one aggregate) and frozen into a ``SQLTransformer`` with the means
+  / population stds as literals, so the fitted scaler is an ordinary,
+  persistable pipeline stage that runs JVM-side (``ml.feature.StandardScaler``
+  divides by the *sample* std). Its class weights are a column (``weightCol``);
+* boosted models and forests are those of ``operators.trees``: all fits of a
+  fold loop, a comparison or a search are one job, on at most about
+  ``fit_rows`` labelled rows (``trees.FIT_ROWS``), and all rows are scored.
+  Trees do not change if a feature is scaled, so they take features as they
+  are; class weights follow from the fitted rows;
 * every evaluation scores all folds / models first and computes the metrics
-  in one job keyed by ``fold`` / ``model`` (see ``operators.metrics``);
-* the training frame is persisted once per fold loop and released after.
+  in one job keyed by ``fold`` / ``model`` (see ``operators.metrics``).
 """
 
 from __future__ import annotations
 
 import json
 import random
+import statistics
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortix.operators import metrics as M
+from cohortix.operators import trees as T
+from cohortix.operators.trees import FIT_ROWS, Fit, TreeModel
 from cohortix.session import ensure_checkpoint_dir
 
 SCORE = "score"
@@ -111,64 +114,45 @@ class ModelSpec:
     params: Mapping
 
 
-def estimator(spec: ModelSpec, label: str, n_train: float | None = None, seed: int = 42):
+def estimator(spec: ModelSpec, label: str, n_train: float | None = None) -> LogisticRegression:
     p = dict(spec.params)
-    if spec.kind == "logistic":
-        c = float(p.get("C", 1.0))
-        # sklearn minimises sum_i w_i loss_i + ||b||^2 / (2C); Spark the weighted
-        # mean loss + regParam ||b||^2 / 2: regParam = 1 / (C * sum w), sum w = n
-        reg = 1.0 / (c * max(n_train or 1, 1))
-        return LogisticRegression(featuresCol="features", labelCol=label, weightCol=WEIGHT,
-                                  maxIter=int(p.get("max_iter", 100)), regParam=reg,
-                                  elasticNetParam=0.0, standardization=False)
-    if spec.kind == "forest":
-        return RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=WEIGHT,
-                                      numTrees=int(p.get("num_trees", 100)),
-                                      maxDepth=int(p.get("max_depth", 5)),
-                                      minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-                                      featureSubsetStrategy="sqrt", seed=seed)
-    if spec.kind == "boosted":
-        # XGBoost's gamma bounds the gain summed over a node's rows, Spark's minInfoGain the mean
-        # per weight of 4 (y - p): at hessian 1/4 the sum is weight * gain / 8, at the root over n
-        gain = 8.0 * float(p.get("gamma", 0.0)) / max(n_train or 1, 1)
-        colsample = float(p.get("colsample_bytree", 1.0))
-        return GBTClassifier(featuresCol="features", labelCol=label, weightCol=WEIGHT,
-                             maxIter=int(p.get("n_estimators", 20)),
-                             maxDepth=int(p.get("max_depth", 5)),
-                             stepSize=float(p.get("learning_rate", 0.1)),
-                             subsamplingRate=float(p.get("subsample", 1.0)),
-                             featureSubsetStrategy="all" if colsample >= 1 else str(colsample),
-                             minInstancesPerNode=int(p.get("min_child_weight", 1)),
-                             minInfoGain=gain, seed=seed)
-    raise ValueError(spec.kind)
-
-
-def fit_size(train: DataFrame, spec: ModelSpec) -> float | None:
-    """What the penalties of an estimator refer to: rows (logistic) or their weight (boosted)."""
-    if spec.kind == "logistic":
-        return train.count()
-    if spec.kind == "boosted":
-        ensure_checkpoint_dir(train.sparkSession)  # hundreds of rounds: Spark cuts the lineage every ten
-        return train.agg(F.sum(WEIGHT)).first()[0]
-    return None
+    c = float(p.get("C", 1.0))
+    # sklearn minimises sum_i w_i loss_i + ||b||^2 / (2C); Spark the weighted
+    # mean loss + regParam ||b||^2 / 2: regParam = 1 / (C * sum w), sum w = n
+    reg = 1.0 / (c * max(n_train or 1, 1))
+    return LogisticRegression(featuresCol="features", labelCol=label, weightCol=WEIGHT,
+                              maxIter=int(p.get("max_iter", 100)), regParam=reg,
+                              elasticNetParam=0.0, standardization=False)
 
 
-def fit(train: DataFrame, features: Sequence[str], label: str, spec: ModelSpec,
-        seed: int = 42) -> PipelineModel:
-    """Scaler (fitted on ``train``) + assembler + estimator as one PipelineModel.
+def is_trees(spec: ModelSpec) -> bool:
+    if spec.kind not in ("logistic", "forest", "boosted"):
+        raise ValueError(spec.kind)
+    return spec.kind != "logistic"
 
-    ``train`` must carry the ``weight`` column.
-    """
-    scaler = fit_scaler(train, features)
-    assembler = VectorAssembler(inputCols=scaled_names(features), outputCol="features",
-                                handleInvalid="keep")
-    n = fit_size(train, spec)
-    est = estimator(spec, label, n, seed)
-    return Pipeline(stages=[scaler, assembler, est]).fit(train)
+
+def fit(train: DataFrame, features: Sequence[str], label: str, spec: ModelSpec,
+        seed: int = 42, fit_rows: int | None = FIT_ROWS) -> PipelineModel | TreeModel:
+    """Logistic: scaler (fitted on ``train``) + assembler + estimator as one PipelineModel;
+    ``train`` must carry the ``weight`` column. Forest and boosted: a TreeModel, fitted on
+    at most about ``fit_rows`` labelled rows, or, if that is None, on all rows where they are."""
+    if is_trees(spec):
+        one = Fit(spec.kind, spec.params, seed=seed)
+        if fit_rows is None:
+            return T.fit_distributed(train, features, label, one)
+        return T.fit_many(train, features, label, [one], fit_rows=fit_rows, seed=seed)[0]
+    return _fit_scaled(train, features, label, spec, fit_scaler(train, features))
+
+
+def _fit_scaled(train: DataFrame, features, label, spec: ModelSpec, scaler: SQLTransformer) -> PipelineModel:
+    assembler = VectorAssembler(inputCols=scaled_names(features), outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[scaler, assembler, estimator(spec, label, train.count())]).fit(train)
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Adds ``score`` = P(y = 1)."""
+def score(model: PipelineModel | TreeModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns ``keep`` and ``score`` = P(y = 1)."""
+    if isinstance(model, TreeModel):
+        return T.score(model, df, keep)
     out = model.transform(df)
     return out.select(*keep, vector_to_array("probability")[1].alias(SCORE))
 
@@ -177,73 +161,98 @@ def fit_logistic(train: DataFrame, features, label, params=None) -> PipelineMode
     return fit(train, features, label, ModelSpec("LR", "logistic", params or {"max_iter": 1000, "C": 1.0}))
 
 
-def fit_forest(train: DataFrame, features, label, params=None) -> PipelineModel:
+def fit_forest(train: DataFrame, features, label, params=None) -> TreeModel:
     return fit(train, features, label, ModelSpec("RF", "forest", params or {}))
 
 
-def fit_boosted(train: DataFrame, features, label, params=None) -> PipelineModel:
+def fit_boosted(train: DataFrame, features, label, params=None) -> TreeModel:
     return fit(train, features, label, ModelSpec("GBT", "boosted", params or {}))
 
 
 # --- evaluation -------------------------------------------------------------------------------------
 
 
+def fit_all(train: DataFrame, features, label, specs: Sequence[ModelSpec], parallelism: int = 3,
+            fit_rows: int = FIT_ROWS, seed: int = 42) -> dict[str, PipelineModel | TreeModel]:
+    """A model for each spec: the tree models in one job, beside the logistic ones."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    tree_specs = [s for s in specs if is_trees(s)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        made = pool.submit(T.fit_many, train, features, label, [Fit(s.kind, s.params, seed=seed) for s in tree_specs],
+                           fit_rows=fit_rows, seed=seed) if tree_specs else None
+        others = [(s.name, pool.submit(fit, with_balanced_weight(train, label), features, label, s))
+                  for s in specs if not is_trees(s)]
+        out = {name: f.result() for name, f in others}
+        if made:
+            out |= {s.name: m for s, m in zip(tree_specs, made.result())}
+    return {s.name: out[s.name] for s in specs}
+
+
+def score_all(models: Mapping[str, PipelineModel | TreeModel], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep``, ``score`` and ``model`` of every row and model."""
+    parts = [score(m, df, keep).withColumn("model", F.lit(name)) for name, m in models.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def train_and_score(df: DataFrame, features, label, split_col: str, specs: Sequence[ModelSpec],
-                    id_cols: Sequence[str], weight: str = "balanced", parallelism: int = 3) -> DataFrame:
+                    id_cols: Sequence[str], parallelism: int = 3, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Fit each spec on ``split == 'train'`` and score ``split == 'test'``.
 
-    Models are fitted as concurrent Spark jobs (up to ``parallelism``) over
-    one persisted training frame. Returns ``(model, id..., label, score)``
-    for all models (one frame).
+    Returns ``(id..., label, score, model)`` for all models (one frame).
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     train = training_frame(df.where(F.col(split_col) == "train"))
-    test = df.where(F.col(split_col) == "test")
-
-    def one(spec: ModelSpec) -> DataFrame:
-        w = with_balanced_weight if weight == "balanced" or spec.kind != "boosted" else with_pos_weight
-        model = fit(w(train, label), features, label, spec)
-        return score(model, test, [*id_cols, label]).withColumn("model", F.lit(spec.name))
-
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            parts = list(pool.map(one, specs))
+        made = fit_all(train, features, label, specs, parallelism, fit_rows)
     finally:
         train.unpersist()
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return score_all(made, df.where(F.col(split_col) == "test"), [*id_cols, label])
+
+
+def _folds(df: DataFrame, fold_col: str) -> list:
+    return sorted(r[0] for r in df.select(fold_col).distinct().collect())
 
 
 def cv_metrics(df: DataFrame, features, label, fold_col: str, spec: ModelSpec,
-               threshold: float = 0.5, prepared: bool = False, parallelism: int = 5) -> DataFrame:
-    """Per-fold metrics; the scaler (and weights) are refitted on each fold's
-    training part. Folds are fitted as concurrent Spark jobs (up to
-    ``parallelism``); their scores are unioned and evaluated in one job."""
-    from concurrent.futures import ThreadPoolExecutor
+               threshold: float = 0.5, parallelism: int = 5, fit_rows: int = FIT_ROWS, seed: int = 42) -> DataFrame:
+    """Per-fold metrics over all rows, each scored by the model fitted without its fold.
+
+    Tree models of all folds are one job and one scoring pass. Logistic
+    models are concurrent jobs, scaler and weights refitted on each fold's
+    training part.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    base = training_frame(df)
+    folds = _folds(base, fold_col)
+    try:
+        if is_trees(spec):
+            made = T.fit_many(base, features, label, [Fit(spec.kind, spec.params, f, seed) for f in folds], fold_col,
+                              fit_rows, seed)
+            scored = T.score(dict(zip(folds, made)), base, [label, fold_col], by=fold_col)
+        else:
+            scored = _logistic_folds(base, features, label, fold_col, folds, spec, parallelism)
+        scored = scored.checkpoint(eager=True)  # cut the per-fold lineage before the metric job
+    finally:
+        base.unpersist()
+    return M.evaluate(scored, label, SCORE, threshold, by=[fold_col])
+
 
-    base = df if prepared else training_frame(df)
-    folds = sorted(r[0] for r in base.select(fold_col).distinct().collect())
-    weigh = with_pos_weight if spec.kind == "boosted" else with_balanced_weight
+def _logistic_folds(base, features, label, fold_col, folds, spec, parallelism) -> DataFrame:
+    from concurrent.futures import ThreadPoolExecutor
 
     def fit_fold(f):
-        tr = base.where(F.col(fold_col) != f)
-        va = base.where(F.col(fold_col) == f)
-        model = fit(weigh(tr, label), features, label, spec)
-        return score(model, va, [label]).withColumn(fold_col, F.lit(f))
+        model = fit(with_balanced_weight(base.where(F.col(fold_col) != f), label), features, label, spec)
+        return score(model, base.where(F.col(fold_col) == f), [label]).withColumn(fold_col, F.lit(f))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         parts = list(pool.map(fit_fold, folds))
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    ensure_checkpoint_dir(df.sparkSession)
-    scored = scored.checkpoint(eager=True)  # cut the per-fold lineage before the metric job
-    if not prepared:
-        base.unpersist()
-    return M.evaluate(scored, label, SCORE, threshold, by=[fold_col])
+    return scored
 
 
 def draw_params(grid: Mapping[str, Sequence], n_iter: int, seed: int = 42) -> list[dict]:
@@ -267,96 +276,87 @@ def draw_params(grid: Mapping[str, Sequence], n_iter: int, seed: int = 42) -> li
 
 def random_search(df: DataFrame, features, label, fold_col: str, kind: str,
                   grid: Mapping[str, Sequence], n_iter: int, seed: int = 42,
-                  parallelism: int = 4) -> DataFrame:
+                  parallelism: int = 4, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Random search scored by mean fold ROC-AUC: ``(candidate, params, mean_auc,
-    std_auc, rank)``. Each candidate is a ``cv_metrics`` run over one shared,
-    persisted training frame; up to ``parallelism`` candidates run at once
-    (concurrent Spark jobs from driver threads)."""
-    from concurrent.futures import ThreadPoolExecutor
+    std_auc, rank)``.
 
+    Tree models: every (candidate, fold) is a task of one job, which fits on
+    the other folds and scores the held-out fold's rows among the at most
+    about ``fit_rows`` labelled rows of the search. Logistic: each candidate
+    is a :func:`cv_metrics` run, up to ``parallelism`` at once.
+    """
     spark = df.sparkSession
+    draws = draw_params(grid, n_iter, seed)
     base = training_frame(df)
-
-    def run(item):
-        i, p = item
-        m = cv_metrics(base, features, label, fold_col, ModelSpec(f"c{i}", kind, p), prepared=True,
-                       parallelism=1)
-        s = m.agg(F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")).first()
-        return (i, json.dumps(p, sort_keys=True), float(s["mean"] or 0.0), float(s["std"] or 0.0))
-
-    used, _ = usable_grid(grid, kind)
-    draws = list(enumerate(draw_params(used, n_iter, seed)))
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(run, draws))
+        if kind != "logistic":
+            folds = _folds(base, fold_col)
+            got = T.fit_many(base, features, label, [Fit(kind, p, f, seed) for p in draws for f in folds], fold_col,
+                             fit_rows, seed, models=False)
+            aucs = [[a for a, _ in got[i * len(folds):(i + 1) * len(folds)] if a is not None]
+                    for i in range(len(draws))]
+        else:
+            from concurrent.futures import ThreadPoolExecutor
+
+            def run(p):
+                m = cv_metrics(base, features, label, fold_col, ModelSpec("c", kind, p), parallelism=1)
+                return [r["roc_auc"] for r in m.select("roc_auc").collect() if r["roc_auc"] is not None]
+
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                aucs = list(pool.map(run, draws))
     finally:
         base.unpersist()
+    rows = [(i, json.dumps(p, sort_keys=True), statistics.fmean(a) if a else 0.0, statistics.pstdev(a) if a else 0.0)
+            for i, (p, a) in enumerate(zip(draws, aucs))]
     res = spark.createDataFrame(rows, "candidate int, params string, mean_auc double, std_auc double")
-    from pyspark.sql import Window
-
     w = Window.orderBy(F.desc("mean_auc"), "candidate")  # table of n_iter rows
     return res.withColumn("rank", F.row_number().over(w))
 
 
-#: Parameters of a grid that the estimators here have no counterpart for.
-WITHOUT_COUNTERPART = {"boosted": ("reg_alpha", "reg_lambda"), "forest": ("min_samples_split",)}
-
-
-def usable_grid(grid: Mapping[str, Sequence], kind: str) -> tuple[dict, list[str]]:
-    """(the grid without parameters that would change nothing, those parameters)."""
-    out = [k for k in grid if k in WITHOUT_COUNTERPART.get(kind, ())]
-    return {k: v for k, v in grid.items() if k not in out}, out
-
-
 def best_params(leaderboard: DataFrame) -> dict:
     """Parameters of the first candidate of :func:`random_search`, as values."""
     return json.loads(leaderboard.where("rank = 1").first()["params"])
 
 
+def save(model: PipelineModel | TreeModel, spark, path: str) -> None:
+    if isinstance(model, TreeModel):
+        T.save(model, spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
 def tune(df: DataFrame, features, label, split_col: str, fold_col: str, kind: str,
          grid: Mapping[str, Sequence], n_iter: int, threshold: float, baseline: ModelSpec,
-         path: str | None = None, seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """Search on the train folds, refit the best on all train rows, evaluate once on test.
+         path: str | None = None, seed: int = 42, parallelism: int = 4, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """Search on the train folds, refit the best on the train rows, evaluate once on test.
 
-    Returns one row: best params (JSON), the grid's parameters without
-    counterpart, mean and std of the folds' ROC-AUC and average precision with
-    the tuned model, the test metrics at ``threshold``, the baseline's test
-    ROC-AUC and the gain. The tuned pipeline is saved to ``path``.
+    Returns one row: best params (JSON), mean and std of the folds' ROC-AUC
+    and average precision with the tuned model, the test metrics at
+    ``threshold``, the baseline's test ROC-AUC and the gain. The tuned model
+    is saved to ``path``.
     """
-    weigh = with_pos_weight if kind == "boosted" else with_balanced_weight
     train, test = df.where(F.col(split_col) == "train"), df.where(F.col(split_col) == "test")
-    board = random_search(train, features, label, fold_col, kind, grid, n_iter, seed, parallelism)
+    board = random_search(train, features, label, fold_col, kind, grid, n_iter, seed, parallelism, fit_rows)
     spec = ModelSpec("tuned", kind, best_params(board))
-    folds = cv_metrics(train, features, label, fold_col, spec, threshold)
+    folds = cv_metrics(train, features, label, fold_col, spec, threshold, fit_rows=fit_rows, seed=seed)
     cv = folds.agg(F.avg("roc_auc").alias("cv_roc_auc"), F.stddev_pop("roc_auc").alias("cv_roc_auc_std"),
                    F.avg("average_precision").alias("cv_pr_auc"),
                    F.stddev_pop("average_precision").alias("cv_pr_auc_std"))
-    model = fit(weigh(train, label), features, label, spec, seed)
+    made = fit_all(train, features, label, [spec, ModelSpec("baseline", baseline.kind, baseline.params)],
+                   fit_rows=fit_rows, seed=seed)
     if path:
-        model.write().overwrite().save(path)
-    base_weigh = with_pos_weight if baseline.kind == "boosted" else with_balanced_weight
-    base = fit(base_weigh(train, label), features, label, baseline, seed)
-    scored = score(model, test, [label]).withColumn("model", F.lit("tuned")).unionByName(
-        score(base, test, [label]).withColumn("model", F.lit("baseline")))
-    m = M.evaluate(scored, label, SCORE, threshold, by=["model"])
+        save(made["tuned"], df.sparkSession, path)
+    m = M.evaluate(score_all(made, test, [label]), label, SCORE, threshold, by=["model"])
     b = m.where("model = 'baseline'").select(F.col("roc_auc").alias("baseline_roc_auc"))
     # three tables of one row each
     out = m.where("model = 'tuned'").crossJoin(F.broadcast(b)).crossJoin(F.broadcast(cv))
     return out.withColumn("gain", F.col("roc_auc") - F.col("baseline_roc_auc")).withColumn(
-        "params", F.lit(json.dumps(spec.params, sort_keys=True))).withColumn(
-        "ignored", F.lit(",".join(usable_grid(grid, kind)[1])))
-
-
-def feature_importance(model: PipelineModel, features: Sequence[str], top: int | None = None) -> DataFrame:
-    """Gain importances of the tree stage, sorted, optionally top ``top``."""
-    from pyspark.sql import SparkSession
+        "params", F.lit(json.dumps(spec.params, sort_keys=True)))
 
-    imp = model.stages[-1].featureImportances.toArray().tolist()
 
-    spark = SparkSession.getActiveSession()
-    df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
-    df = df.orderBy(F.desc("importance"), "feature")
-    return df.limit(top) if top else df
+def feature_importance(model: TreeModel, spark, top: int | None = None) -> DataFrame:
+    """Gain importances of a tree model, sorted, optionally top ``top``."""
+    return T.importance(model, spark, top)
 
 
 def run_compare(baseline: DataFrame, new: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -366,26 +366,23 @@ def run_compare(baseline: DataFrame, new: DataFrame, keys: Sequence[str], value:
     return b.join(n, list(keys), "inner").withColumn("gain", F.col("new") - F.col("baseline"))
 
 
-def _fit_with_leaky_scaler(df: DataFrame, train: DataFrame, features, label, spec: ModelSpec) -> PipelineModel:
-    scaler = fit_scaler(df, features)  # on all rows: what the comparison is about
-    assembler = VectorAssembler(inputCols=scaled_names(features), outputCol="features", handleInvalid="keep")
-    n = fit_size(train, spec)
-    return Pipeline(stages=[scaler, assembler, estimator(spec, label, n)]).fit(train)
-
-
 def scaling_leakage(df: DataFrame, features, label, split_col: str, spec: ModelSpec,
-                    tolerance: float = 0.005) -> DataFrame:
+                    tolerance: float = 0.005, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Test AUC with the scaler fitted on train only vs on all rows."""
-    train = training_frame(with_balanced_weight(df.where(F.col(split_col) == "train"), label))
-    test = df.where(F.col(split_col) == "test")
-    try:
-        correct = fit(train, features, label, spec)
-        leaky = _fit_with_leaky_scaler(df, train, features, label, spec)
-    finally:
-        train.unpersist()
-    s = score(correct, test, [label]).withColumn("variant", F.lit("correct")).unionByName(
-        score(leaky, test, [label]).withColumn("variant", F.lit("leaky")))
-    auc = M.roc_auc(s, label, SCORE, by=["variant"])
+    train, test = df.where(F.col(split_col) == "train"), df.where(F.col(split_col) == "test")
+    scored = None
+    for variant, src in (("correct", train), ("leaky", df)):  # all rows: what the comparison is about
+        scaler = fit_scaler(src, features)
+        if is_trees(spec):
+            z = scaled_names(features)
+            model = fit(scaler.transform(train), z, label, spec, fit_rows=fit_rows)
+            part = score(model, scaler.transform(test), [label])
+        else:
+            model = _fit_scaled(with_balanced_weight(train, label), features, label, spec, scaler)
+            part = score(model, test, [label])
+        part = part.withColumn("variant", F.lit(variant))
+        scored = part if scored is None else scored.unionByName(part)
+    auc = M.roc_auc(scored, label, SCORE, by=["variant"])
     piv = auc.groupBy().pivot("variant", ["correct", "leaky"]).agg(F.first("roc_auc"))
     return piv.select(
         F.col("correct").alias("auc_correct"), F.col("leaky").alias("auc_leaky"),
@@ -393,7 +390,7 @@ def scaling_leakage(df: DataFrame, features, label, split_col: str, spec: ModelS
     ).withColumn("verdict", F.when(F.abs("diff") < tolerance, "OK").otherwise("WARNING"))
 
 
-def external_score(model: PipelineModel, external: DataFrame, features, label: str,
+def external_score(model: PipelineModel | TreeModel, external: DataFrame, features, label: str,
                    threshold: float) -> DataFrame:
     """Score another cohort with a fitted pipeline; refuse if features are missing."""
     from cohortix.sources.scan import require_columns

@@ -5,8 +5,10 @@ Inputs: lineitem numerics as features, label ``l_returnflag = 'R'``, groups
 rows-only checks; their metric code is the SQL-checked one in ``q_metrics``.
 
 The models and the search have the settings of the ICU configuration
-(``config.icu``: 300 trees, 400 boosting rounds, 50 draws x 3 folds) and fit
-all labelled rows of the train split; README has measured times.
+(``config.icu``: 300 trees, 400 boosting rounds, 50 draws x 3 folds). Tree
+models fit on the labelled rows of the train split, or on about
+``trees.FIT_ROWS`` of them where there are more; all test rows are scored.
+README has measured times.
 """
 
 from __future__ import annotations
@@ -88,12 +90,11 @@ def q_tune_boosted(spark, sf):
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    df = model_frame(spark, sf)
-    train = mdl.with_balanced_weight(df.where(F.col("split") == "train"), LABEL)
-    rf = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["RF"])
-    gbt = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["GBT"])
-    return (mdl.feature_importance(rf, LI_NUM, top=15).withColumn("model", F.lit("RF"))
-            .unionByName(mdl.feature_importance(gbt, LI_NUM, top=20).withColumn("model", F.lit("GBT"))))
+    train = model_frame(spark, sf).where(F.col("split") == "train")
+    made = mdl.fit_all(train, LI_NUM, LABEL, [QUERY_SPECS["RF"], QUERY_SPECS["GBT"]])
+    rf, gbt = (mdl.feature_importance(made[m], spark, top).withColumn("model", F.lit(m))
+               for m, top in zip(("RF", "GBT"), icu.TOP_IMPORTANCE))
+    return rf.unionByName(gbt)
 
 
 @query("scaling_leakage")
@@ -126,28 +127,22 @@ def q_external_score(spark, sf):
     """Model fitted on lineitem train rows, applied to every lineitem row of
     the other split as the external cohort."""
     df = model_frame(spark, sf)
-    train = mdl.with_balanced_weight(df.where(F.col("split") == "train"), LABEL)
-    model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["GBT"])
+    model = mdl.fit(df.where(F.col("split") == "train"), LI_NUM, LABEL, QUERY_SPECS["GBT"])
     return mdl.external_score(model, df.where(F.col("split") == "test"), LI_NUM, LABEL, 0.3)
 
 
 def _shap_frame(spark, sf):
-    """GBT fitted on the train split; 500 hash-sampled test rows, scaled by
-    the pipeline's own scaler stage; long-form TreeSHAP values."""
+    """GBT fitted on the train split; 500 hash-sampled test rows; long-form TreeSHAP values."""
     from cohortix.operators import shap
     from cohortix.operators.ranking import sample_first_n
 
     df = model_frame(spark, sf)
-    train = mdl.with_pos_weight(df.where(F.col("split") == "train"), LABEL)
-    model = mdl.fit(train, LI_NUM, LABEL, QUERY_SPECS["GBT"])
+    model = mdl.fit(df.where(F.col("split") == "train"), LI_NUM, LABEL, QUERY_SPECS["GBT"])
     keys = ["l_orderkey", "l_linenumber", *LI_NUM]
-    rows = sample_first_n(df.where(F.col("split") == "test"), keys, 500)
+    rows = sample_first_n(df.where(F.col("split") == "test"), keys, icu.SHAP_ROWS)
     # order and line do not name a row: number the 500 sampled ones, and explain them in several tasks
     rows = rows.withColumn("row_id", F.row_number().over(Window.orderBy(*keys))).repartition(8, "row_id")
-    scaled = model.stages[0].transform(rows)
-    feats = mdl.scaled_names(LI_NUM)
-    return shap.shap_values(scaled, model.stages[-1], feats, ["row_id", "l_orderkey", "l_linenumber"],
-                            shared_dir(spark, "shap_model"))
+    return shap.shap_values(rows, model, ["row_id", "l_orderkey", "l_linenumber"])
 
 
 @query("shap_values")
@@ -159,7 +154,7 @@ def q_shap_values(spark, sf):
 def q_shap_mean_abs(spark, sf):
     from cohortix.operators import shap
 
-    return shap.shap_mean_abs(_shap_frame(spark, sf), top=25)
+    return shap.shap_mean_abs(_shap_frame(spark, sf), top=icu.SHAP_TOP)
 
 
 @query("stream_score")

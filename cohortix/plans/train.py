@@ -48,20 +48,20 @@ def train_review(df: DataFrame, labels: Sequence[str], features: Sequence[str],
     """Fit, score and review every (label, model); ``df`` carries ``split``."""
     scored_parts, imp_parts, cv_parts, leak_parts = [], [], [], []
     folds = split.group_kfold(df.where(F.col("split") == "train"), list(group_cols), cv_folds)
+    train = df.where(F.col("split") == "train")
     for label in labels:
-        scored = models.train_and_score(df, features, label, "split", specs, id_cols)
+        made = models.fit_all(train, features, label, specs)
+        scored = models.score_all(made, df.where(F.col("split") == "test"), [*id_cols, label])
         scored_parts.append(scored.withColumn("target", F.lit(label)).withColumnRenamed(label, "label"))
-        train = models.with_balanced_weight(df.where(F.col("split") == "train"), label)
         for spec in specs:
-            if spec.kind == "logistic":
-                continue
-            m = models.fit(train, features, label, spec)
-            imp_parts.append(models.feature_importance(m, features)
-                             .withColumn("target", F.lit(label)).withColumn("model", F.lit(spec.name)))
-        best = specs[-1]
-        fm = models.cv_metrics(folds, features, label, "fold", best, thresholds.get(label, 0.5))
+            if models.is_trees(spec):
+                imp_parts.append(models.feature_importance(made[spec.name], df.sparkSession)
+                                 .withColumn("target", F.lit(label)).withColumn("model", F.lit(spec.name)))
+        # the folds and the leakage check take the boosted model, or the last one where there is none
+        review = next((s for s in specs if s.kind == "boosted"), specs[-1])
+        fm = models.cv_metrics(folds, features, label, "fold", review, thresholds.get(label, 0.5))
         cv_parts.append(stats.confidence_interval(fm, "roc_auc").withColumn("target", F.lit(label)))
-        leak_parts.append(models.scaling_leakage(df, features, label, "split", specs[0])
+        leak_parts.append(models.scaling_leakage(df, features, label, "split", review)
                           .withColumn("target", F.lit(label)))
     scored_all = scored_parts[0]
     for p in scored_parts[1:]:

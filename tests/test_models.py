@@ -5,6 +5,7 @@ import pytest
 from cohortix.config import icu
 from cohortix.operators import models as mdl
 from cohortix.plans import q_models as q
+from cohortix.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,8 +24,13 @@ def test_queries_have_the_reference_settings(spark, monkeypatch):
 
 @pytest.mark.parametrize("gamma", [0.1, 0.3])
 def test_gamma_of_the_reference_still_splits(spark, gamma):
-    train = mdl.training_frame(mdl.with_balanced_weight(q.model_frame(spark, SF).where("split = 'train'"), q.LABEL))
+    train = q.model_frame(spark, SF).where("split = 'train'")
     spec = mdl.ModelSpec("GBT", "boosted", {**icu.BOOSTED, "n_estimators": 3, "gamma": gamma})
-    model = mdl.fit(train, q.LI_NUM, q.LABEL, spec).stages[-1]
-    train.unpersist()
-    assert all(t.numNodes > 1 for t in model.trees)
+    start = mdl.fit(train, q.LI_NUM, q.LABEL, spec).trees.start
+    assert len(start) == 4 and (start[1:] - start[:-1] > 1).all()
+
+
+def test_queries_end(spark):
+    """The registered fits with all rounds and trees, on the smallest table."""
+    for fn in (QUERIES["fit_boosted"], QUERIES["fit_forest"], q.q_cv_metrics, q.q_feature_importance):
+        assert fn(spark, SF).count() > 0
