@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, text_of
+from .common import ready, text_of, worker_state
 from .pretokens import ByteLevel
 
 ARROW = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
@@ -214,16 +214,9 @@ def chunks(texts: list[str], chars: int = 1_000_000) -> Iterator[list[str]]:
         yield part
 
 
-_workers: dict[int, SegmentBpe] = {}
-
-
 def worker_bpe(spec) -> SegmentBpe:
     """The worker's encoder for a broadcast vocabulary file; built once in a process."""
-    key = hash(spec.value)
-    if key not in _workers:
-        _workers.clear()
-        _workers[key] = SegmentBpe(ByteLevel(spec.value))
-    return _workers[key]
+    return worker_state("bpe", hash(spec.value), make=lambda: SegmentBpe(ByteLevel(spec.value)))
 
 
 def _mapped(df: DataFrame, path: str, text_col: str, keep: list[str], schema: str, row) -> DataFrame:

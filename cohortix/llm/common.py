@@ -6,6 +6,7 @@ import atexit
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +95,22 @@ def ready(df: DataFrame) -> DataFrame:
     return df
 
 
+_held: dict = {}
+
+
+def worker_state(*key, make):
+    """What a Python worker keeps for one operator between its batches and tasks (an encoder, say).
+
+    A worker serves many operators in turn and stays alive between them: what
+    another one left is dropped first, so that only one's state is held.
+    """
+    if key not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[key] = make()
+    return _held[key]
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 

@@ -14,12 +14,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import chunks
-from .common import ready, text_of
+from .common import ready, text_of, worker_state
 
 #: What the library writes for a space.
 SPACE = "▁"
-#: A word: a run of spaces with what follows it. No piece has a space after another character.
-SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Characters after which a word may end before a mark, if no piece has that mark behind one of them.
+LETTER, MARKS = "A-Za-z0-9À-ÖØ-öø-ÿ", "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n\t"
+
+
+def word_rule(pieces: list[str]) -> re.Pattern:
+    """Words: a run of spaces with what follows it, cut once more between a letter and a mark.
+
+    No merge crosses a place where no piece has the two characters next to
+    each other; that no piece has a space behind another character is asked for.
+    """
+    behind = re.compile(f"(?<=[{LETTER}])[^{LETTER}]")
+    met = {m for p in pieces for m in behind.findall(p)}
+    marks = "".join(re.escape(m) for m in MARKS if m not in met)
+    s = SPACE
+    if not marks:
+        return re.compile(f"{s}*[^{s}]+|{s}+")
+    return re.compile(f"{s}*[{LETTER}]+(?=[{marks}{s}]|\\Z)|"
+                      f"{s}*[^{s}]+?(?:(?<=[{LETTER}])(?=[{marks}])|(?={s})|\\Z)|{s}+")
+
+
 NONE = np.int32(2 ** 31 - 1)
 #: Hashed places of the pair table, as a power of two.
 SLOT_BITS = 20
@@ -54,6 +72,7 @@ class PieceBpe:
                 or any(re.search(f"[^{SPACE}]{SPACE}", self.pieces[i]) for i in plain)):
             raise ValueError("not a BPE model with byte fallback, a space before the text and no other normalisation")
         self.end_id = sp.eos_id()
+        self.words = word_rule([self.pieces[i] for i in plain]).findall
         at = {self.pieces[i]: i for i in plain}
         self.char_id = np.arange(0x110000, dtype=np.int64) + n
         for p, i in at.items():
@@ -216,7 +235,7 @@ class PieceBpe:
 
     def segments(self, text: str) -> list[str]:
         """Words of a text, with the space that the library puts before it."""
-        return SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        return self.words(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
         """Ids of each text, without begin and end ids."""
@@ -257,16 +276,9 @@ class PieceBpe:
                 yield self.id_bytes[i].decode()
 
 
-_workers: dict[bytes, PieceBpe] = {}
-
-
 def worker_pieces(model) -> PieceBpe:
     """The worker's encoder for a broadcast model file; built once in a process."""
-    key = hashlib.sha256(model.value).digest()
-    if key not in _workers:
-        _workers.clear()
-        _workers[key] = PieceBpe(model.value)
-    return _workers[key]
+    return worker_state("pieces", hash(model.value), make=lambda: PieceBpe(model.value))
 
 
 def model_bytes(path: str) -> bytes:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import SegmentBpe, chunks
-from .common import ready, stored, text_of
+from .common import ready, stored, text_of, worker_state
 from .piece_bpe import PieceBpe, model_bytes
 from .pretokens import ByteLevel
 
@@ -22,28 +22,62 @@ BLOCK_DOCS = 32_768
 #: Postings after which a block ends although it holds fewer documents.
 BLOCK_POSTINGS = 3_000_000
 #: Pre-tokens and words that a worker remembers, each.
-CACHE = 400_000
+CACHE = 200_000
+
+
+class Words:
+    """Ids of the words that an encoder has met, one after the other in one array."""
+
+    def __init__(self, encoder, split: Callable[[str], list[str]]):
+        self.encoder, self.split = encoder, split
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, new: list[str]) -> None:
+        self.encoder.learn(new)
+        got = list(map(self.encoder.known.__getitem__, new))
+        self.encoder.known.clear()
+        self.number.update(zip(new, range(len(self.size), len(self.size) + len(new))))
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.int64, size.sum())])
+        self.size = np.concatenate([self.size, size])
+
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        split = [self.split(t) for t in texts]
+        if len(self.size) > CACHE:
+            self.forget()
+        self.learn([w for w in set(chain.from_iterable(split)) if w not in self.number])
+        words = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, words.sum())
+        size = self.size[at]
+        end = np.cumsum(size)
+        first = (np.cumsum(self.size) - self.size)[at]
+        ids = self.ids[np.repeat(first - (end - size), size) + np.arange(size.sum())]
+        return ids, per_text(size, words)
+
+
+def per_text(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the values of each text, which has ``n`` of them in a row."""
+    return np.diff(np.append(0, np.cumsum(values))[np.append(0, np.cumsum(n))])
 
 
 class Aligner:
     """Both tokenizers of a worker, and the alignment of their tokens by byte offsets."""
 
     def __init__(self, spec: str, model: bytes):
-        self.a, self.b = SegmentBpe(ByteLevel(spec)), PieceBpe(model)
-        self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a.vocab.token_bytes, self.b.id_bytes))
+        a, b = SegmentBpe(ByteLevel(spec)), PieceBpe(model)
+        # A takes a space and the text, special strings as plain text; B puts the space itself
+        self.a, self.b = Words(a, lambda t: a.vocab.plain(" " + t) if t else []), Words(b, b.segments)
+        self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (a.vocab.token_bytes, b.id_bytes))
         # ids as they stand in the digest: followed by a comma, or by what ends their side of a group
-        n = self.n_a = len(self.a_size)
+        n, self.size_b = len(self.a_size), b.size
+        self.n_a = n
         self.written = ([f"{i}," for i in range(n)] + [f"{i}|" for i in range(n)]
-                        + [f"{i}," for i in range(self.b.size)] + [f"{i};" for i in range(self.b.size)])
-
-    def tokens_a(self, texts: list[str]) -> list[list[int]]:
-        """Ids of a space and each text, special strings as plain text."""
-        split = [self.a.vocab.plain(" " + t) if t else [] for t in texts]
-        if len(self.a.known) > CACHE:
-            self.a.known.clear()
-        self.a.learn([w for w in set(chain.from_iterable(split)) if w not in self.a.known])
-        known = self.a.known.__getitem__
-        return [list(chain.from_iterable(map(known, x))) for x in split]
+                        + [f"{i}," for i in range(b.size)] + [f"{i};" for i in range(b.size)])
 
     def documents(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         """Per text (n_a, n_b, n_groups, n_links, digest), and the postings of all texts: sorted
@@ -53,18 +87,14 @@ class Aligner:
         of all tokens cut a text into: each is one link. Where tokens of both
         end, a group ends.
         """
-        a, b = self.tokens_a(texts), list(self.b.encode(texts))
-        n_bytes = [len(t.encode()) + 1 if t else 0 for t in texts]
-        for ids, size in ((a, self.a_size), (b, self.b_size)):
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            end = np.append(0, np.cumsum(size[np.fromiter(chain.from_iterable(ids), np.int64, n.sum())]))
-            got = np.diff(end[np.append(0, np.cumsum(n))])
-            # tokens of both are made of the text's own bytes in order; only for the letter that B
-            # writes for a space they are not, and that shows in their length
-            for i in np.flatnonzero(got != n_bytes).tolist():
-                a[i], b[i] = [], []
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        ia, ib = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a, n_a), (b, n_b)))
+        (ia, n_a), (ib, n_b) = self.a.tokens(texts), self.b.tokens(texts)
+        n_bytes = np.fromiter((len(t.encode()) + 1 if t else 0 for t in texts), np.int64, len(texts))
+        # tokens of both are made of the text's own bytes in order; only for the letter that B
+        # writes for a space they are not, and that shows in their length
+        right = (per_text(self.a_size[ia], n_a) == n_bytes) & (per_text(self.b_size[ib], n_b) == n_bytes)
+        if not right.all():
+            ia, ib = ia[np.repeat(right, n_a)], ib[np.repeat(right, n_b)]
+            n_a, n_b = n_a * right, n_b * right
         end_a, end_b = np.cumsum(self.a_size[ia]), np.cumsum(self.b_size[ib])
         both = np.concatenate([end_a, end_b])
         both.sort()
@@ -76,7 +106,7 @@ class Aligner:
         doc = np.repeat(np.arange(len(texts)), n_a)[at_a]
         n_links = np.bincount(doc, minlength=len(texts))
         n_groups = np.bincount(doc[group], minlength=len(texts))
-        key = (ia[at_a] * self.b.size + ib[at_b]) << 16 | doc
+        key = (ia[at_a] * self.size_b + ib[at_b]) << 16 | doc
         key.sort()
         first = np.ones(len(key), bool)
         first[1:] = key[1:] != key[:-1]
@@ -88,7 +118,7 @@ class Aligner:
         before_b = (at_a[group] + 1)[np.cumsum(last_b) - last_b]
         code = np.empty(len(ia) + len(ib), np.int64)
         code[np.arange(len(ia)) + before_a] = ia + last_a * self.n_a
-        code[np.arange(len(ib)) + before_b] = 2 * self.n_a + ib + last_b * self.b.size
+        code[np.arange(len(ib)) + before_b] = 2 * self.n_a + ib + last_b * self.size_b
         words, rows, lo = list(map(self.written.__getitem__, code.tolist())), [], 0
         for na, nb, ng, nl in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist()):
             hi = lo + na + nb
@@ -155,16 +185,9 @@ def bitmaps(key: np.ndarray, times: np.ndarray, size_b: int) -> pa.RecordBatch:
         pa.array(hi - lo, pa.int64()), pa.array(links, pa.int64())], names=["pair", "planes", "n_docs", "n_links"])
 
 
-_workers: dict[str, Aligner] = {}
-
-
 def worker_aligner(spec) -> Aligner:
     """The worker's aligner for the broadcast files; built once in a process."""
-    key = hashlib.sha256(spec.value[0].encode() + spec.value[1]).hexdigest()
-    if key not in _workers:
-        _workers.clear()
-        _workers[key] = Aligner(*spec.value)
-    return _workers[key]
+    return worker_state("align", hash(spec.value), make=lambda: Aligner(*spec.value))
 
 
 def inverted(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,7 +213,7 @@ def inverted(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
         empty_id = None
 
         def flush():
-            cols = bitmaps(*summed(*zip(*held)), al.b.size)
+            cols = bitmaps(*summed(*zip(*held)), al.size_b)
             m = len(cols)
             return pa.RecordBatch.from_arrays([
                 pa.array(np.full(m, block), pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, empty_id),
@@ -289,12 +312,13 @@ def align_documents(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_
     """
     table = inverted(df, path_a, path_b, id_col, text_col)
     counts = stored(pair_counts(table), "pairs").select("pair", F.col("n_links").alias("_links"), "best")
-    held = table.where("pair is not null").select("pair", "block", "planes").join(counts, "pair")
+    # a merge join at every size: both sides grow with the corpus
+    held = table.where("pair is not null").select("pair", "block", "planes").join(counts.hint("merge"), "pair")
     held = held.select("block", "planes", F.col("_links").alias("n_links"), "best")
     scores = held.repartition("block").sortWithinPartitions("block").mapInArrow(
         returned, "block bigint, at int, n_best bigint, count_sum bigint")
     docs = table.where("pair is null")
-    out = docs.join(scores, ["block", "at"], "left")
+    out = docs.join(scores.hint("merge"), ["block", "at"], "left")
     return out.select("doc_id", "n_a", "n_b", "n_groups", F.col("n_doc_links").alias("n_links"),
                       F.coalesce("n_best", F.lit(0)).cast("bigint").alias("n_best"),
                       F.coalesce("count_sum", F.lit(0)).cast("bigint").alias("count_sum"), "groups_sha256")
