@@ -13,26 +13,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortix.functions.exprs import pct
+from cohortix.operators.profile import digest, hashable
 
 
 def duplicate_profile(df: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
-    """Exact, feature and conflicting duplicates in one shuffle.
-
-    Groups by the non-label columns and counts distinct label tuples inside
-    each group: ``(n_rows, n_distinct_rows, n_exact_dup, exact_dup_pct,
-    n_distinct_features, n_feature_dup, feature_dup_pct, n_conflict_groups,
-    n_conflict_rows)``. ``n_conflict_rows`` = distinct(all) - distinct(features).
+    """Exact, feature and conflicting duplicates from digests of the rows.
+
+    A row is a 128-bit digest of its non-label columns and one of its labels,
+    both over typed values with null marks, so 32 bytes a row are shuffled,
+    whatever its width. Groups by the feature digest and counts distinct
+    label digests inside each group: ``(n_rows, n_distinct_rows, n_exact_dup,
+    exact_dup_pct, n_distinct_features, n_feature_dup, feature_dup_pct,
+    n_conflict_groups, n_conflict_rows)``. ``n_conflict_rows`` =
+    distinct(all) - distinct(features). Two different rows among 10^12 have
+    one digest with odds below 10^-14.
     """
     labels = list(labels)
-    feats = [c for c in df.columns if c not in set(labels)]
+    feats = [hashable(df, c) for c in df.columns if c not in set(labels)]
+    labs = [hashable(df, c) for c in labels]
+    rows = df.select(*[digest(feats, k).alias(f"f{k}") for k in (1, 2)],
+                     *([digest(labs, k).alias(f"l{k}") for k in (1, 2)] if labels else []))
     if labels:
-        inner = df.groupBy(*feats).agg(
+        inner = rows.groupBy("f1", "f2").agg(
             F.count(F.lit(1)).alias("_cx_n"),
-            F.count_distinct(F.struct(*labels)).alias("_cx_k"),
+            F.count_distinct("l1", "l2").alias("_cx_k"),
         )
     else:
-        inner = df.groupBy(*feats).agg(F.count(F.lit(1)).alias("_cx_n"),
-                                       F.lit(1).cast("long").alias("_cx_k"))
+        inner = rows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("_cx_n"),
+                                             F.lit(1).cast("long").alias("_cx_k"))
     s = inner.agg(
         F.sum("_cx_n").alias("n_rows"),
         F.sum("_cx_k").alias("n_distinct_rows"),
@@ -125,7 +133,8 @@ def dedup_majority(df: DataFrame, key: str, order_by: Sequence[str] | None = Non
     firsts = list(first_cols) if first_cols is not None else [
         c for c in df.columns if c != key and c not in set(vote) and c != ROW_ORDER
     ]
-    ordk = F.struct(*[F.col(c) for c in order_by])
+    # one order column needs no struct: each first value then carries that column only
+    ordk = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*[F.col(c) for c in order_by])
     aggs = [
         F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordk)).alias(c) for c in firsts
     ] + [F.mode(F.col(c), True).alias(c) for c in vote]

@@ -8,8 +8,10 @@ long table with ``inline``. Only quantile-based profiles take a second pass.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,11 +20,55 @@ from cohortix.functions.exprs import pct, severity_band
 from cohortix.operators.cumulative import quantile_table
 
 
+class Fused:
+    """Several profiles of one table from one scan.
+
+    :meth:`tables` runs each maker of a profile twice: once to collect the
+    aggregates that it declares, once, when one ``agg`` has computed those of
+    all makers, to build its table on that row (schema width). A profile that
+    nobody asks for costs nothing; makers must be deterministic.
+    """
+
+    _open: Fused | None = None
+
+    def __init__(self, df: DataFrame):
+        self.df, self.asked, self.row, self.next = df, [], None, 0
+
+    def take(self, structs: list[Column]) -> DataFrame | None:
+        """None while aggregates are collected; then the part of the row."""
+        if self.row is None:
+            self.asked.append(structs)
+            return None
+        self.next += 1
+        return self.row.select(F.inline(f"_cx_{self.next - 1}"))
+
+    @staticmethod
+    def tables(df: DataFrame, makers: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        fused = Fused(df)
+        Fused._open = fused
+        try:
+            for make in makers.values():
+                make()
+            if fused.asked:
+                one = df.agg(*[F.array(*s).alias(f"_cx_{i}") for i, s in enumerate(fused.asked)])
+                fused.row = df.sparkSession.createDataFrame([one.first()], one.schema)
+            else:
+                fused.row = df
+            return {name: make() for name, make in makers.items()}
+        finally:
+            Fused._open = None
+
+
 def _inline(df: DataFrame, structs: list[Column], empty_schema: str | None = None) -> DataFrame:
     """One aggregate over ``df`` returning one row per struct; with no structs
-    the (typed) empty table ``empty_schema``."""
+    the (typed) empty table ``empty_schema``. Inside :class:`Fused` the
+    aggregate is shared with the other profiles of the same table."""
     if not structs:
         return df.sparkSession.createDataFrame([], empty_schema or "col_name string")
+    if Fused._open is not None and Fused._open.df is df:
+        shared = Fused._open.take(structs)
+        if shared is not None:
+            return shared
     return df.agg(F.array(*structs).alias("_cx_a")).select(F.inline("_cx_a"))
 
 
@@ -31,33 +77,68 @@ def _inline(df: DataFrame, structs: list[Column], empty_schema: str | None = Non
 
 def table_shape(df: DataFrame) -> DataFrame:
     """``(n_rows, n_cols)``."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "n_rows", F.lit(len(df.columns)).cast("long").alias("n_cols")
-    )
+    return _inline(df, [F.struct(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).cast("long").alias("n_cols"))])
+
+
+def hashable(df: DataFrame, col: str) -> Column:
+    """A column in a form whose hash tells its values apart: nested ones as JSON."""
+    t = df.schema[col].dataType
+    c = F.col(f"`{col}`")
+    if isinstance(t, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+    return c
+
+
+def digest(cols: Sequence[Column], seed: int) -> Column:
+    """64-bit digest of typed values and their null marks (two seeds: 128 bits)."""
+    return F.xxhash64(F.lit(seed), *[x for c in cols for x in (c.isNull(), c)])
 
 
 def schema_profile(df: DataFrame, cols: Sequence[str] | None = None,
                    approx: bool = False) -> DataFrame:
     """Per column: type and number of distinct non-null values.
 
-    ``approx=True`` swaps the exact count (one Expand per column) for the
-    HyperLogLog++ sketch, which stays one pass at any scale.
+    Exact counts come from one shuffle of (column, 128-bit digest of the
+    value), each task handing on a digest once; the values themselves are not
+    shuffled. ``approx=True`` estimates them from :func:`distinct_sketches`,
+    which is one pass at any scale.
     """
     cols = list(df.columns if cols is None else cols)
+    schema = "col_name string, dtype string, n_unique long"
+    if not cols:
+        return df.sparkSession.createDataFrame([], schema)
+    if approx:
+        return merged_distinct(distinct_sketches(df, cols))
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    dist = F.approx_count_distinct if approx else F.count_distinct
-    return _inline(
-        df,
-        [
-            F.struct(
-                F.lit(c).alias("col_name"),
-                F.lit(types[c]).alias("dtype"),
-                dist(F.col(c)).cast("long").alias("n_unique"),
-            )
-            for c in cols
-        ],
-        "col_name string, dtype string, n_unique long",
-    )
+    each = [F.struct(F.lit(i).alias("i"), c.isNotNull().alias("there"), digest([c], 1).alias("a"),
+                     digest([c], 2).alias("b")) for i, c in enumerate(hashable(df, c) for c in cols)]
+    values = df.select(F.inline(F.array(*each))).where("there").select("i", "a", "b").distinct()
+    n = values.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    names = df.sparkSession.createDataFrame([(i, c, types[c]) for i, c in enumerate(cols)],
+                                            "i int, col_name string, dtype string")
+    # a row per column of the schema on both sides
+    return names.join(F.broadcast(n), "i", "left").select(
+        "col_name", "dtype", F.coalesce("n", F.lit(0)).cast("long").alias("n_unique"))
+
+
+def distinct_sketches(df: DataFrame, cols: Sequence[str] | None = None, lg_k: int = 12) -> DataFrame:
+    """``(col_name, dtype, sketch)``: a mergeable sketch of each column's distinct values.
+
+    A HyperLogLog sketch of the values' digests, which can be stored: the
+    union of the tables of many runs or days goes to :func:`merged_distinct`.
+    """
+    cols = list(df.columns if cols is None else cols)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return _inline(df, [
+        F.struct(F.lit(c).alias("col_name"), F.lit(types[c]).alias("dtype"),
+                 F.hll_sketch_agg(F.when(h.isNotNull(), digest([h], 1)), lg_k).alias("sketch"))
+        for c, h in ((c, hashable(df, c)) for c in cols)], "col_name string, dtype string, sketch binary")
+
+
+def merged_distinct(sketches: DataFrame) -> DataFrame:
+    """``(col_name, dtype, n_unique)`` estimated from one or many tables of sketches."""
+    return sketches.groupBy("col_name", "dtype").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).cast("long").alias("n_unique"))
 
 
 def unexpected_types(df: DataFrame, expected_strings: Sequence[str]) -> DataFrame:
@@ -425,38 +506,52 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = ()) -
 # --- correlation --------------------------------------------------------------------
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str], batch: int = 100) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson r for every pair i < j: ``(col_a, col_b, i, j, r)``.
 
-    The p(p-1)/2 ``corr`` aggregates are evaluated in batches of ``batch`` per
-    job (codegen size); each batch is one pass with map-side partials.
+    One scan for any number of columns: each task adds up the cross products
+    of its rows as matrix products - rows, sums, squares and products over
+    the rows where both columns of a pair have a value, centred by a value of
+    each column - and hands on one row per pair; Spark sums those. Null for a
+    pair without two rows or with a constant column, as ``corr``; NaN and
+    infinite values make it NaN.
     """
-    cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, i int, j int, r double")
-    parts = []
-    for s in range(0, len(pairs), batch):
-        chunk = pairs[s : s + batch]
-        parts.append(
-            _inline(
-                df,
-                [
-                    F.struct(
-                        F.lit(cols[i]).alias("col_a"),
-                        F.lit(cols[j]).alias("col_b"),
-                        F.lit(i).alias("i"),
-                        F.lit(j).alias("j"),
-                        F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias("r"),
-                    )
-                    for i, j in chunk
-                ],
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from cohortix.session import share_package
+
+    cols, spark = list(cols), df.sparkSession
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "i int, name string")
+    if len(cols) < 2:
+        return spark.createDataFrame([], "col_a string, col_b string, i int, j int, r double")
+    share_package(spark)
+    x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    row = x.first()
+    shift = [v if v is not None and v == v and abs(v) != float("inf") else 0.0 for v in row] if row else [0.0] * len(cols)
+    stats = ["n", "sa", "sb", "qa", "qb", "ab"]
+
+    def products(batches):
+        p = len(shift)
+        total = np.zeros((6, p, p))
+        for b in batches:
+            z = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)
+            there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in b.columns], axis=1).astype(float)
+            z = np.where(there > 0, z - shift, 0.0)
+            with np.errstate(invalid="ignore"):
+                sums, squares = z.T @ there, (z * z).T @ there
+                total += np.stack([there.T @ there, sums, sums.T, squares, squares.T, z.T @ z])
+        i, j = np.triu_indices(p, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()),
+                                          *[pa.array(t[i, j]) for t in total]], names=["i", "j", *stats])
+
+    parts = x.mapInArrow(products, "i int, j int, " + ", ".join(f"{c} double" for c in stats))
+    t = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in stats])
+    n = F.col("n")
+    # sums of squares about the mean; rounding leaves a constant column a little off zero
+    va, vb = (F.col(q) - F.col(s) * F.col(s) / n for q, s in (("qa", "sa"), ("qb", "sb")))
+    flat = (va <= F.col("qa") * 1e-14) | (vb <= F.col("qb") * 1e-14)
+    r = F.when((n > 1) & ~flat, (F.col("ab") - F.col("sa") * F.col("sb") / n) / F.sqrt(va) / F.sqrt(vb))
+    return t.join(F.broadcast(names), "i").join(  # a row per column
+        F.broadcast(names.select(F.col("i").alias("j"), F.col("name").alias("col_b"))), "j").select(
+            F.col("name").alias("col_a"), "col_b", "i", "j", r.alias("r"))
 
 
 def corr_pairs(matrix: DataFrame, features: Sequence[str], high: float = 0.9,

@@ -76,13 +76,13 @@ def bin_cuts(x: np.ndarray) -> list[np.ndarray]:
 
 def binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     """Bin of every value, a row per column; missing ones in the last bin."""
-    return np.stack([np.searchsorted(cut, x[:, c], "left") for c, cut in enumerate(cuts)]) if cuts \
-        else np.zeros((0, len(x)), np.int64)
+    return np.stack([np.searchsorted(cut, x[:, c], "left") for c, cut in enumerate(cuts)]).astype(np.uint8) if cuts \
+        else np.zeros((0, len(x)), np.uint8)
 
 
 def cells(bins: np.ndarray, node: np.ndarray, columns: np.ndarray, stats: np.ndarray,
           n_nodes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys (node, slot, bin) and summed statistics of the rows' cells.
+    """Sorted keys (slot, node, bin) and summed statistics of the rows' cells.
 
     ``columns`` has the features of each node's slots. The first statistic is
     positive in every row; all are whole numbers, whose sums doubles hold
@@ -106,12 +106,8 @@ def cells(bins: np.ndarray, node: np.ndarray, columns: np.ndarray, stats: np.nda
             first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
             at = key[first]
             sums.append(np.add.reduceat(stats[:, order], first, axis=1) if len(first) else np.zeros((len(stats), 0)))
-        keys.append((at // BINS * m + s) * BINS + at % BINS)
-    key, total = np.concatenate(keys), np.concatenate(sums, axis=1).astype(np.int64)
-    if m > 1:
-        order = np.argsort(key, kind="stable")
-        key, total = key[order], total[:, order]
-    return key, total
+        keys.append(at + s * n_nodes * BINS)
+    return np.concatenate(keys), np.concatenate(sums, axis=1).astype(np.int64)
 
 
 # --- rules --------------------------------------------------------------------------------------
@@ -181,25 +177,28 @@ class Gini:
         return (s[1] + s[2]) / ONE
 
 
-def best_splits(rule, key: np.ndarray, stats: np.ndarray, m: int):
+def best_splits(rule, key: np.ndarray, stats: np.ndarray, n_nodes: int):
     """(node, slot, bin, gain, left statistics, total statistics) of each node's best
     split; ties: the lower slot, then the lower bin. Gain -inf: no split."""
     seg = key // BINS
-    last = np.append(seg[1:] != seg[:-1], True)
-    run = np.cumsum(stats, axis=1)
+    last = np.append(seg[1:] != seg[:-1], True)[:len(seg)]
     ends = np.flatnonzero(last)
     which = np.cumsum(last) - last
+    run = np.cumsum(stats, axis=1)
     base = np.concatenate([np.zeros((len(stats), 1), np.int64), run[:, ends[:-1]]], axis=1)
-    total = (run[:, ends] - base)[:, which]
-    left = run - base[:, which]
+    whole = run[:, ends] - base
+    total, left = whole[:, which], run - base[:, which]
     gain = rule.gain(left, total - left, total)
     gain[last] = -np.inf
-    node = seg // m
-    start = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+    start = np.append(0, ends[:-1] + 1)
     top = np.maximum.reduceat(gain, start)
-    hit = np.flatnonzero(gain == np.repeat(top, np.diff(np.append(start, len(node)))))
-    at = hit[np.searchsorted(node[hit], node[start])]
-    return node[start], seg[at] % m, key[at] % BINS, top, left[:, at], total[:, at]
+    hit = np.flatnonzero(gain == top[which])
+    at = hit[np.searchsorted(which[hit], np.arange(len(ends)))]
+    # of a node's columns the best one, the first of equals
+    slot, node = seg[ends] // n_nodes, seg[ends] % n_nodes
+    order = np.lexsort((slot, -top, node))
+    best = order[np.flatnonzero(np.append(True, np.diff(node[order]) != 0))]
+    return node[best], slot[best], key[at[best]] % BINS, top[best], left[:, at[best]], whole[:, best]
 
 
 def without_split(rule, found) -> np.ndarray:
@@ -347,7 +346,7 @@ def grow(bins: np.ndarray, stats: np.ndarray, plan: Plan) -> tuple[Trees, np.nda
             else:
                 mine = np.flatnonzero(np.isin(node, left_over))
                 key, total = cells(b[:, mine], node[mine], cols, s[:, mine], plan.n)
-            got = best_splits(plan.rule, key, total, cols.shape[1])
+            got = best_splits(plan.rule, key, total, plan.n)
             found.append((cols, got))
             left_over = without_split(plan.rule, got)
             if not len(left_over):
@@ -590,7 +589,7 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, fits: Sequence[
 
 def _level_cells(state: DataFrame, stats_of, tree: Trees | None, plan: Plan, cols: np.ndarray) -> DataFrame:
     """(node, key, s0, s1, ...): the level's cells, added up in each task and then over all of them."""
-    first, n, p, names = plan.first, plan.n, cols.shape[1], plan.rule.STATS
+    first, n, names = plan.first, plan.n, plan.rule.STATS
 
     def run(batches):
         key, total = np.zeros(0, np.int64), np.zeros((len(names), 0), np.int64)
@@ -607,7 +606,7 @@ def _level_cells(state: DataFrame, stats_of, tree: Trees | None, plan: Plan, col
                 new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
                 key = key[new]
                 total = np.add.reduceat(total, new, axis=1) if len(new) else total
-        yield pa.RecordBatch.from_arrays([pa.array(key // BINS // p), pa.array(key), *map(pa.array, total)],
+        yield pa.RecordBatch.from_arrays([pa.array(key // BINS % n), pa.array(key), *map(pa.array, total)],
                                          names=["node", "key", *names])
 
     made = state.mapInArrow(run, ", ".join(f"{c} bigint" for c in ("node", "key", *names)))
@@ -617,7 +616,7 @@ def _level_cells(state: DataFrame, stats_of, tree: Trees | None, plan: Plan, col
 def _state(b: pa.RecordBatch):
     n = b.num_rows
     raw = np.frombuffer(b"".join(b.column("bins").to_pylist()), np.uint8)
-    bins = raw.reshape(n, -1).T.astype(np.int64) if n else np.zeros((0, 0), np.int64)
+    bins = np.ascontiguousarray(raw.reshape(n, -1).T) if n else np.zeros((0, 0), np.uint8)
     return (bins, *[b.column(c).to_numpy(zero_copy_only=False) for c in ("y", "rid", "margin")])
 
 
@@ -673,7 +672,7 @@ def fit_distributed(df: DataFrame, features: Sequence[str], label: str, fit: Fit
                 level = _level_cells(state, stats_of, tree, plan, np.array(cols))
                 if left_over is not None:
                     level = level.where(F.col("node").isin([int(v) for v in left_over]))
-                got = _found(level, plan.rule, cols.shape[1])
+                got = _found(level, plan.rule, plan.n)
                 if got is None:
                     break
                 found.append((cols, got))
@@ -701,7 +700,7 @@ def _added(tree: Trees):
     return run
 
 
-def _found(level: DataFrame, rule, m: int):
+def _found(level: DataFrame, rule, n_nodes: int):
     """Best splits of a level's nodes, found where their cells are."""
     stats = rule.STATS
     out = ["node", "slot", "bin", "gain", *[f"l_{c}" for c in stats], *[f"t_{c}" for c in stats]]
@@ -711,7 +710,7 @@ def _found(level: DataFrame, rule, m: int):
         rows = pa.Table.from_batches(list(batches), given).sort_by("key")
         if rows.num_rows:
             node, slot, b, gain, left, total = best_splits(
-                rule, rows["key"].to_numpy(), np.stack([rows[c].to_numpy() for c in stats]), m)
+                rule, rows["key"].to_numpy(), np.stack([rows[c].to_numpy() for c in stats]), n_nodes)
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(slot), pa.array(b), pa.array(gain),
                                               *map(pa.array, left), *map(pa.array, total)], names=out)
 

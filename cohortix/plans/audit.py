@@ -53,9 +53,12 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
           exact_distinct: bool = False) -> AuditResult:
     """All table profiles and the verdict for one table.
 
-    Each profile is one wide aggregate over the input. A plain scan is read
+    Shape, missing values, ranges, skewness and distinct counts are one scan
+    (:class:`cohortix.operators.profile.Fused`); each other table is one
+    aggregate over the input, computed when it is read. A plain scan is read
     again for each, with the columns it needs; an input that joins or
-    aggregates is persisted (``persist`` overrides; call ``release()`` after). ``unit_col`` gets the mixed-scale test (e.g. FiO2
+    aggregates is persisted (``persist`` overrides; call ``release()`` after).
+    ``unit_col`` gets the mixed-scale test (e.g. FiO2
     as fraction vs percent), ``critical`` columns get an extra finding when
     they violate their range, and for each category column the bias tests
     run against every label (chi-squared) and ``bias_numeric`` is compared
@@ -69,22 +72,29 @@ def audit(df: DataFrame, roles: Roles, ranges: Mapping[str, tuple[float, float]]
     numeric = roles.numeric(src, include_flags=True)
     dups = duplicates.duplicate_profile(src, roles.labels)
     left_out = {*roles.ids, *roles.exclude}
-    miss = profile.missing_profile(src, [c for c in src.columns if c not in left_out])
-    viol = profile.range_violations(src, ranges)
+    # profiles that are plain aggregates share one scan
+    t = profile.Fused.tables(src, {
+        "shape": lambda: profile.table_shape(src),
+        "missing": lambda: profile.missing_profile(src, [c for c in src.columns if c not in left_out]),
+        "violations": lambda: profile.range_violations(src, ranges),
+        "skew": lambda: profile.skewness(src, numeric),
+        **({} if exact_distinct else {"sketches": lambda: profile.distinct_sketches(src)}),
+    })
+    miss, viol = t["missing"], t["violations"]
     outl = profile.iqr_outliers(src, numeric, exact=exact)
     bal = profile.class_balance(src, roles.labels)
     issues = verdict.issue_list(dups, miss, viol, outl, bal)
     corr_cols = numeric + [c for c in roles.labels if c in src.columns]
     corr = profile.correlation_matrix(src, corr_cols) if len(corr_cols) > 1 else None
     res = AuditResult(
-        shape=profile.table_shape(src),
-        schema=profile.schema_profile(src, approx=not exact_distinct),
+        shape=t["shape"],
+        schema=profile.schema_profile(src) if exact_distinct else profile.merged_distinct(t["sketches"]),
         duplicates=dups,
         missing=miss,
         violations=viol,
         outliers=outl,
         balance=bal,
-        skew=profile.skewness(src, numeric),
+        skew=t["skew"],
         issues=issues,
         readiness=verdict.readiness(issues),
         scale_mix=profile.scale_mix(src, unit_col) if unit_col else None,

@@ -459,3 +459,60 @@ def test_row_order_column_is_not_data(spark, tmp_path):
     fixed = plans.fix(df, "k", None, Roles(ids=("k",), labels=("y",)), {}, {}, ["k"])
     assert "_row_order" not in fixed.columns
     assert {r["k"]: r["x"] for r in fixed.collect()} == {1: 2.0, 2: 5.0}
+
+
+def _mixed(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        a, b = rng.normal(1e6, 2), rng.normal()
+        rows.append((None if i % 7 == 0 else float(a), None if i % 5 == 0 else float(b + a - 1e6), float(i % 3), 4.25,
+                     None, int(i % 9)))
+    return spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f int").repartition(7)
+
+
+def test_correlation_matrix_equals_pairwise_corr(spark):
+    df = _mixed(spark)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(df, df.columns).collect()}
+    pdf = df.toPandas()
+    for (a, b), r in got.items():
+        pair = pdf[[a, b]].astype(float).dropna()
+        if len(pair) < 2 or pair[a].nunique() < 2 or pair[b].nunique() < 2:
+            assert r is None
+        else:
+            assert r == pytest.approx(pair.corr().iloc[0, 1], abs=1e-9)
+    assert len(got) == 15
+    assert all(r["r"] is None for r in profile.correlation_matrix(df.limit(0), ["a", "b"]).collect())
+
+
+def test_distinct_counts_by_digests_and_merged_sketches(spark):
+    df = _mixed(spark).selectExpr("*", "array(f, null) g", "struct(a, f) h", "cast(f as string) i", "-0.0D * f j")
+    got = {r["col_name"]: r["n_unique"] for r in profile.schema_profile(df).collect()}
+    want = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+    assert got == want
+    halves = df.where("f < 4"), df.where("f >= 4")
+    merged = profile.distinct_sketches(halves[0]).unionByName(profile.distinct_sketches(halves[1]))
+    for r in profile.merged_distinct(merged).collect():
+        assert abs(r["n_unique"] - want[r["col_name"]]) <= 0.05 * want[r["col_name"]] + 0.5
+    assert profile.schema_profile(df.limit(0)).agg(F.sum("n_unique")).first()[0] == 0
+
+
+def test_row_digests_tell_nulls_types_and_neighbours_apart(spark):
+    rows = [("ab", "c", None, [1, None]), ("a", "bc", None, [1, None]), (None, "ab", "c", [None, 1]),
+            ("ab", None, "c", [1]), ("ab", "c", None, [1, None]), ("ab", "c", "", None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d array<int>")
+    p = duplicates.duplicate_profile(df).first()
+    assert (p["n_rows"], p["n_distinct_rows"], p["n_exact_dup"]) == (6, 5, 1)
+    hot = spark.range(3000).selectExpr("if(id < 1000, 7, id) k", "id % 2 y").repartition(9)
+    p = duplicates.duplicate_profile(hot, ["y"]).first()
+    assert (p["n_distinct_features"], p["n_conflict_groups"], p["n_distinct_rows"]) == (2001, 1, 2002)
+
+
+def test_fused_profiles_equal_single_ones(spark):
+    df = _mixed(spark).coalesce(1).sort("f", "b")  # one order of additions
+    makers = {"missing": lambda: profile.missing_profile(df), "skew": lambda: profile.skewness(df, ["a", "b"]),
+              "ranges": lambda: profile.range_violations(df, {"c": (1, 1), "f": (2, 3)}),
+              "none": lambda: profile.skewness(df, []), "shape": lambda: profile.table_shape(df)}
+    got = profile.Fused.tables(df, makers)
+    for name, make in makers.items():
+        assert sorted(map(str, got[name].collect())) == sorted(map(str, make().collect()))

@@ -78,3 +78,36 @@ def test_running_totals_has_no_single_partition_over_rows(spark):
     p = plan(score_cumulative(scored_events(spark, SF), "label", "score"))
     # the only window over rows is partitioned by the range-partition id
     assert "Window [sum(pos" in p and "_cx_pid" in p
+
+
+def scans(p):
+    return p.count("FileScan parquet")
+
+
+def test_correlations_of_many_columns_are_one_scan(spark):
+    from cohortix.operators.profile import correlation_matrix
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    wide = li.select(*[(F.col("l_quantity") * i + F.col("l_tax")).alias(f"x{i}") for i in range(300)])
+    p = plan(correlation_matrix(wide, wide.columns))
+    assert scans(p) == 1 and p.count("MapInArrow") == 1
+
+
+def test_duplicates_shuffle_digests_only(spark, qs):
+    import re
+
+    p = plan(qs["dup_conflict"](spark, SF))
+    for line in re.findall(r"Exchange hashpartitioning\(.*", p):
+        assert "text" not in line
+    shuffled = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    assert shuffled and all(re.fullmatch(r"(f1|f2|l1|l2|[\w(), .#]*)*", s) for s in shuffled)
+    assert {re.sub(r"#\d+L?", "", c).strip() for c in shuffled[-1].split(",")[:-2]} <= {"f1", "f2", "l1", "l2"}
+
+
+def test_readiness_reads_the_table_four_times_at_most(spark, qs):
+    assert 0 < scans(plan(qs["readiness"](spark, SF))) <= 4
+
+
+def test_exact_distinct_counts_shuffle_digests(spark, qs):
+    p = plan(qs["schema_profile"](spark, SF))
+    assert "Expand" not in p and scans(p) == 1 and "Exchange hashpartitioning(i#" in p
