@@ -1,11 +1,13 @@
 """Model fitting, tuning and comparison.
 
 Design:
-* logistic regression is ``pyspark.ml``'s; its scaling is fitted on the training
-  rows only (one aggregate) and frozen into a ``SQLTransformer`` with the means
-  / population stds as literals, so the fitted scaler is an ordinary,
-  persistable pipeline stage that runs JVM-side (``ml.feature.StandardScaler``
-  divides by the *sample* std). Its class weights are a column (``weightCol``);
+* logistic regression is fitted by ``operators.newton`` where models are compared
+  or cross-validated: all folds step together and each model certifies its
+  optimum. :func:`fit` makes a ``pyspark.ml`` pipeline, which can be saved and
+  runs on streams; its scaling is fitted on the training rows only (one
+  aggregate) and frozen into a ``SQLTransformer`` with the means / population
+  stds as literals (``ml.feature.StandardScaler`` divides by the *sample* std).
+  Its class weights are a column (``weightCol``);
 * boosted models and forests are those of ``operators.trees``: all fits of a
   fold loop, a comparison or a search are one job, on at most about
   ``fit_rows`` labelled rows (``trees.FIT_ROWS``), and all rows are scored.
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortix.operators import metrics as M
+from cohortix.operators import newton as N
 from cohortix.operators import trees as T
 from cohortix.operators.trees import FIT_ROWS, Fit, TreeModel
 from cohortix.session import ensure_checkpoint_dir
@@ -125,6 +128,9 @@ def estimator(spec: ModelSpec, label: str, n_train: float | None = None) -> Logi
                               elasticNetParam=0.0, standardization=False)
 
 
+Model = PipelineModel | TreeModel | N.Logistic
+
+
 def is_trees(spec: ModelSpec) -> bool:
     if spec.kind not in ("logistic", "forest", "boosted"):
         raise ValueError(spec.kind)
@@ -149,10 +155,12 @@ def _fit_scaled(train: DataFrame, features, label, spec: ModelSpec, scaler: SQLT
     return Pipeline(stages=[scaler, assembler, estimator(spec, label, train.count())]).fit(train)
 
 
-def score(model: PipelineModel | TreeModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def score(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Columns ``keep`` and ``score`` = P(y = 1)."""
     if isinstance(model, TreeModel):
         return T.score(model, df, keep)
+    if isinstance(model, N.Logistic):
+        return N.score(model, df, keep)
     out = model.transform(df)
     return out.select(*keep, vector_to_array("probability")[1].alias(SCORE))
 
@@ -173,23 +181,34 @@ def fit_boosted(train: DataFrame, features, label, params=None) -> TreeModel:
 
 
 def fit_all(train: DataFrame, features, label, specs: Sequence[ModelSpec], parallelism: int = 3,
-            fit_rows: int = FIT_ROWS, seed: int = 42) -> dict[str, PipelineModel | TreeModel]:
-    """A model for each spec: the tree models in one job, beside the logistic ones."""
+            fit_rows: int = FIT_ROWS, seed: int = 42) -> dict[str, Model]:
+    """A model for each spec: the tree models in one job, beside the logistic ones (Newton)."""
     from concurrent.futures import ThreadPoolExecutor
 
     tree_specs = [s for s in specs if is_trees(s)]
+    others = [s for s in specs if not is_trees(s)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         made = pool.submit(T.fit_many, train, features, label, [Fit(s.kind, s.params, seed=seed) for s in tree_specs],
                            fit_rows=fit_rows, seed=seed) if tree_specs else None
-        others = [(s.name, pool.submit(fit, with_balanced_weight(train, label), features, label, s))
-                  for s in specs if not is_trees(s)]
-        out = {name: f.result() for name, f in others}
+        rest = [(s.name, pool.submit(_newton, train, features, label, s)) for s in others]
+        out = {name: f.result()[0] for name, f in rest}
         if made:
             out |= {s.name: m for s, m in zip(tree_specs, made.result())}
     return {s.name: out[s.name] for s in specs}
 
 
-def score_all(models: Mapping[str, PipelineModel | TreeModel], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def _newton(df: DataFrame, features, label, spec: ModelSpec, leave_out=(None,), fold=None) -> list[N.Logistic]:
+    """Newton steps over a persisted frame."""
+    base = df if df.is_cached else training_frame(df)
+    try:
+        return N.fit(base, features, label, leave_out, fold, float(spec.params.get("C", 1.0)),
+                     int(spec.params.get("max_iter", 100)))
+    finally:
+        if base is not df:
+            base.unpersist()
+
+
+def score_all(models: Mapping[str, Model], df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep``, ``score`` and ``model`` of every row and model."""
     parts = [score(m, df, keep).withColumn("model", F.lit(name)) for name, m in models.items()]
     out = parts[0]
@@ -217,12 +236,12 @@ def _folds(df: DataFrame, fold_col: str) -> list:
 
 
 def cv_metrics(df: DataFrame, features, label, fold_col: str, spec: ModelSpec,
-               threshold: float = 0.5, parallelism: int = 5, fit_rows: int = FIT_ROWS, seed: int = 42) -> DataFrame:
+               threshold: float = 0.5, fit_rows: int = FIT_ROWS, seed: int = 42) -> DataFrame:
     """Per-fold metrics over all rows, each scored by the model fitted without its fold.
 
-    Tree models of all folds are one job and one scoring pass. Logistic
-    models are concurrent jobs, scaler and weights refitted on each fold's
-    training part.
+    Models of all folds are fitted together (trees: one job; logistic: one
+    aggregation a Newton step, means and weights of each fold's training part)
+    and score in one pass.
     """
     ensure_checkpoint_dir(df.sparkSession)
     base = training_frame(df)
@@ -233,28 +252,14 @@ def cv_metrics(df: DataFrame, features, label, fold_col: str, spec: ModelSpec,
                               fit_rows, seed)
             scored = T.score(dict(zip(folds, made)), base, [label, fold_col], by=fold_col)
         else:
-            scored = _logistic_folds(base, features, label, fold_col, folds, spec, parallelism)
+            made = _newton(base, features, label, spec, folds, fold_col)
+            scored = N.score_by(dict(zip(folds, made)), base, fold_col, [label, fold_col])
         scored = scored.checkpoint(eager=True)  # cut the per-fold lineage before the metric job
     finally:
         base.unpersist()
     return M.evaluate(scored, label, SCORE, threshold, by=[fold_col])
 
 
-def _logistic_folds(base, features, label, fold_col, folds, spec, parallelism) -> DataFrame:
-    from concurrent.futures import ThreadPoolExecutor
-
-    def fit_fold(f):
-        model = fit(with_balanced_weight(base.where(F.col(fold_col) != f), label), features, label, spec)
-        return score(model, base.where(F.col(fold_col) == f), [label]).withColumn(fold_col, F.lit(f))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(fit_fold, folds))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    return scored
-
-
 def draw_params(grid: Mapping[str, Sequence], n_iter: int, seed: int = 42) -> list[dict]:
     """``n_iter`` distinct random points of the grid (without replacement)."""
     keys = list(grid)
@@ -299,7 +304,7 @@ def random_search(df: DataFrame, features, label, fold_col: str, kind: str,
             from concurrent.futures import ThreadPoolExecutor
 
             def run(p):
-                m = cv_metrics(base, features, label, fold_col, ModelSpec("c", kind, p), parallelism=1)
+                m = cv_metrics(base, features, label, fold_col, ModelSpec("c", kind, p))
                 return [r["roc_auc"] for r in m.select("roc_auc").collect() if r["roc_auc"] is not None]
 
             with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -318,9 +323,12 @@ def best_params(leaderboard: DataFrame) -> dict:
     return json.loads(leaderboard.where("rank = 1").first()["params"])
 
 
-def save(model: PipelineModel | TreeModel, spark, path: str) -> None:
+def save(model: Model, spark, path: str) -> None:
+    """Write a model below ``path``; read back by ``trees.load``, ``newton.load`` or ``PipelineModel.load``."""
     if isinstance(model, TreeModel):
         T.save(model, spark, path)
+    elif isinstance(model, N.Logistic):
+        N.save(model, spark, path)
     else:
         model.write().overwrite().save(path)
 
@@ -390,7 +398,7 @@ def scaling_leakage(df: DataFrame, features, label, split_col: str, spec: ModelS
     ).withColumn("verdict", F.when(F.abs("diff") < tolerance, "OK").otherwise("WARNING"))
 
 
-def external_score(model: PipelineModel | TreeModel, external: DataFrame, features, label: str,
+def external_score(model: Model, external: DataFrame, features, label: str,
                    threshold: float) -> DataFrame:
     """Score another cohort with a fitted pipeline; refuse if features are missing."""
     from cohortix.sources.scan import require_columns

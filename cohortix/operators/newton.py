@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortix.operators.trees import matrix
@@ -49,6 +49,21 @@ class Logistic:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-m))
 
 
+def save(model: Logistic, spark: SparkSession, path: str) -> None:
+    """Write a model as a Parquet table: a row per feature, and one for the intercept."""
+    rows = [(-1, "", 0.0, 1.0, float(model.intercept), float(model.gradient), model.steps, model.rows)] + [
+        (i, f, float(m), float(s), float(b), 0.0, 0, 0)
+        for i, (f, m, s, b) in enumerate(zip(model.features, model.mean, model.std, model.coef))]
+    spark.createDataFrame(rows, "place int, feature string, mean double, std double, coef double, gradient double, "
+                                "steps int, n_rows long").write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> Logistic:
+    head, *rest = spark.read.parquet(path).orderBy("place").collect()
+    return Logistic([r["feature"] for r in rest], *(np.array([r[c] for r in rest]) for c in ("mean", "std", "coef")),
+                    head["coef"], head["gradient"], head["steps"], head["n_rows"])
+
+
 def score(model: Logistic, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` and ``score``, without leaving the JVM."""
     return df.select(*keep, model.probability().alias(SCORE))

@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from cohortix.config import icu
 from cohortix.operators import models as mdl
+from cohortix.operators import newton
 from cohortix.operators.metrics import evaluate
 from cohortix.operators.split import group_kfold, group_split
 from cohortix.plans.catalog import LI_NUM, lineitem, query, shared_dir, split_hash_sql
-from cohortix.sources.sinks import sink_model
+from cohortix.sources import scan
+from cohortix.sources.sinks import sink_model, sink_table
 
 LABEL = "is_r"
 QUERY_SPECS = {
@@ -122,13 +124,81 @@ def q_sink_model(spark, sf):
                    F.count_if(F.col("_first") != F.col(mdl.SCORE)).alias("n_mismatch"))
 
 
+@query("logistic_certificate", f"""
+SELECT count(*) AS n_rows, count_if(l_returnflag = 'R') AS n_positive, 4::BIGINT AS n_features, true AS certified
+FROM lineitem WHERE {split_hash_sql("CAST(l_orderkey AS VARCHAR)")} % 1000000 >= 200000
+""")
+def q_logistic_certificate(spark, sf):
+    """Newton's fit on the train split: rows, positives, and whether the largest entry of the
+    objective's gradient, from a pass of its own over the rows, is below 1e-8 a row."""
+    train = model_frame(spark, sf).where(F.col("split") == "train")
+    (m,) = newton.fit(train, LI_NUM, LABEL)
+    s = newton.score(m, train, [LABEL, *LI_NUM])
+    n, pos = (F.count(F.lit(1)), F.count_if(F.col(LABEL) == 1))
+    counts = s.agg(n.alias("n"), pos.alias("p"))
+    w = F.when(F.col(LABEL) == 1, F.col("n") / (2 * F.col("p"))).otherwise(F.col("n") / (2 * (F.col("n") - F.col("p"))))
+    r = w * (F.col(mdl.SCORE) - F.col(LABEL))
+    parts = [F.abs(F.sum(r))] + [
+        F.abs(F.sum(r * (F.col(c) - F.lit(float(mu))) / F.lit(float(sd))) + F.lit(float(b)))
+        for c, mu, sd, b in zip(LI_NUM, m.mean, m.std, m.coef)]
+    return s.crossJoin(F.broadcast(counts)).agg(  # one row
+        n.alias("n_rows"), pos.alias("n_positive"), F.lit(len(m.features)).cast("bigint").alias("n_features"),
+        (F.greatest(*parts) / n < 1e-8).alias("certified"))
+
+
 @query("external_score")
 def q_external_score(spark, sf):
-    """Model fitted on lineitem train rows, applied to every lineitem row of
-    the other split as the external cohort."""
+    """A model fitted on lineitem's train rows, applied to a second cohort that is read from its own
+    folder if that is there (here the other split, written with further columns); else no rows."""
     df = model_frame(spark, sf)
     model = mdl.fit(df.where(F.col("split") == "train"), LI_NUM, LABEL, QUERY_SPECS["GBT"])
-    return mdl.external_score(model, df.where(F.col("split") == "test"), LI_NUM, LABEL, 0.3)
+    path = shared_dir(spark, "second_cohort")
+    sink_table(df.where(F.col("split") == "test").select(
+        F.col("l_orderkey").alias("order_no"), *[F.col(c) for c in LI_NUM], LABEL,
+        F.lit("second").alias("site")), path)
+    cohort = scan.scan_if_exists(spark, path)
+    if cohort is None:  # nothing to validate on: no rows
+        return mdl.external_score(model, df.limit(0), LI_NUM, LABEL, icu.PREDICT_THRESHOLDS["readmission"])
+    return mdl.external_score(model, cohort, LI_NUM, LABEL, icu.PREDICT_THRESHOLDS["readmission"])
+
+
+@query("train_review")
+def q_train_review(spark, sf):
+    """The whole modelling plan: engineered features on lineitem columns in clinical roles, group
+    split, the three models with all rounds and trees, and every table of the review in one."""
+    from cohortix.plans.q_clean import _ROLE_MAP
+    from cohortix.plans.train import prepare, train_review
+
+    li = lineitem(spark, sf).select("l_orderkey", "l_linenumber", *[F.expr(e).cast("double").alias(k)
+                                                                   for k, e in _ROLE_MAP.items()],
+                                    (F.col("l_returnflag") == "R").cast("int").alias(LABEL))
+    flags = ["hypertension", "copd"]  # made from the label's column: they would give it away
+    feat, features = prepare(li, ["l_orderkey", "l_linenumber", LABEL, *flags, "comorbidity_count"], ["l_orderkey"])
+    rep = train_review(feat, [LABEL], features, list(QUERY_SPECS.values()), {LABEL: 0.5}, ["l_orderkey"],
+                       {LABEL: (0.5, "ABOVE CHANCE", "BELOW CHANCE")}, icu.CV_FOLDS,
+                       earlier={LABEL: {"chance": 0.5}}, shap_rows=icu.SHAP_ROWS, shap_top=icu.SHAP_TOP)
+
+    def long(table, name, df, *values):
+        return df.select(F.lit(table).alias("part"), name.alias("name"), F.inline(F.array(*[
+            F.struct(F.lit(v).alias("value_name"), F.col(v).cast("double").alias("value")) for v in values])))
+
+    model = F.col("model")
+    parts = [
+        long("test_metrics", model, rep.test_metrics, "accuracy", "precision", "recall", "f1", "roc_auc",
+             "average_precision", "brier"),
+        long("importances", F.concat_ws(":", "model", "feature"), rep.importances, "importance"),
+        long("calibration", F.concat_ws(":", "model", "bin"), rep.calibration, "mean_predicted", "fraction_positive"),
+        long("cv", F.lit("GBT"), rep.cv, "mean", "std"),
+        long("leakage", F.col("verdict"), rep.leakage, "auc_correct", "auc_leaky", "diff"),
+        long("benchmark", F.col("status"), rep.benchmark, "roc_auc"),
+        long("class_report", F.concat_ws(":", "model", "row"), rep.class_report, "precision", "recall", "f1"),
+        long("shap", F.col("feature"), rep.shap, "mean_abs_phi"),
+        long("comparison", model, rep.comparison, "roc_auc", "earlier", "gain"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _shap_frame(spark, sf):

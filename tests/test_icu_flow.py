@@ -95,7 +95,7 @@ def test_audit_with_icu_rules(cohort):
     assert res.readiness.first()["status"] == "NOT READY"
 
 
-def test_fix_then_train(cohort):
+def test_fix_then_train(cohort, spark, tmp_path):
     df, _ = cohort
     fixed = plans.fix(df, "stay_id", ["_ord"], icu.ROLES, icu.IMPOSSIBLE_BOUNDS, icu.CLINICAL_CAPS,
                       ["subject_id"], log_cols=list(icu.LOG_COLS), encode_col="gender").drop("_ord").cache()
@@ -119,9 +119,28 @@ def test_fix_then_train(cohort):
     specs = [models.ModelSpec("LR", "logistic", {"max_iter": 100}),
              models.ModelSpec("GBT", "boosted", {"n_estimators": 5, "max_depth": 3})]
     rep = train_review(feat, list(icu.LABEL_COLS), features, specs, icu.PREDICT_THRESHOLDS,
-                       ["subject_id"], icu.BENCHMARK_STATUS, cv_folds=3)
+                       ["subject_id"], icu.BENCHMARK_STATUS, cv_folds=3, grid={"n_estimators": [3, 6], "max_depth": [2]},
+                       n_iter=2, earlier=icu.PUBLISHED_V1_ROC_AUC, shap_rows=40, model_dir=str(tmp_path / "models"))
     tm = rep.test_metrics.collect()
-    assert {(r["target"], r["model"]) for r in tm} == {(t, m) for t in icu.LABEL_COLS for m in ("LR", "GBT")}
+    assert {(r["target"], r["model"]) for r in tm} == {
+        (t, m) for t in icu.LABEL_COLS for m in ("LR", "GBT", "GBT_tuned")}
     assert all(0.0 <= r["roc_auc"] <= 1.0 for r in tm)
     assert rep.cv.count() == 2 and rep.leakage.count() == 2
     assert {r["target"] for r in rep.benchmark.collect()} == set(icu.LABEL_COLS)
+    best = {r["target"]: r for r in rep.comparison.collect()}
+    for t in icu.LABEL_COLS:
+        top = max((r for r in tm if r["target"] == t), key=lambda r: r["roc_auc"])
+        assert best[t]["roc_auc"] == top["roc_auc"]
+        assert best[t]["earlier"] == icu.PUBLISHED_V1_ROC_AUC[t]["XGB_Tuned"]
+        assert best[t]["gain"] == pytest.approx(top["roc_auc"] - best[t]["earlier"])
+        rows = rep.class_report.where(F.col("target") == t).collect()
+        assert {r["row"] for r in rows} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+        assert {r["model"] for r in rows} == {best[t]["model"]}
+    assert {r["target"] for r in rep.shap.collect()} == set(icu.LABEL_COLS)
+    assert rep.shap.where("mean_abs_phi > 0").count() > 0
+    assert set(rep.saved) == {(t, m) for t in icu.LABEL_COLS for m in ("LR", "GBT", "GBT_tuned")}
+    from cohortix.operators import newton, trees
+
+    for (t, m), path in rep.saved.items():
+        again = newton.load(spark, path) if m == "LR" else trees.load(spark, path)
+        assert models.score(again, feat, ["stay_id"]).count() == feat.count()

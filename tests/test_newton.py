@@ -44,6 +44,16 @@ def test_certified_optimum(spark, parts):
     assert max(abs(one[i] - two[i]) for i in one) < 1e-4
 
 
+def test_saved_models_score_alike(spark, tmp_path):
+    df = table(spark)
+    (m,) = newton.fit(df, FEATURES, "y")
+    models.save(m, spark, str(tmp_path / "m"))
+    again = newton.load(spark, str(tmp_path / "m"))
+    assert again.features == m.features and again.rows == m.rows and again.gradient == m.gradient
+    rows = [newton.score(x, df, ["id"]).orderBy("id").collect() for x in (m, again)]
+    assert rows[0] == rows[1]
+
+
 def test_folds_equal_single_fits(spark):
     df = table(spark)
     many = newton.fit(df, FEATURES, "y", [0, 1, 2, None], "fold")
