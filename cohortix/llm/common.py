@@ -9,6 +9,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortix.session import ensure_checkpoint_dir
 
@@ -86,6 +87,13 @@ def running_sums(df: DataFrame, keys: list[str], bucket: str, order: list[Column
     )
 
 
+def integer_ids(df: DataFrame, col: str) -> None:
+    """Refuse ids that are no integers, where the operator's order is that of numbers."""
+    t = df.schema[col].dataType
+    if not isinstance(t, (T.IntegralType, T.NullType)):
+        raise TypeError(f"{col} must be an integer column, not {t.simpleString()}")
+
+
 def ready(df: DataFrame) -> DataFrame:
     """Let Python workers find this package where the driver has it (else they use an installed one)."""
     env = df.sparkSession.sparkContext.environment

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +50,7 @@ TOKEN = re.compile(
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+REST = re.compile(r"(?P<text>.+)(?P<raw>\b\B)?(?P<tag>\b\B)?", re.S)
 ATTR = re.compile(r"([\w:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 SPLIT_NAME = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
@@ -78,6 +80,9 @@ def lines(page: str) -> Iterator[tuple[str, int, bool, bool]]:
     """
     # tag, beside, link, article, heading - each with what is around it
     stack: list[tuple[str, bool, bool, bool, bool]] = []
+    # where each tag and the blocks are in the stack: no end tag searches it
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
     text: list[str] = []
     plain = 0
     state = (False, False, False, False)
@@ -89,10 +94,20 @@ def lines(page: str) -> Iterator[tuple[str, int, bool, bool]]:
         text, plain = [], 0
         return out
 
+    def close(at: int):
+        for tag, *_ in stack[at:]:
+            if tag:
+                places[tag].pop()
+        del stack[at:]
+        while blocks and blocks[-1] >= at:
+            blocks.pop()
+
     def now():
         return stack[-1][1:] if stack else (False, False, False, False)
 
-    for m in TOKEN.finditer(page):
+    # behind the last ">" there is no tag any more
+    end = page.rfind(">") + 1
+    for m in chain(TOKEN.finditer(page, 0, end), REST.finditer(page, end)):
         if m["text"] is not None:
             if not state[0]:
                 text.append(m["text"])
@@ -108,24 +123,27 @@ def lines(page: str) -> Iterator[tuple[str, int, bool, bool]]:
             elif tag == "br" and not state[0]:
                 text.append(" ")
             if m["end"]:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None:
+                if places.get(tag):
+                    at = places[tag][-1]
                     # an inline or misplaced end tag does not end the blocks around it
-                    if tag in BLOCK or not any(x[0] in BLOCK for x in stack[at + 1:]):
-                        del stack[at:]
+                    if tag in BLOCK or not blocks or blocks[-1] <= at:
+                        close(at)
                     else:
+                        places[tag].pop()
                         stack[at] = ("", *stack[at][1:])
             elif tag not in VOID and not m["attrs"].rstrip().endswith("/"):
                 if tag in BLOCK:
                     # an inline element that was never closed ends with its paragraph
-                    at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCK), -1)
-                    if at >= 0 and tag in ENDS.get(stack[at][0], ()):
-                        del stack[at:]
+                    if blocks and tag in ENDS.get(stack[blocks[-1]][0], ()):
+                        close(blocks[-1])
                 up = now()
                 out = up[0] or beside(tag, m["attrs"])
                 if out and not up[0]:
                     yield from flush()
                     yield "", 0, False, False
+                places.setdefault(tag, []).append(len(stack))
+                if tag in BLOCK:
+                    blocks.append(len(stack))
                 stack.append((tag, out, up[1] or tag == "a", up[2] or tag in ("article", "main"),
                               up[3] or tag in HEADINGS))
             was, state = state, now()

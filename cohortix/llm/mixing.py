@@ -90,14 +90,15 @@ def mix(df: DataFrame, block: int = 64, n_shards: int = 8, seed: int = 42, weigh
     """(documents with the words the mix takes of them, quotas by shard and source).
 
     The documents of a source, in a seeded order, form one stream of words,
-    cut into blocks of ``block`` words. The quota of a source is dealt to its
-    blocks from a seeded first block on, round after round, so every document
-    is taken ``max_repeat`` times at most and only the documents at the two
-    ends of the last round are taken in part.
+    cut into blocks of ``block`` words. The seats of a source go to its blocks
+    from a seeded first block on, round after round, each shard selecting the
+    blocks of its own seats, so every document is taken ``max_repeat`` times
+    at most and only the documents at the ends of a shard's run are cut.
 
     Documents: doc_id, source, size (words), source_size, target (double),
-    taken, rounds (how many rounds take a word of it), th (64-bit hash of the
-    text). Null text: size 0,
+    by_shard (shard, words: what each shard's quota selects of it), taken
+    (their sum), rounds (how many rounds take a word of it), th (64-bit hash
+    of the text). Null text: size 0,
     taken 0. Null source: a source of its own, weighed last. Repeated rows
     are documents of their own; rows that are equal in id and size are
     interchangeable. Empty table: no rows.
@@ -112,36 +113,49 @@ def mix(df: DataFrame, block: int = 64, n_shards: int = 8, seed: int = 42, weigh
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_src"),
         F.size(words(text_of(text_col))).cast("bigint").alias("size"),
         F.xxhash64(text_of(text_col)).alias("th"),
-        unit_hash(F.lit(seed), F.col(id_col)).alias("_h"))
+        unit_hash(F.lit(seed), F.col(id_col), F.md5(text_of(text_col))).alias("_h"))
     base = stored(base, "sizes")
     base = base.withColumn("_b", hash_bucket(F.col("_h"), size_buckets(base.count())))
     keys = ["_none", "_src"]
     targets = source_targets(base.groupBy(*keys).agg(F.sum("size").alias("source_size")), weights, total_share,
                              max_repeat)
     quotas = apportion(targets, block, n_shards, max_repeat)
-    held = quotas.groupBy(*keys).agg(F.sum("quota").alias("_q"), F.max("blocks").alias("_nb"))
+    held = quotas.groupBy(*keys).agg(F.max("blocks").alias("_nb"), F.sort_array(F.collect_list(F.struct(
+        "shard", F.col("first_seat").alias("a"), (F.col("first_seat") + F.col("quota")).alias("b")))).alias("_cuts"))
     per = targets.join(held, keys, "left").select(
-        *keys, "source_size", "target",
-        F.coalesce("_q", F.lit(0)).cast("bigint").alias("_q"), F.coalesce("_nb", F.lit(1)).alias("_nb"),
+        *keys, "source_size", "target", F.coalesce("_nb", F.lit(1)).alias("_nb"),
+        F.coalesce("_cuts", F.array().cast("array<struct<shard:int,a:bigint,b:bigint>>")).alias("_cuts"),
     ).withColumn(
         "_at", F.conv(F.substring(unit_hash(F.lit(seed), F.lit("first"), F.col("_src")), 1, 12), 16, 10).cast("bigint")
         % F.col("_nb"))
     x = running_sums(base, keys, "_b", [F.col("_h"), F.col("size"), F.col("th")], {"_from": "size"}, per_key=per)
     b = F.lit(int(block))
-    full = F.floor(F.col("_q") / F.col("_nb")).cast("bigint")
-    rest = F.col("_q") % F.col("_nb")
-    end = F.col("_at") + rest
 
     def within(lo, hi):
         """Words of the document between two places of the stream."""
         return F.greatest(F.lit(0), F.least(F.col("_from") + F.col("size"), hi) - F.greatest(F.col("_from"), lo))
 
-    last = (within(F.col("_at") * b, F.least(end, F.col("_nb")) * b)
-            + within(F.lit(0), F.greatest(end - F.col("_nb"), F.lit(0)) * b))
+    def rounds_and_rest(seats):
+        """Whole rounds of the first ``seats`` seats, and the document's words in the round after them."""
+        end = F.col("_at") + seats % F.col("_nb")
+        rest = (within(F.col("_at") * b, F.least(end, F.col("_nb")) * b)
+                + within(F.lit(0), F.greatest(end - F.col("_nb"), F.lit(0)) * b))
+        return F.floor(seats / F.col("_nb")).cast("bigint"), rest
+
+    def words_of(seats):
+        full, rest = rounds_and_rest(seats)
+        return (full * F.col("size") + rest).cast("bigint")
+
+    cuts = F.transform("_cuts", lambda c: F.struct(
+        c["shard"].alias("shard"), (words_of(c["b"]) - words_of(c["a"])).alias("words")))
+    x = x.withColumn("by_shard", F.filter(cuts, lambda c: c["words"] > 0))
+    seats = F.coalesce(F.get("_cuts", F.size("_cuts") - 1)["b"], F.lit(0).cast("bigint"))
+    full, last = rounds_and_rest(seats)
     rounds = F.when(F.col("size") > 0, full + (last > 0).cast("int")).otherwise(0)
     docs = x.select(
         "doc_id", "source", "size", "source_size", "target",
-        (full * F.col("size") + last).cast("bigint").alias("taken"), rounds.cast("int").alias("rounds"), "th")
+        F.aggregate("by_shard", F.lit(0).cast("bigint"), lambda t, c: t + c["words"]).alias("taken"),
+        rounds.cast("int").alias("rounds"), "by_shard", "th")
     named = quotas.select(F.when(~F.col("_none"), F.col("_src")).alias("source"), "shard", "quota", "first_seat")
     return docs, named
 
@@ -158,6 +172,5 @@ def mixed_rows(df: DataFrame, **options) -> DataFrame:
     x = df.select(F.struct(*df.columns).alias("row"), F.col(options.get("id_col", "doc_id")).alias("id"),
                   F.xxhash64(text_of(options.get("text_col", "text"))).alias("th"))
     x = x.join(often, x["id"].eqNullSafe(often["_id"]) & (x["th"] == often["_th"]))
-    same = Window.partitionBy("id", "th").orderBy("th")
-    x = x.withColumn("n", F.row_number().over(same)).where("n = 1")
+    x = x.dropDuplicates(["id", "th"])
     return x.select("row", F.explode(F.sequence(F.lit(1), F.col("often").cast("int"))).alias("n")).select("row.*")

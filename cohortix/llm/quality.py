@@ -13,6 +13,24 @@ CUTOFFS = {
     "dup_lines": [0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6],
     "repeats": [0.02, 0.05, 0.1, 0.15, 0.2, 0.25],
 }
+
+
+def tightenings() -> list[dict[str, float | None]]:
+    """The steps of the test, each a cutoff for every rule (None: not used yet).
+
+    From no rule at all, one rule a step is given its next stricter cutoff,
+    rule after rule; the order does not depend on any data.
+    """
+    now: dict[str, float | None] = dict.fromkeys(CUTOFFS)
+    out = []
+    for i in range(max(map(len, CUTOFFS.values()))):
+        for rule, cuts in CUTOFFS.items():
+            if i < len(cuts):
+                now = {**now, rule: cuts[-1 - i]}
+                out.append(now)
+    return out
+
+
 #: Value of each rule from the counts of :func:`text_counts`.
 VALUES = {
     "symbols": "n_symbols / greatest(word_chars, 1)",
@@ -98,45 +116,57 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(done)
 
 
+def above_cutoff(cuts: dict[str, Column]) -> Column:
+    """Does any rule reject the document? A rule without a cutoff (null) does not."""
+    out = F.lit(False)
+    for rule, cut in cuts.items():
+        out = out | F.coalesce(F.expr(VALUES[rule]) > cut, F.lit(False))
+    return out
+
+
 def certified_cutoffs(counts: DataFrame, labels: DataFrame, stratum: str, max_false_reject: float = 0.01,
                       level: float = 0.05) -> DataFrame:
-    """The strictest cutoff of each rule and stratum with a proven false-rejection rate.
-
-    For every stratum, rule and cutoff the exact binomial test on the labelled
-    good documents asks whether the share of them that the rule rejects is
-    below ``max_false_reject``; the p-values are held against ``level`` divided
-    by the number of all tests (Bonferroni over strata, rules and cutoffs).
-    Returns stratum, rule, cutoff, n_good, n_rejected, p_value for the
-    certified pairs. A pair without enough labelled documents is not in it.
-
-    Labels with a null id or quality do not count; a document labelled more
-    than once is good if all its labels are. The cutoffs have at most one row
-    per rule and stratum that holds over ln(1 / level) / ``max_false_reject``
-    labelled documents.
+    """The strictest cutoffs of each stratum whose joint verdict has a proven false-rejection rate.
+
+    Fixed-sequence test: for every stratum the steps of :func:`tightenings`
+    are taken in turn. At each the exact binomial test on the labelled good
+    documents asks whether the share of them that *any* rule rejects is below
+    ``max_false_reject``; the first step that does not pass ends the sequence,
+    so that no correction over steps is needed. Over strata the level is
+    divided (Bonferroni): with probability 1 - ``level`` no stratum rejects
+    more than ``max_false_reject`` of its good documents.
+
+    Returns stratum, step, n_good, n_rejected, p_value and a column per rule
+    with its cutoff (null: rejects nothing), one row per stratum that passes
+    a step; that takes over ln(1 / level) / ``max_false_reject`` labelled
+    documents, so the rows are few against the labels. Labels with a null id
+    or quality do not count; a document labelled more than once is good if
+    all its labels are.
     """
     good = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q")).where("_q = 1").select("_id")
     )
+    steps = tightenings()
     tested = counts.where(~base_failed()).select(
         F.col("doc_id").alias("_id"), F.col(stratum).alias("_stratum"),
-        *[F.expr(v).alias(f"_v_{r}") for r, v in VALUES.items()])
+        F.array(*[above_cutoff({r: F.lit(c).cast("double") for r, c in s.items()}) for s in steps]).alias("_r"))
     per = tested.join(good, "_id").groupBy("_stratum").agg(
         F.count(F.lit(1)).alias("n_good"),
-        *[F.count_if(F.col(f"_v_{r}") > c).alias(f"_n_{r}_{i}")
-          for r, cs in CUTOFFS.items() for i, c in enumerate(cs)])
+        *[F.count_if(F.col("_r")[i]).alias(f"_n_{i}") for i in range(len(steps))])
     tests = per.select("_stratum", "n_good", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"_n_{r}_{i}").alias("n_rejected"))
-        for r, cs in CUTOFFS.items() for i, c in enumerate(cs)])).alias("x")).select(
-            "_stratum", "n_good", "x.*")
-    strata = per.agg(F.count(F.lit(1)).alias("_strata"))
-    each = sum(len(c) for c in CUTOFFS.values())
-    passed = tests.withColumn(
+        F.struct(F.lit(i).alias("step"), F.col(f"_n_{i}").alias("n_rejected"),
+                 *[F.lit(c).cast("double").alias(r) for r, c in s.items()])
+        for i, s in enumerate(steps)])).alias("x")).select("_stratum", "n_good", "x.*")
+    strata = per.agg(F.count(F.lit(1)).alias("_strata"))  # one row
+    judged_ = tests.withColumn(
         "p_value", binomial_cdf(F.col("n_rejected"), F.col("n_good"), max_false_reject)
-    ).crossJoin(F.broadcast(strata)).where(F.col("p_value") * F.col("_strata") * each <= level)
-    return passed.groupBy("_stratum", "rule").agg(F.min_by(
-        F.struct("cutoff", "n_good", "n_rejected", "p_value"), "cutoff").alias("x")).select(
-            F.col("_stratum").alias("stratum"), "rule", "x.*")
+    ).crossJoin(F.broadcast(strata)).withColumn("_ok", F.col("p_value") * F.col("_strata") <= level)
+    ends = judged_.groupBy("_stratum").agg(F.min(F.when(~F.col("_ok"), F.col("step"))).alias("_end"))
+    passed = judged_.join(ends, "_stratum").where(F.col("_end").isNull() | (F.col("step") < F.col("_end")))
+    return passed.groupBy("_stratum").agg(F.max_by(
+        F.struct("step", "n_good", "n_rejected", "p_value", *CUTOFFS), "step").alias("x")).select(
+            F.col("_stratum").alias("stratum"), "x.*")
 
 
 def cutoffs(df: DataFrame, labels: DataFrame, stratum_col: str = "lang", max_false_reject: float = 0.01,
@@ -144,9 +174,9 @@ def cutoffs(df: DataFrame, labels: DataFrame, stratum_col: str = "lang", max_fal
     """(stored counts of all documents with ``stratum``, certified cutoffs: one row per stratum)."""
     counts = stored(text_counts(with_stratum(df.select("doc_id", "text", stratum_col), stratum_col), keep=("_stratum",)).withColumnRenamed(
         "_stratum", "stratum"), "counts")
-    cut = certified_cutoffs(counts, labels, "stratum", max_false_reject, level).groupBy("stratum").pivot(
-        "rule", list(VALUES)).agg(F.first("cutoff"))
-    return counts, cut.select("stratum", *[F.col(r).alias(f"_c_{r}") for r in VALUES])
+    cut = certified_cutoffs(counts, labels, "stratum", max_false_reject, level)
+    # the file's size decides whether a join ships it
+    return counts, stored(cut.select("stratum", *[F.col(r).alias(f"_c_{r}") for r in VALUES]), "cutoffs")
 
 
 def with_stratum(df: DataFrame, stratum_col: str) -> DataFrame:
@@ -156,10 +186,8 @@ def with_stratum(df: DataFrame, stratum_col: str) -> DataFrame:
 
 def judged(counts: DataFrame, cut: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to counts with ``stratum``."""
-    above = F.lit(False)
-    for r, v in VALUES.items():
-        above = above | F.coalesce(F.expr(v) > F.col(f"_c_{r}"), F.lit(False))
-    return counts.join(F.broadcast(cut), "stratum", "left").withColumn("base_failed", base_failed()).withColumn(
+    above = above_cutoff({r: F.col(f"_c_{r}") for r in VALUES})
+    return counts.join(cut, "stratum", "left").withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & ~above).drop(*cut.columns[1:])
 
 
@@ -169,12 +197,12 @@ def quality_verdicts(df: DataFrame, labels: DataFrame, stratum_col: str = "lang"
 
     A document is kept if it passes the base rules (20 words or more; at most
     30 % of the words in repeated 8-word windows) and no certified cutoff of
-    its stratum rejects it. Strata are the values of ``stratum_col``, null
+    its stratum rejects it; the certificate is for that joint verdict (:func:`certified_cutoffs`). Strata are the values of ``stratum_col``, null
     being one. No rows in: no rows out; without labels only the base rules act.
 
     Scale: one pass over the texts writes the narrow counts; labels meet the
-    counts, not the texts; the certified cutoffs (few rows per stratum, each
-    stratum backed by hundreds of labels) are broadcast.
+    counts, not the texts; the certified cutoffs (a row per stratum backed by
+    hundreds of labels) are a stored table, which Spark ships if it is small.
     """
     counts, cut = cutoffs(df, labels, stratum_col, max_false_reject, level)
     return judged(counts, cut)

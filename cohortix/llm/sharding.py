@@ -21,8 +21,8 @@ def interleave(df: DataFrame, n_shards: int, seed: int = 42, id_col: str = "doc_
     (gapless from 0 in each shard), position (in the whole order).
 
     Null text: no bytes, crc32 of the empty text. Null source: a source of
-    its own, after the others. Null or repeated ids: tied rows are ordered by
-    text checksum and size; equal rows are interchangeable. Empty table: no
+    its own, after the others. The seeded order takes id and text, so rows
+    with null or repeated ids spread like others; equal rows are interchangeable. Empty table: no
     rows. Other columns are not read.
 
     Scale: both rankings run inside buckets of about sqrt(n) rows, so neither
@@ -38,7 +38,7 @@ def interleave(df: DataFrame, n_shards: int, seed: int = 42, id_col: str = "doc_
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_src"),
         (F.octet_length(text_of(text_col)) + 8).cast("bigint").alias("size"),
         F.crc32(text_of(text_col)).alias("text_crc32"),
-        unit_hash(F.lit(seed), F.col(id_col)).alias("_h"),
+        unit_hash(F.lit(seed), F.col(id_col), F.md5(text_of(text_col))).alias("_h"),
         F.lit(1).alias("_one"),
     ).withColumn("_b", hash_bucket(F.col("_h"), buckets))
     ties = [F.col("_h"), F.col("text_crc32"), F.col("size")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality import CUTOFFS, VALUES
+from .quality import VALUES, tightenings
 from .spotsigs import ANCHORS
 
 #: The words of a text, as in :data:`.common.WORD`.
@@ -41,14 +41,14 @@ WITH RECURSIVE steps(i, k, c) AS (
   SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
 crc AS (SELECT list(c ORDER BY i) AS l FROM steps WHERE k = 8),
 bytes AS (
-  SELECT row_number() OVER () AS r, doc_id, source,
+  SELECT row_number() OVER () AS r, doc_id, source, md5(coalesce(text, '')) AS th,
     list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b
   FROM documents),
 d AS (
   SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS src, len(b) + 8 AS size,
     xor(list_reduce(list_prepend(4294967295::BIGINT, b),
       lambda a, x: xor(a >> 8, l[(xor(a, x) & 255) + 1])), 4294967295) AS crc,
-    md5('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+    md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || th) AS h
   FROM bytes, crc),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY none, src ORDER BY h, crc, size) - 1 AS rank,
@@ -60,9 +60,12 @@ SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (
 FROM dealt
 """
 
-_TESTS = ", ".join(f"('{r}', {c})" for r, cs in CUTOFFS.items() for c in cs)
 _VALUE = {r: v.replace(" /", "::DOUBLE /") for r, v in VALUES.items()}
-_CASE = "CASE rule " + " ".join(f"WHEN '{r}' THEN {v}" for r, v in _VALUE.items()) + " END"
+_STEPS = ", ".join("(" + ", ".join([str(i), *("NULL" if c is None else f"{c}::DOUBLE" for c in s.values())]) + ")"
+                   for i, s in enumerate(tightenings()))
+_ABOVE = "(" + " OR ".join(f"coalesce({v} > c_{r}, false)" for r, v in _VALUE.items()) + ")"
+_CUTS = ", ".join(f"c_{r}" for r in VALUES)
+
 OP4 = f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '(none)') AS stratum, coalesce(text, '') AS t,
@@ -78,15 +81,20 @@ c AS (
         FROM d) LEFT JOIN rep USING (r)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+steps AS (SELECT * FROM (VALUES {_STEPS}) AS v(step, {_CUTS})),
 tests AS (
-  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER ({_CASE} > cutoff) AS k
-  FROM f JOIN good USING (doc_id), (VALUES {_TESTS}) AS v(rule, cutoff) WHERE NOT base_failed GROUP BY ALL),
+  SELECT stratum, step, {_CUTS}, count(*) AS n, count(*) FILTER ({_ABOVE}) AS k
+  FROM f JOIN good USING (doc_id), steps WHERE NOT base_failed GROUP BY ALL),
 p AS (
-  SELECT *, count(*) OVER () AS m, CASE WHEN k >= 0.01 * n THEN 1.0 ELSE list_sum(list_transform(range(k + 1), lambda i:
+  SELECT *, CASE WHEN k >= 0.01 * n THEN 1.0 ELSE list_sum(list_transform(range(k + 1), lambda i:
     exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01::DOUBLE) + (n - i) * ln(0.99::DOUBLE)))) END AS pv
   FROM tests),
-cut AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM p WHERE pv * m <= 0.05 GROUP BY ALL),
-bad AS (SELECT DISTINCT r FROM f JOIN cut USING (stratum) WHERE {_CASE} > cutoff)
+ends AS (
+  SELECT stratum, min(step) FILTER (pv * (SELECT count(DISTINCT stratum) FROM tests) > 0.05) AS stop FROM p GROUP BY stratum),
+cut AS (
+  SELECT stratum, {_CUTS} FROM p JOIN ends USING (stratum) WHERE stop IS NULL OR step < stop
+  QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY step DESC) = 1),
+bad AS (SELECT r FROM f JOIN cut USING (stratum) WHERE {_ABOVE})
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND bad.r IS NULL AS kept
@@ -96,7 +104,7 @@ FROM f LEFT JOIN bad ON f.r = bad.r
 OP6 = f"""
 WITH d AS (
   SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS src, len({_WORDS}) AS size,
-    md5('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS h FROM documents),
 s AS (
   SELECT *, row_number() OVER (ORDER BY none, src) - 1 AS i FROM (
     SELECT none, src, sum(size)::BIGINT AS n FROM d GROUP BY none, src)),
@@ -147,8 +155,8 @@ FROM d LEFT JOIN stay USING (r)
 OP10 = f"""
 WITH d AS (
   SELECT doc_id, t, n, n // 4 AS k, coalesce(
-    lead(t) OVER (ORDER BY doc_id NULLS LAST, t), first(t) OVER (ORDER BY doc_id NULLS LAST, t)) AS nx,
-    row_number() OVER (ORDER BY doc_id NULLS LAST, t) AS r
+    lead(t) OVER (ORDER BY doc_id NULLS LAST, md5(t)), first(t) OVER (ORDER BY doc_id NULLS LAST, md5(t))) AS nx,
+    row_number() OVER (ORDER BY doc_id NULLS LAST, md5(t)) AS r
   FROM (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents)),
 e AS (SELECT *, substr(t, 1, n - k) || substr(nx, 1, k) AS edited FROM d),
 two AS (SELECT r, 0 AS v, t AS x FROM e UNION ALL SELECT r, 1, edited FROM e),

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortix.llm import langid, mixing, quality, queries, sharding, spotsigs
+from cohortix.llm import html_extract, langid, mixing, quality, queries, sharding, spotsigs
 from cohortix.llm.html_extract import extract
 
 from .conftest import SF
@@ -62,6 +62,57 @@ def test_linked_headline_and_blocks_without_an_article_element():
         "Title", "By someone", f"{p} {p}", "See a link that is most of its block", "Linked section", p]
 
 
+def by_hand(rows, window=3, surge=80):
+    """The line-block rule of a page without an article element, by loops over every window."""
+    n = len(rows)
+    size = [r[1] for r in rows]
+    total = [sum(size[k] for k in range(i, min(n, i + window))) for i in range(n)]
+    runs, i = [], 0
+    while i < n:
+        if size[i] == 0:
+            i += 1
+            continue
+        j = i
+        while j < n and total[j] > 0:
+            j += 1
+        first = i
+        for k in range(i - 1, max(runs[-1][1] if runs else 0, i - window + 1) - 1, -1):
+            if rows[k][3] and rows[k][0]:
+                first = k
+        runs.append((first, j, max(total[i:j]), sum(size[first:j])))
+        i = j
+    high = [r for r in runs if r[2] >= surge]
+    if not high and runs:
+        most = max(r[3] for r in runs)
+        high = [next(r for r in runs if r[3] == most)]
+    return [rows[k][0] for r in high for k in range(r[0], r[1]) if rows[k][0]]
+
+
+def test_line_blocks_equal_a_plain_loop():
+    rng = random.Random(12)
+    for _ in range(400):
+        parts = []
+        for _ in range(rng.randint(0, 25)):
+            words = "word " * rng.choice([1, 2, 5, 20])
+            parts.append(rng.choice([
+                f"<p>{words}</p>", f"<div>{words}</div>", f"<p><a href=x>{words}</a></p>", "<p></p>", "<nav>menu</nav>",
+                f"<h2><a href=y>{words}</a></h2>", f"<h3>{words}</h3>", f"<li>{words}<a>{words}</a></li>",
+                '<div class="ad">buy</div>', "<br>", "<hr>", f"{words}"]))
+        page = "".join(parts)
+        assert html_extract.main_blocks(page) == by_hand(list(html_extract.lines(page)))
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    for bad in ("<b>x</i>", "<b><div>x</div>", "<p><b>x</p>", "<a<", "</div></b>", "<a 'x", "<li><b>y</p>"):
+        page = bad * (1_000_000 // len(bad))
+        t = time.perf_counter()
+        list(html_extract.lines(page))
+        took = time.perf_counter() - t
+        assert took < 5, (bad, took)
+
+
 def test_pages_hold_their_article(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in queries.op5_line_blocks(spark, SF).collect():
@@ -74,7 +125,9 @@ def test_pages_hold_their_article(spark):
 def test_automaton_takes_exactly_the_substrings():
     rng = np.random.default_rng(1)
     s = rng.integers(0, 3, 60)
-    table = langid.suffix_automaton(s, 3).reshape(-1, 3)
+    n, state, code, to = langid.suffix_automaton(s)
+    table = np.zeros((n, 3), int)
+    table[state, code] = to
     known = {tuple(s[i:j]) for i in range(60) for j in range(i + 1, 61)}
     for n in range(1, 7):
         for x in rng.integers(0, 3, (100, n)):
@@ -84,8 +137,10 @@ def test_automaton_takes_exactly_the_substrings():
             assert (state > 0) == (tuple(x) in known)
 
 
-def test_phrases_match_greedy_parsing(monkeypatch):
+@pytest.mark.parametrize("dense", [langid.DENSE, 0])
+def test_phrases_match_greedy_parsing(monkeypatch, dense):
     monkeypatch.setattr(langid, "PIECE", 16)
+    monkeypatch.setattr(langid, "DENSE", dense)
     rng = random.Random(2)
     make = lambda a, n: "".join(rng.choice(a) for _ in range(n))
     train = [("a", make("abc ", 90)), ("b", make("bcd ", 90))]
@@ -106,6 +161,34 @@ def test_phrases_match_greedy_parsing(monkeypatch):
             assert got[i, k] == n
 
 
+def test_large_alphabets_and_many_languages():
+    """3,000 signs and 50 languages: the automata stay far below 300 MB, and the right one wins."""
+    rng = random.Random(9)
+    signs = [chr(0x4E00 + i) for i in range(3000)]
+    train = [("zh", " ".join("".join(rng.choice(signs) for _ in range(7)) for _ in range(5000)))]
+    alphabet = "abcdefghijklmnopqrstuvwxyzäöüßéèñçøåæ"
+    for k in range(49):
+        own = rng.sample(alphabet, 14)
+        train.append((f"l{k:02d}", " ".join("".join(rng.choice(own) for _ in range(6)) for _ in range(1500))))
+    parser = langid.Parser(train)
+    assert isinstance(parser.moves, langid.Hashed)
+    assert sum(x.nbytes for x in (parser.moves.state, parser.moves.code, parser.moves.to)) < 150e6
+    for lang, text in train[:6]:
+        assert parser.predict([text[100:400]])[0][0] == lang
+
+
+def test_cut_texts_hold_the_shares(spark):
+    rng = random.Random(3)
+    for lens in ([5, 5, 5], [100, 2, 40, 7, 60], [50] * 9, [1000], [0, 3, 1000, 1000], list(range(60))):
+        texts = ["".join(rng.choice("abc") for _ in range(n)) for n in lens]
+        df = spark.createDataFrame([("x", i / 100, t) for i, t in enumerate(texts)], "lang string, rank double, text string")
+        cut = {r["rank"]: r["text"] for r in langid.cut_to_shares(df, 101).collect()}
+        got = [cut[i / 100] for i in range(len(texts))]
+        one, two = langid.shares(got, 101), langid.shares(texts, 101)  # a letter of the rest may go to another text
+        assert sum(map(len, one)) == sum(map(len, two)) and all(abs(len(a) - len(b)) <= 1 for a, b in zip(one, two))
+        assert sum(map(len, got)) <= 101 + 2 * len(got)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
@@ -186,6 +269,45 @@ def test_mix_comes_near_its_targets(docs):
     assert max(per) - min(per) <= 1
 
 
+def test_every_shard_takes_the_words_of_its_seats(docs):
+    """By a loop over all seats of a source: block after block of its stream, shard after shard."""
+    x, quotas = mixing.mix(docs, block=16, n_shards=5)
+    rows = x.collect()
+    seats = {}
+    for r in sorted(quotas.collect(), key=lambda r: r["first_seat"]):
+        seats.setdefault(r["source"], []).extend([r["shard"]] * r["quota"])
+    got = {}
+    for r in rows:
+        assert sum(c["words"] for c in r["by_shard"]) == r["taken"] <= 2 * r["size"]
+        for c in r["by_shard"]:
+            got[r["source"], c["shard"]] = got.get((r["source"], c["shard"]), 0) + c["words"]
+    assert any(len(r["by_shard"]) > 1 for r in rows)
+    for source, shards in seats.items():
+        mine = [r for r in rows if r["source"] == source]
+        n = sum(r["size"] for r in mine)
+        blocks = -(-n // 16)
+        short = 16 * blocks - n  # the last block may be shorter
+        for j in set(shards):
+            k = shards.count(j)
+            assert 16 * k - short * -(-k // blocks) <= got[source, j] <= 16 * k
+
+
+def test_rows_without_ids_spread_over_buckets(spark, monkeypatch):
+    """A third of the rows have no id: their order takes the text, so no bucket holds them all."""
+    from cohortix.llm import common
+
+    monkeypatch.setattr(sharding, "size_buckets", lambda n: 20)
+    made = []
+    real = common.hash_bucket
+    monkeypatch.setattr(sharding, "hash_bucket", lambda h, n: made.append(real(h, n)) or made[-1])
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) doc_id", "concat('text ', id) text", "'s' source")
+    out = sharding.interleave(df, 4)
+    assert out.count() == 3000 and out.groupBy("shard").count().where("count = 750").count() == 4
+    h = common.unit_hash(F.lit(42), F.col("doc_id"), F.md5("text"))
+    per = [r["count"] for r in df.groupBy(real(h, 20).alias("b")).count().collect()]
+    assert len(per) == 20 and max(per) < 250 and made
+
+
 def test_repeated_windows_match_brute_force(spark):
     rng = random.Random(4)
     texts = ["", "a b", "w " * 30] + [" ".join(rng.choice("ab") for _ in range(rng.randint(5, 200))) for _ in range(30)]
@@ -223,6 +345,36 @@ def test_cutoffs_bound_the_false_rejections(spark):
     assert all(out[3000 + i] for i in range(50))  # too few labels to reject anything there
 
 
+def test_the_joint_verdict_is_certified(spark):
+    """Three rules that each reject another 0.8 % of the good documents: together at most 1 % may go."""
+    def words(i, n=40):
+        return [f"w{i}x{j}" for j in range(n)]
+
+    rows = []
+    for i in range(6000):
+        w = words(i)
+        if i % 125 == 0:
+            t = " ".join(w) + "#" * 200
+        elif i % 125 == 1:
+            t = "\n".join([" ".join(w[:12])] * 4 + [" ".join(w[12:])])
+        elif i % 125 == 2:
+            t = " ".join(w[:8] + w + w[:8])
+        else:
+            t = " ".join(w)
+        rows.append((i, t, "en"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = df.selectExpr("doc_id", "1 quality")
+    counts, _ = quality.cutoffs(df, labels)
+    cut = quality.certified_cutoffs(counts, labels, "stratum").collect()
+    assert len(cut) == 1 and cut[0]["p_value"] <= 0.05
+    out = quality.quality_verdicts(df, labels).collect()
+    gone = sum(not r["kept"] and not r["base_failed"] for r in out)
+    assert 0 < gone <= 60 and gone == cut[0]["n_rejected"]
+    steps = quality.tightenings()
+    assert steps[0] == {"symbols": 0.5, "dup_lines": None, "repeats": None} and len(steps) == 20
+    assert steps[-1] == {r: c[0] for r, c in quality.CUTOFFS.items()}
+
+
 def test_next_document_over_all_buckets(spark, monkeypatch):
     monkeypatch.setattr(spotsigs, "size_buckets", lambda n: max(1, n // 3))
     ids = [*range(0, 40), 10 ** 15, 10 ** 15 + 1, -5, 2 ** 62]
