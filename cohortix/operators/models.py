@@ -377,19 +377,25 @@ def run_compare(baseline: DataFrame, new: DataFrame, keys: Sequence[str], value:
 def scaling_leakage(df: DataFrame, features, label, split_col: str, spec: ModelSpec,
                     tolerance: float = 0.005, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Test AUC with the scaler fitted on train only vs on all rows."""
+    from concurrent.futures import ThreadPoolExecutor
+
     train, test = df.where(F.col(split_col) == "train"), df.where(F.col(split_col) == "test")
-    scored = None
-    for variant, src in (("correct", train), ("leaky", df)):  # all rows: what the comparison is about
+
+    def variant(item) -> DataFrame:
+        name, src = item
         scaler = fit_scaler(src, features)
         if is_trees(spec):
-            z = scaled_names(features)
-            model = fit(scaler.transform(train), z, label, spec, fit_rows=fit_rows)
+            model = fit(scaler.transform(train), scaled_names(features), label, spec, fit_rows=fit_rows)
             part = score(model, scaler.transform(test), [label])
         else:
             model = _fit_scaled(with_balanced_weight(train, label), features, label, spec, scaler)
             part = score(model, test, [label])
-        part = part.withColumn("variant", F.lit(variant))
-        scored = part if scored is None else scored.unionByName(part)
+        return part.withColumn("variant", F.lit(name))
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        # "leaky" scales by all rows: what the comparison is about
+        one, two = pool.map(variant, (("correct", train), ("leaky", df)))
+    scored = one.unionByName(two)
     auc = M.roc_auc(scored, label, SCORE, by=["variant"])
     piv = auc.groupBy().pivot("variant", ["correct", "leaky"]).agg(F.first("roc_auc"))
     return piv.select(
