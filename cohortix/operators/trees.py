@@ -548,6 +548,8 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, fits: Sequence[
             work.append((i, range(n)))
         else:
             work += [(i, range(a, min(a + GROUP, n))) for a in range(0, n, GROUP)]
+    # the longest fits first, so that no core is left with one at the end
+    work.sort(key=lambda w: -float(fits[w[0]].params.get("n_estimators", 100)) * float(fits[w[0]].params.get("max_depth", 6)))
 
     def run(batches):
         x, y, rid, folds = data.value
