@@ -19,7 +19,7 @@ NONE = np.int32(2 ** 31 - 1)
 #: Pre-tokens up to so many bytes are merged side by side, longer ones one by one.
 SIDE_BY_SIDE = 64
 #: Pre-tokens that a worker remembers.
-CACHE = 400_000
+CACHE = 200_000
 #: New pre-tokens that are merged at once.
 AT_ONCE = 16_384
 
@@ -227,12 +227,13 @@ def _mapped(df: DataFrame, path: str, text_col: str, keep: list[str], schema: st
     def run(batches):
         bpe = worker_bpe(spec)
         for b in batches:  # Arrow, not pandas: null ids stay integers
-            texts = b.column("_text").to_pylist()
-            made = []
-            for part in chunks(texts):
-                made += [row(bpe, t, ids) for t, ids in zip(part, bpe.encode(part))]
-            cols = [pa.array([m[i] for m in made], t) for i, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + cols, names=[*keep, *names])
+            lo = 0
+            for part in chunks(b.column("_text").to_pylist()):  # what goes back at once is a part's
+                made = [row(bpe, t, ids) for t, ids in zip(part, bpe.encode(part))]
+                cols = [pa.array([m[i] for m in made], t) for i, t in enumerate(types)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(c).slice(lo, len(part)) for c in keep] + cols, names=[*keep, *names])
+                lo += len(part)
 
     names, types = zip(*[(x.split()[0], ARROW[x.split()[1]]) for x in schema.split(", ")])
     src = ready(df).select(*[F.col(c) for c in keep], text_of(text_col).alias("_text"))
@@ -277,6 +278,10 @@ def _round_trip(bpe: SegmentBpe, text: str, ids: list[int]) -> tuple[int, str, s
 def digests(df: DataFrame, path: str, text_col: str = "text", keep: list[str] = ("doc_id",),
             with_ids: bool = False) -> DataFrame:
     """Encode and decode every whole text in one pass: n_tokens, ids_sha256 (decimal
-    ids joined by commas), decoded_sha256 (UTF-8) and, if asked for, the ids."""
+    ids joined by commas), decoded_sha256 (UTF-8) and, if asked for, the ids.
+
+    Nulls, ties, repeated rows, empty tables and further columns as in
+    :func:`encode_documents`: a null text is the empty one, with no ids.
+    """
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return _mapped(df, path, text_col, list(keep), schema, _round_trip)

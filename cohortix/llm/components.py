@@ -11,6 +11,9 @@ from .common import stored
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) for every node of the edges; the root is the component's least node.
 
+    Edges with a null end and loops are left out, repeated edges count once;
+    no edges: no rows.
+
     Large-star and small-star steps in turn: each moves the edges of a node to
     its least neighbour, so the diameter halves and hubs do not grow. Edges
     stay in shared tables between rounds; a round is two joins and two

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, ready, stored, text_of
+from .common import WORD, ready, stored, text_of, worker_state
 from .components import components
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -26,6 +26,8 @@ SKETCH_BLOCK, SET_BLOCK = 1024, 512
 #: One-byte minima in a sketch; a pair goes on if its estimate is within 4.4 deviations of the threshold.
 SKETCH = 64
 WORDS_KEPT = 300_000
+#: Documents whose sets and paths a task holds at once.
+AT_ONCE = 512
 _WORD = re.compile(WORD)
 _U = np.uint64
 
@@ -87,30 +89,37 @@ class Shingler:
             new.append(mix(h[p, t] + at[p]))
         return np.concatenate(parent), np.concatenate(new)
 
-    def chains(self, s: np.ndarray) -> list[dict[str, int | None]]:
-        """Root-to-leaf paths of all runs: tokens of level 1, 2 and 3 (None: no token sampled)."""
-        level, rows = self.roots, [()] * len(self.roots)
-        done: list[tuple[int, ...]] = []
+    def chains(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Root-to-leaf paths of all runs: their tokens of level 1, 2 and 3, and how many levels each has."""
+        level, paths = self.roots, np.zeros((len(self.roots), DEPTH), np.int64)
+        done, ends = [], []
         for depth in range(DEPTH):
-            if not len(level):
-                break
-            parent, new = self.choose(s, level)
-            if depth:
-                has = set(parent.tolist())
-                done += [rows[i] for i in range(len(rows)) if i not in has]
-            rows = [rows[p] + (x,) for p, x in zip(parent.tolist(), new.view(np.int64).tolist())]
+            parent, new = self.choose(s, level) if len(level) else (np.zeros(0, np.int64), level)
+            if depth:  # paths without a sampled token end here
+                has = np.zeros(len(paths), bool)
+                has[parent] = True
+                done.append(paths[~has])
+                ends.append(np.full(len(done[-1]), depth))
+            paths = paths[parent]
+            paths[:, depth] = new.view(np.int64)
             level = new
-        done += rows
-        return [dict(zip("abc", r + (None,) * (DEPTH - len(r)))) for r in done]
+        return np.concatenate([*done, paths]), np.concatenate([*ends, np.full(len(paths), DEPTH)])
 
 
-_workers: dict[tuple, Shingler] = {}
+def chain_arrays(chains: list[tuple[np.ndarray, np.ndarray] | None]) -> pa.Array:
+    """Paths of many sets as one Arrow list array over flat numbers (null for no set)."""
+    there = [c for c in chains if c is not None]
+    size = [len(c[1]) if c is not None else 0 for c in chains]
+    paths = np.concatenate([c[0] for c in there]) if there else np.zeros((0, DEPTH), np.int64)
+    ends = np.concatenate([c[1] for c in there]) if there else np.zeros(0, np.int64)
+    levels = [pa.array(paths[:, i], pa.int64(), mask=ends <= i) for i in range(DEPTH)]
+    flat = pa.StructArray.from_arrays(levels, names=list("abc"[:DEPTH]))
+    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array([c is None for c in chains], pa.bool_()))
 
 
 def shingler(*key) -> Shingler:
-    if key not in _workers:
-        _workers[key] = Shingler(*key)
-    return _workers[key]
+    return worker_state("shingles", key, make=lambda: Shingler(*key))
 
 
 def class_of(s: np.ndarray) -> bytes | None:
@@ -122,22 +131,31 @@ def runs_of(batches, keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
     """Groups of equal ``keys`` from sorted Arrow batches, one group in memory at a time."""
     key, rows = None, []
     for b in batches:
-        for r in b.to_pylist():
-            k = tuple(r[c] for c in keys)
-            if k != key:
-                if rows:
-                    yield key, rows
-                key, rows = k, []
-            rows.append(r)
+        for lo in range(0, b.num_rows, AT_ONCE):
+            for r in b.slice(lo, AT_ONCE).to_pylist():
+                k = tuple(r[c] for c in keys)
+                if k != key:
+                    if rows:
+                        yield key, rows
+                    key, rows = k, []
+                rows.append(r)
     if rows:
         yield key, rows
 
 
+def slices(n: int, rows: int = 128) -> Iterator[slice]:
+    """Rows of an n x n comparison that are in memory as numbers at once."""
+    return (slice(lo, lo + rows) for lo in range(0, n, rows))
+
+
 def forest(links: np.ndarray) -> np.ndarray:
     """Least member that each member of a symmetric link matrix reaches."""
-    root = np.arange(len(links))
+    m = len(links)
+    root = np.arange(m, dtype=np.int32)
     while True:
-        low = np.where(links, root[None, :], len(root)).min(1, initial=len(root))
+        low = np.empty(m, np.int32)
+        for s in slices(m):
+            low[s] = np.where(links[s], root[None, :], np.int32(m)).min(1, initial=m)
         new = np.minimum(root, low)
         new = new[new]
         if (new == root).all():
@@ -160,12 +178,12 @@ def in_blocks(df: DataFrame, key: list[str], count: str, block: int, name: str)
         *[c for c in df.columns], "at", F.col("_p.lo").alias("lo"), F.col("_p.hi").alias("hi"))
 
 
-def _cross(rows: list[dict], key: tuple) -> np.ndarray:
-    """Which pairs this task compares: all in one block, only those across two."""
+def _cross(rows: list[dict], key: tuple, s: slice) -> np.ndarray:
+    """Which pairs of these rows this task compares: all in one block, only those across two."""
     at = np.array([r["at"] for r in rows])
     if key[-2] == key[-1]:
-        return np.ones((len(rows), len(rows)), bool)
-    return at[:, None] != at[None, :]
+        return np.ones((len(at[s]), len(rows)), bool)
+    return at[s, None] != at[None, :]
 
 
 def _unique(rows: list[dict], name: str) -> list[dict]:
@@ -183,10 +201,9 @@ def candidate_edges(batches, threshold: float):
         sk = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(len(rows), SKETCH)
         n = np.array([r["n"] for r in rows], float)
         links = np.zeros((len(rows), len(rows)), bool)
-        for lo in range(0, len(rows), 32):
-            links[lo:lo + 32] = (sk[lo:lo + 32, None, :] == sk[None, :, :]).sum(2) >= cut
-        links &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :])
-        links &= _cross(rows, key)
+        for s in slices(len(rows), 32):
+            links[s] = ((sk[s, None, :] == sk[None, :, :]).sum(2, dtype=np.uint8) >= cut) & _cross(rows, key, s) & (
+                np.minimum(n[s, None], n[None, :]) >= threshold * np.maximum(n[s, None], n[None, :]))
         root = forest(links)
         out += [(rows[i]["id"], rows[r]["id"]) for i, r in enumerate(root.tolist()) if r != i]
         if len(out) > 50_000:
@@ -211,8 +228,8 @@ def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
     owner, place = owner[order], place[order]
     out = np.zeros((m, m), np.float32)
     names = np.unique(place)
-    for lo in range(0, len(names), 4096):
-        part = names[lo:lo + 4096]
+    for lo in range(0, len(names), 1024):
+        part = names[lo:lo + 1024]
         a, b = np.searchsorted(place, part[0]), np.searchsorted(place, part[-1], "right")
         x = np.zeros((m, len(part)), np.float32)
         x[owner[a:b], np.searchsorted(part, place[a:b])] = 1
@@ -227,15 +244,18 @@ def exact_links(batches, threshold: float):
         rows = _unique(rows, "cls")
         sets = [np.frombuffer(r["set"], np.uint64) for r in rows]
         n = np.array([len(s) for s in sets], float)
-        both = shared_sizes(sets).astype(float)
-        links = both / (n[:, None] + n[None, :] - both) >= threshold
-        np.fill_diagonal(links, False)
-        links &= _cross(rows, key)
+        both = shared_sizes(sets)
         copies = np.array([r["copies"] for r in rows], np.int64)
+        links, count = np.zeros(both.shape, bool), np.zeros(len(rows), np.int64)
+        for s in slices(len(rows)):
+            shared = both[s].astype(float)
+            links[s] = (shared / (n[s, None] + n[None, :] - shared) >= threshold) & _cross(rows, key, s)
+            links[s][np.arange(len(shared)), np.arange(len(rows))[s]] = False
+            count[s] = links[s] @ copies
         root = forest(links)
         yield pa.RecordBatch.from_arrays([
             pa.array([r["cls"] for r in rows], pa.binary()),
-            pa.array(links.astype(np.int64) @ copies, pa.int64()),
+            pa.array(count, pa.int64()),
             pa.array([rows[i]["cls"] for i in root.tolist()], pa.binary()),
             pa.array([r["large"] for r in rows], pa.bool_())], names=["cls", "links", "root", "large"])
 
@@ -287,16 +307,18 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def named(batches):
         sh = shingler(*args)
-        for b in batches:
-            rows = []
-            for t in b.column("text"):
-                s = sh.shingles(t.as_py())
-                rows.append((class_of(s), len(s), sh.sketch(s), sh.chains(s)) if len(s) else (None, 0, None, None))
-            cls, n, sketch, chains = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), b.column("th"), pa.array(cls, pa.binary()), pa.array(n, pa.int32()),
-                pa.array(sketch, pa.binary()), pa.array(chains, CHAINS)],
-                names=["doc_id", "th", "cls", "n", "sketch", "chains"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, AT_ONCE):
+                b = whole.slice(lo, AT_ONCE)
+                rows = []
+                for t in b.column("text"):
+                    s = sh.shingles(t.as_py())
+                    rows.append((class_of(s), len(s), sh.sketch(s), sh.chains(s)) if len(s) else (None, 0, None, None))
+                cls, n, sketch, chains = zip(*rows)
+                yield pa.RecordBatch.from_arrays([
+                    b.column("doc_id"), b.column("th"), pa.array(cls, pa.binary()), pa.array(n, pa.int32()),
+                    pa.array(sketch, pa.binary()), chain_arrays(chains)],
+                    names=["doc_id", "th", "cls", "n", "sketch", "chains"])
 
     rows = stored(docs.mapInArrow(
         named, f"doc_id {id_type}, th bigint, cls binary, n int, sketch binary, "
@@ -341,14 +363,16 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def with_sets(batches):
         sh = shingler(*args)
-        for b in batches:
-            sets = [sh.shingles(t.as_py()) for t in b.column("text")]
-            right = pa.array([class_of(s) == c.as_py() for s, c in zip(sets, b.column("cls"))], pa.bool_())
-            out = pa.RecordBatch.from_arrays(
-                [b.column("cls"), b.column("cluster"), b.column("size"), b.column("copies"),
-                 pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["cls", "cluster", "size", "copies", "set"])
-            yield out.filter(right)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, AT_ONCE):
+                b = whole.slice(lo, AT_ONCE)
+                sets = [sh.shingles(t.as_py()) for t in b.column("text")]
+                right = pa.array([class_of(s) == c.as_py() for s, c in zip(sets, b.column("cls"))], pa.bool_())
+                out = pa.RecordBatch.from_arrays(
+                    [b.column("cls"), b.column("cluster"), b.column("size"), b.column("copies"),
+                     pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["cls", "cluster", "size", "copies", "set"])
+                yield out.filter(right)
 
     sets = texts.select("cls", "cluster", "size", "copies", "text").mapInArrow(
         with_sets, "cls binary, cluster bigint, size bigint, copies bigint, set binary")
@@ -384,5 +408,3 @@ def keep_first(df: DataFrame, **options) -> DataFrame:
     x = x.join(first, x["id"].eqNullSafe(first["_id"]) & (x["th"] == first["_th"]), "left_semi")
     return x.dropDuplicates(["id", "th"]).select("row.*")
 
-
-CHAINS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())]))

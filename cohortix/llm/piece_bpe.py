@@ -42,7 +42,7 @@ NONE = np.int32(2 ** 31 - 1)
 #: Hashed places of the pair table, as a power of two.
 SLOT_BITS = 20
 #: Words that a worker remembers.
-CACHE = 400_000
+CACHE = 200_000
 #: Symbols of new words that are merged at once.
 AT_ONCE = 400_000
 #: After so many rounds what is left of a word is merged with a heap: a word of equal
@@ -292,12 +292,13 @@ def _mapped(df: DataFrame, path: str, text_col: str, keep: list[str], schema: st
     def run(batches):
         bpe = worker_pieces(spec)
         for b in batches:
-            made = []
-            for part in chunks(b.column("_text").to_pylist()):
-                made += [row(bpe, ids) for ids in bpe.encode(part)]
-            cols = [pa.array([m[i] for m in made], t) for i, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays([b.column(f"_k{i}") for i in range(len(keep))] + cols,
-                                             names=[*keep, *names])
+            lo = 0
+            for part in chunks(b.column("_text").to_pylist()):  # what goes back at once is a part's
+                made = [row(bpe, ids) for ids in bpe.encode(part)]
+                cols = [pa.array([m[i] for m in made], t) for i, t in enumerate(types)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(f"_k{i}").slice(lo, len(part)) for i in range(len(keep))] + cols, names=[*keep, *names])
+                lo += len(part)
 
     names = [x.split()[0] for x in schema.split(", ")]
     src = ready(df).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], text_of(text_col).alias("_text"))

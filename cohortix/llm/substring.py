@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, text_of
+from .common import integer_ids, ready, text_of, worker_state
 from .fm_index import FmIndex
 
 #: Words in a window that is reported if it repeats.
@@ -114,6 +114,7 @@ def in_chunks(texts: list[str]):
 
 def anchor_names(batches, window: int):
     """(rid, names): the anchors of each document, each once."""
+    worker_state("substring", make=lambda: None)  # nothing is kept here, nor left of others
     for b in batches:
         texts = b.column("text").to_pylist()
         names, ends = [], [np.zeros(1, np.int64)]
@@ -177,6 +178,7 @@ def _segments(b: pa.RecordBatch, window: int):
 
 def index_segments(batches, window: int):
     """(name, salt, segment, first, last): each segment of a batch once, with its least and greatest document."""
+    worker_state("substring", make=lambda: None)  # nothing is kept here, nor left of others
     for b in batches:
         ids = b.column("at").to_numpy()
         held: dict[tuple, list] = {}
@@ -197,6 +199,7 @@ def index_segments(batches, window: int):
 
 def document_segments(batches, window: int):
     """(rid, th, at, name, salt, key, start): where each document holds which segment (by its digest)."""
+    worker_state("substring", make=lambda: None)  # nothing is kept here, nor left of others
     for b in batches:
         for row, name, salt, segment, start in _segments(b, window):
             take = pa.array(row)
@@ -255,6 +258,7 @@ def search_shards(batches, window: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                           names=["name", "salt", "key", "lo", "hi", "least"])
 
+    worker_state("substring", make=lambda: None)  # nothing is kept here, nor left of others
     for b in batches:
         for r in zip(*(b.column(c).to_pylist() for c in ("name", "salt", "segment", "first", "last"))):
             if rows and r[:3] == rows[-1][:3]:  # the same segment from another batch
@@ -310,7 +314,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     in a document with a smaller id. Windows are judged on the input. Texts
     are read whole; a null text has no words. Null ids come after all others
     and after none of each other; rows with equal ids do not remove each
-    other's words. Empty table: no rows. Further columns are not read.
+    other's words. Empty table: no rows. Further columns are not read. Ids
+    must be integers (TypeError).
 
     1. Every window names its anchor, a run of words inside it; only windows
        whose anchor at least two documents have can repeat (a false name
@@ -327,6 +332,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     documents; anchors are counted with partial sums; the joins back are on
     keys that Spark can split; a document's spans are bounded by its length.
     """
+    integer_ids(df, id_col)
     docs = ready(df).select(
         F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"),
         *([F.struct(*keep).alias("rest")] if keep else [])).withColumn("th", F.xxhash64("text"))

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortix.llm import jaccard_join as jj
 from cohortix.llm import substring as ss
@@ -167,7 +168,8 @@ def test_recall_of_contained_pairs_in_third_level_buckets():
     sh = jj.Shingler(jj.SHINGLE, jj.THRESHOLD, runs, 42)
 
     def leaves(s):
-        return {(x["a"], x["b"], x["c"]) for x in sh.chains(s) if x["c"] is not None}
+        paths, ends = sh.chains(s)
+        return set(map(tuple, paths[ends == jj.DEPTH].tolist()))
 
     pairs = 4000
     missed = 0
@@ -176,3 +178,64 @@ def test_recall_of_contained_pairs_in_third_level_buckets():
         missed += leaves(np.sort(whole)).isdisjoint(leaves(np.sort(whole[:80])))
     assert runs == 15
     assert missed <= 2 * (1 - jj.RECALL) * pairs
+
+
+def test_chain_arrays():
+    paths = np.arange(9).reshape(3, 3)
+    got = jj.chain_arrays([(paths, np.array([1, 3, 2])), None, (paths[:0], np.zeros(0, int))]).to_pylist()
+    assert got == [[{"a": 0, "b": None, "c": None}, {"a": 3, "b": 4, "c": 5}, {"a": 6, "b": 7, "c": None}], None, []]
+    assert jj.chain_arrays([]).to_pylist() == [] and jj.chain_arrays([None]).to_pylist() == [None]
+
+
+def test_spot_signature_matches_equal_brute_force(spark):
+    from cohortix.llm import spotsigs
+
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(300)] + ["the", "of", "and", "a"] * 25
+    texts = []
+    for _ in range(30):
+        base = [rng.choice(words) for _ in range(rng.randint(5, 120))]
+        texts.append(base)
+        for _ in range(rng.choice([0, 0, 1, 3, 12])):
+            near = list(base)
+            for _ in range(rng.randint(0, 4)):
+                near[rng.randrange(len(near))] = rng.choice(words)
+            texts.append(near)
+    hot = [rng.choice(words) for _ in range(80)]  # many near copies of one text: several blocks
+    for i in range(90):
+        near = list(hot)
+        near[rng.randrange(80)] = f"x{i}"
+        texts.append(near[rng.randint(0, 2):])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000, ""), (1001, None), (None, " ".join(hot)), (1002, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' cls", "1 part").repartition(5)
+    sigs = {r["doc_id"]: set(r["sigs"]) for r in spotsigs.signatures(F.col("text"), df, "sigs").collect()}
+    ids = [r[0] for r in rows if r[0] is not None]
+    root = {i: i for i in [*ids, None]}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    order = [*ids, None]
+    for a in range(len(order)):
+        for b in range(a):
+            x, y = sigs[order[a]], sigs[order[b]]
+            if x and y and len(x & y) / len(x | y) >= 0.8:
+                p, q = find(order[a]), find(order[b])
+                if p != q:
+                    root[max((p, q), key=lambda v: (v is None, v or 0))] = min((p, q), key=lambda v: (v is None, v or 0))
+    got = spotsigs.match(df).collect()
+    assert len(got) == len(rows)
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: find(i) for i in order}
+    assert len({r["class_id"] for r in got}) < len(rows) - 80
+    assert spotsigs.match(df.limit(0)).collect() == []
+
+
+def test_ids_that_are_no_integers_are_refused(spark):
+    from cohortix.llm import spotsigs
+
+    df = spark.createDataFrame([("a", "some text")], "doc_id string, text string")
+    for op in (spotsigs.fingerprints, ss.remove_repeats):
+        with pytest.raises(TypeError, match="integer"):
+            op(df)
