@@ -19,12 +19,23 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the certified cutoffs of their language."""
+    """Documents that pass the base rules and the certified cutoffs of their language.
+
+    Null, empty and blank texts go (they have no words); a null language is a
+    stratum of its own; repeated rows are judged alike; null ids stay. An
+    empty table gives no rows, and without labels only the base rules act.
+    """
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, the one with the least id."""
+    """One document of each class of near copies, the one with the least id (then the least
+    hash of its text).
+
+    Rows equal in id and text are one. Texts without a word are in no class
+    and stay, as do rows with a null id unless they are near copies of others,
+    which then go first. An empty table gives no rows.
+    """
     return jaccard_join.keep_first(docs)
 
 
@@ -33,6 +44,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A text that loses words is written with single spaces; one that loses
     all of them goes. The others stay as they are; a null text becomes the empty one.
+    Null ids come after all others; rows with equal ids leave each other's
+    words. An empty table gives no rows.
     """
     x = substring.remove_repeats(docs, keep=("lang", "source"))
     x = x.where("n_removed = 0 or kept != ''")
@@ -42,12 +55,20 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them."""
+    """Documents as often as the mix of the sources takes them.
+
+    A null source is one of its own; texts without a word are not taken; rows
+    equal in id and text share their rounds. An empty table gives no rows.
+    """
     return mixing.mixed_rows(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, ids and n_tokens of every row, and the digests of ids and decoded text."""
+    """doc_id, lang, source, ids and n_tokens of every row, and the digests of ids and decoded text.
+
+    A null text is the empty one, with no ids; every row is encoded, repeated
+    ones too. An empty table gives no rows.
+    """
     return bpe.digests(docs, vocabulary(), keep=["doc_id", "lang", "source"], with_ids=True)
 
 
