@@ -220,6 +220,21 @@ def q_shap_values(spark, sf):
     return _shap_frame(spark, sf)
 
 
+@query("shap_additivity", f"""
+SELECT least({icu.SHAP_ROWS}, count(*)) AS n_rows, least({icu.SHAP_ROWS}, count(*)) * {len(LI_NUM) + 2} AS n_values,
+  true AS additive FROM lineitem WHERE {split_hash_sql("CAST(l_orderkey AS VARCHAR)")} % 1000000 < 200000
+""")
+def q_shap_additivity(spark, sf):
+    """Explained rows and values, and whether each row's attributions and the base add up to its model value."""
+    from cohortix.operators import shap
+
+    values = _shap_frame(spark, sf)
+    gaps = shap.additivity_gap(values, ["row_id"]).join(
+        values.groupBy("row_id").agg(F.count(F.lit(1)).alias("n")), "row_id")
+    return gaps.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").cast("bigint").alias("n_values"),
+                    (F.max(F.abs("gap")) < 1e-9).alias("additive"))
+
+
 @query("shap_mean_abs")
 def q_shap_mean_abs(spark, sf):
     from cohortix.operators import shap

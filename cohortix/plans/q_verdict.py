@@ -156,7 +156,12 @@ def q_benchmark_status(spark, sf):
     return r6(verdict.benchmark_status(auc, BENCHMARK_STATUS))
 
 
-@query("fix_plan_summary")
+@query("fix_plan_summary", f"""
+SELECT split, count(*) AS n_rows, round(avg(ln(1 + price)), 6) AS mean_log_price FROM (
+  SELECT l_orderkey, first(l_extendedprice ORDER BY {", ".join(LI_ORDER)}) AS price,
+    CASE WHEN {split_hash_sql("CAST(l_orderkey AS VARCHAR)")} % 1000000 < 200000 THEN 'test' ELSE 'train' END AS split
+  FROM lineitem GROUP BY l_orderkey) GROUP BY split
+""")
 def q_fix_plan_summary(spark, sf):
     """The whole fix plan on lineitem (one row per order): rows per split."""
     li = lineitem(spark, sf).select(
