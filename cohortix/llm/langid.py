@@ -8,7 +8,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ready, unit_hash, worker_state
+from .common import ready, stored, unit_hash, worker_state
 
 #: Characters of labelled text that a language's automaton is built from, at most.
 TRAIN_CHARS = 40_000
@@ -231,7 +231,8 @@ def training_texts(df: DataFrame, learn: Column, lang_col: str = "lang", text_co
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     x = x.withColumn("_h", F.conv(F.substring(unit_hash(F.lit(seed), F.col("text")), 1, 12), 16, 10).cast("double")
                      / F.lit(float(2 ** 48)))
-    per = x.select("lang", "_h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # a stored row per language: Spark ships the table if its size on disk is small, and no text is shuffled
+    per = stored(x.select("lang", "_h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "languages")
     few = x.join(per, "lang").where(F.col("_h") * F.col("_n") < docs)
     return few.select("lang", F.col("_h").alias("rank"), "text").distinct()
 
