@@ -182,3 +182,34 @@ def test_saved_models_score_alike(spark, tmp_path):
     assert same(model, again) and again.params == BOOSTED
     a, b = (trees.score(m, df, ["id"]).orderBy("id", "score").collect() for m in (model, again))
     assert a == b
+
+
+@pytest.mark.parametrize("depth,weight,part,alpha", [(3, 2, 0.8, 0.2), (6, 0.5, 0.6, 0.0), (12, 0.01, 0.9, 0.1),
+                                                     (4, 10 ** 9, 0.8, 0.0)])
+def test_counting_the_lesser_child_makes_the_same_trees(spark, depth, weight, part, alpha):
+    """Dense cells by difference equal cells of all rows, also where few rows a cell are sorted (depth 12)."""
+    x, y, rid, _ = trees.fit_rows_of(table(spark), FEATURES, "y", None, 10 ** 6, 7)
+    bins = trees.binned(x, trees.bin_cuts(x))
+    params = dict(BOOSTED, max_depth=depth, min_child_weight=weight, subsample=part, reg_alpha=alpha, gamma=0)
+    margin = np.sin(np.arange(len(y)))
+    grower = trees.Grower(bins)
+    for turn in range(3):
+        stats = trees.boost_stats(params, 5, turn, rid, y, np.ones(len(y)), margin)
+        drawn = stats[0] > 0
+        want, leaf = trees.grow(bins[:, drawn], stats[:, drawn], trees.boost_plan(params, 5, 5, turn))
+        got, at = grower.grow(stats, trees.boost_plan(params, 5, 5, turn))
+        assert want.start[-1] == got.start[-1] and (want.start[-1] > 1) == (weight < 10 ** 9)
+        assert all(np.array_equal(getattr(want, k), getattr(got, k)) for k in trees.Trees.ARRAYS)
+        assert np.array_equal(at[drawn], leaf) and np.array_equal(at, got.leaves(bins, 0))
+
+
+def test_a_level_counts_at_most_about_half_of_the_rows(monkeypatch):
+    rng = np.random.default_rng(1)
+    n, depth, counted, plain = 4000, 6, [], np.bincount
+    bins = rng.integers(0, 200, (3, n)).astype(np.uint8)
+    y = rng.integers(0, 2, n)
+    monkeypatch.setattr(np, "bincount", lambda key, **k: (counted.append(len(key)), plain(key, **k))[1])
+    made = trees._boosted(Fit("boosted", {"n_estimators": 1, "max_depth": depth, "min_child_weight": 0.1}), bins, y,
+                          np.arange(n))
+    assert made.start[-1] > 100
+    assert sum(counted) < 2 * 3 * n * (1 + 0.55 * (depth - 1))  # two statistics of three columns
