@@ -213,3 +213,46 @@ def test_a_level_counts_at_most_about_half_of_the_rows(monkeypatch):
                           np.arange(n))
     assert made.start[-1] > 100
     assert sum(counted) < 2 * 3 * n * (1 + 0.55 * (depth - 1))  # two statistics of three columns
+
+
+def test_words_of_reachable_leaves_equal_a_walk(spark):
+    """Scores by words and by walking are the same digits, for trees of one leaf, up to 64 and more."""
+    x, y, rid, _ = trees.fit_rows_of(table(spark), FEATURES, "y", None, 10 ** 6, 7)
+    cuts = trees.bin_cuts(x)
+    bins = trees.binned(x, cuts)
+    made = [trees._boosted(Fit("boosted", dict(BOOSTED, min_child_weight=w, gamma=0, max_depth=d)), bins, y, rid)
+            for d, w in ((6, 0.1), (1, 1), (5, 10 ** 9), (12, 0.01))]
+    sizes = [int(np.diff(m.start).max()) for m in made]
+    assert sizes[0] > 60 and sizes[1:3] == [3, 1] and sizes[3] > 127
+    both = trees.Trees.join(made)
+    both.value[np.flatnonzero(both.feature < 0)] += 0.25
+    many = np.random.default_rng(3).integers(0, 256, (5, 3 * trees.BLOCK + 17)).astype(np.uint8)
+    for b in (bins, many, many[:, :1], many[:, :0]):
+        want = np.zeros(b.shape[1])
+        for t in range(len(both.start) - 1):
+            at = np.zeros(b.shape[1], int) + both.start[t]
+            while (both.feature[at] >= 0).any():
+                f = both.feature[at]
+                right = b[np.maximum(f, 0), np.arange(b.shape[1])] > both.cut[at]
+                at = np.where(f >= 0, both.start[t] + both.left[at] + right, at)
+            want += both.value[at]
+        assert np.array_equal(both.total(b), want)
+    assert 0 < both.masks(5)[3].sum() < len(both.start) - 1
+
+
+def test_folds_read_the_table_twice(spark):
+    """Once for the groups' sizes, once to be joined with their folds and kept."""
+    from cohortix.operators import split
+
+    df = table(spark).where("y is not null")
+    n, seen = df.count(), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    folds = split.group_kfold(df.drop("fold").mapInArrow(count, df.drop("fold").schema), ["id"], 3)
+    spec = models.ModelSpec("GBT", "boosted", dict(BOOSTED, n_estimators=2))
+    assert models.cv_metrics(folds, FEATURES, "y", "fold", spec).agg({"n": "sum"}).first()[0] == n
+    assert seen.value == 2 * n
