@@ -34,3 +34,22 @@ def test_queries_end(spark):
     """The registered fits with all rounds and trees, on the smallest table."""
     for fn in (QUERIES["fit_boosted"], QUERIES["fit_forest"], q.q_cv_metrics, q.q_feature_importance):
         assert fn(spark, SF).count() > 0
+
+
+def test_review_fits_side_by_side(spark, monkeypatch):
+    """The compared models, the folds and the leakage check wait for one another: none is fitted after another."""
+    import threading
+
+    from cohortix.operators.split import group_split
+    from cohortix.plans.train import train_review
+
+    meet = threading.Barrier(3)
+    for name in ("fit_all", "cv_metrics", "scaling_leakage"):
+        plain = getattr(mdl, name)
+        monkeypatch.setattr(mdl, name, lambda *a, plain=plain, **k: (meet.wait(60), plain(*a, **k))[1])
+    rows = [(i, float(i % 13), float(i * 7 % 31), int(i * 5 % 13 > 6)) for i in range(400)]
+    df = group_split(spark.createDataFrame(rows, "id long, a double, b double, y int"), ["id"])
+    rep = train_review(df, ["y"], ["a", "b"], [mdl.ModelSpec("GBT", "boosted", {"n_estimators": 3})], {"y": 0.5}, ["id"],
+                       {"y": (0.5, "ABOVE", "BELOW")}, 3, shap_rows=20)
+    assert rep.cv.first()["n"] == 3 and rep.leakage.first()["verdict"] == "OK"
+    assert rep.test_metrics.count() == 1
