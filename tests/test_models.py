@@ -53,3 +53,19 @@ def test_review_fits_side_by_side(spark, monkeypatch):
                        {"y": (0.5, "ABOVE", "BELOW")}, 3, shap_rows=20)
     assert rep.cv.first()["n"] == 3 and rep.leakage.first()["verdict"] == "OK"
     assert rep.test_metrics.count() == 1
+
+
+def test_tuned_folds_beside_the_refit(spark, monkeypatch):
+    import threading
+
+    from cohortix.operators.split import group_split, hash_kfold
+
+    meet = threading.Barrier(2)
+    for name in ("fit_all", "cv_metrics"):
+        plain = getattr(mdl, name)
+        monkeypatch.setattr(mdl, name, lambda *a, plain=plain, **k: (meet.wait(60), plain(*a, **k))[1])
+    rows = [(i, float(i % 13), float(i * 7 % 31), int(i * 5 % 13 > 6)) for i in range(400)]
+    df = hash_kfold(group_split(spark.createDataFrame(rows, "id long, a double, b double, y int"), ["id"]), ["id"], 3)
+    row = mdl.tune(df, ["a", "b"], "y", "split", "fold", "boosted", {"n_estimators": [2, 3], "max_depth": [2]}, 2, 0.5,
+                   mdl.ModelSpec("LR", "logistic", icu.LOGISTIC)).first()
+    assert row["n"] == df.where("split = 'test'").count() and 0 <= row["cv_roc_auc"] <= 1
