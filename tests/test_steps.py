@@ -106,3 +106,30 @@ def test_forests_where_rows_are(spark, large, monkeypatch, local):
     monkeypatch.setattr(steps, "LOCAL_ROWS", local)
     got = trees.fit_many(df, FEATURES, "y", fits, "fold")
     assert all(same(a, b) for a, b in zip(want, got)) and want[1].trees.start[-1] > 60
+
+
+def test_folds_are_fitted_and_scored_whole(spark, monkeypatch):
+    """No row is left out of the fits, and neither fits nor scores run the folds' join again."""
+    from pyspark.sql import functions as F
+
+    from cohortix.operators import split
+
+    n, seen, rows = 210_000, [], spark.sparkContext.accumulator(0)
+    plain = trees.fit_rows_of
+    monkeypatch.setattr(trees, "fit_rows_of", lambda *a: (seen.append(plain(*a)), seen[-1])[1])
+
+    def count(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    df = wide(spark, n).drop("fold")
+    df = split.group_kfold(df.withColumn("id", F.col("id") % 5003).mapInArrow(count, df.schema), ["id"], 3)
+    spec = models.ModelSpec("GBT", "boosted", {"n_estimators": 2, "max_depth": 3})
+    want = models.cv_metrics(df, ["a", "b"], "y", "fold", spec).orderBy("fold").collect()
+    assert [len(s[1]) for s in seen] == [n] == [sum(r["n"] for r in want)] and rows.value == 2 * n
+    monkeypatch.setattr(trees, "MEMORY_BYTES", 0)
+    got = models.cv_metrics(df, ["a", "b"], "y", "fold", spec).orderBy("fold").collect()
+    assert rows.value == 3 * n and len(seen) == 1
+    for a, b in zip(want, got):
+        assert a.asDict() == pytest.approx(b.asDict(), abs=1e-12)
