@@ -133,3 +133,18 @@ def test_folds_are_fitted_and_scored_whole(spark, monkeypatch):
     assert rows.value == 3 * n and len(seen) == 1
     for a, b in zip(want, got):
         assert a.asDict() == pytest.approx(b.asDict(), abs=1e-12)
+
+
+def test_tuning_fits_all_rows(spark, monkeypatch, tmp_path):
+    """The search, the folds of the tuned model and its refit: none reads a part of the rows."""
+    from pyspark.sql import functions as F
+
+    n, seen = 260_000, []
+    plain = trees.fit_rows_of
+    monkeypatch.setattr(trees, "fit_rows_of", lambda *a: (seen.append(plain(*a)), seen[-1])[1])
+    split = F.when(F.col("id") % 26 < 5, "test").otherwise("train")
+    row = models.tune(wide(spark, n).withColumn("split", split), ["a", "b"], "y", "split", "fold", "boosted",
+                      {"n_estimators": [2], "max_depth": [3]}, 1, 0.5, models.ModelSpec("LR", "logistic", {}),
+                      str(tmp_path / "m")).first()
+    assert [len(s[1]) for s in seen] == [210_000] * 3 and row["n"] == 50_000
+    assert trees.load(spark, str(tmp_path / "m")).rows == 210_000
