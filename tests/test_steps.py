@@ -148,3 +148,33 @@ def test_tuning_fits_all_rows(spark, monkeypatch, tmp_path):
                       str(tmp_path / "m")).first()
     assert [len(s[1]) for s in seen] == [210_000] * 3 and row["n"] == 50_000
     assert trees.load(spark, str(tmp_path / "m")).rows == 210_000
+
+
+def test_a_review_fits_all_rows(spark, monkeypatch):
+    """Compared models, folds and both variants of the leakage check, in memory and where rows are."""
+    from pyspark.sql import functions as F
+
+    from cohortix.plans.train import train_review
+
+    n, plain, seen, made = 260_000, trees.fit_rows_of, [], []
+    monkeypatch.setattr(trees, "fit_rows_of", lambda *a: (seen.append(plain(*a)), seen[-1])[1])
+    fit_all = steps.fit_all
+    monkeypatch.setattr(steps, "fit_all", lambda *a: (made.append(fit_all(*a)), made[-1])[1])
+    df = wide(spark, n).withColumn("split", F.when(F.col("id") % 26 < 5, "test").otherwise("train")).drop("fold")
+    specs = [models.ModelSpec("RF", "forest", {"num_trees": 2, "max_depth": 4}),
+             models.ModelSpec("GBT", "boosted", {"n_estimators": 2, "max_depth": 3})]
+
+    def review():
+        rep = train_review(df, ["y"], ["a", "b"], specs, {"y": 0.5}, ["id"], {"y": (0.5, "ABOVE", "BELOW")}, 3, shap_rows=20)
+        return [[tuple(r) for r in t.orderBy(*t.columns[:3]).collect()] for t in (
+            rep.test_metrics, rep.importances, rep.calibration, rep.cv, rep.leakage, rep.class_report, rep.shap)]
+
+    one = review()
+    assert [len(s[1]) for s in seen] == [210_000] * 4 and not made
+    monkeypatch.setattr(trees, "MEMORY_BYTES", 0)
+    two = review()
+    assert len(seen) == 4 and sorted(m.rows for f in made for m in f) == [140_000] * 3 + [210_000] * 4
+    for a, b in zip(one, two):
+        for r, t in zip(a, b, strict=True):
+            assert [v for v in r if not isinstance(v, float)] == [v for v in t if not isinstance(v, float)]
+            assert [v for v in r if isinstance(v, float)] == pytest.approx([v for v in t if isinstance(v, float)], abs=1e-9)
