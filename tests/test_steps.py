@@ -178,3 +178,48 @@ def test_a_review_fits_all_rows(spark, monkeypatch):
         for r, t in zip(a, b, strict=True):
             assert [v for v in r if not isinstance(v, float)] == [v for v in t if not isinstance(v, float)]
             assert [v for v in r if isinstance(v, float)] == pytest.approx([v for v in t if isinstance(v, float)], abs=1e-9)
+
+
+def test_states_beside_each_other_are_bounded(monkeypatch):
+    """Fits of several threads share STATE_BYTES; one that needs more waits until it is alone."""
+    import threading
+    import time
+
+    monkeypatch.setattr(steps, "STATE_BYTES", 100)
+    now, most, alone = [], [], []
+
+    def fit(n):
+        with steps.room(n):
+            now.append(n)
+            most.append(sum(now))
+            time.sleep(0.05)
+            alone.append(n <= 100 or now == [n])
+            now.remove(n)
+
+    threads = [threading.Thread(target=fit, args=(n,)) for n in (60, 50, 40, 300, 30, 70)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(30)
+    assert len(alone) == 6 and all(alone) and sorted(most)[-1] == 300 and sorted(most)[-2] <= 100
+
+
+def test_kept_rows_take_only_their_columns_and_are_dropped(spark, monkeypatch):
+    """What a join made is one table of the columns in use, gone after the last pass; a frame too large
+    for memory is read where it is, not persisted."""
+    import glob
+
+    from cohortix.operators import split
+    from cohortix.session import ensure_checkpoint_dir
+
+    df = table(spark)
+    folds = split.group_kfold(df.drop("fold"), ["id"], 3)
+    out, drop = models.kept(folds, ["a", "y", "fold"])
+    at = glob.glob(ensure_checkpoint_dir(spark).removeprefix("file:") + "/kept-*")
+    assert out.columns == ["a", "y", "fold"] and out.count() == df.count() and len(at) == 1 and not out.is_cached
+    drop()
+    assert not os.path.exists(at[0])
+    monkeypatch.setattr(trees, "MEMORY_BYTES", 0)
+    out, drop = models.kept(spark.range(100).withColumn("a", models.F.lit(1.0)), ["a"])
+    drop()
+    assert out.columns == ["a"] and not out.is_cached and out.count() == 100
